@@ -7,9 +7,8 @@ runs a report or operator of ``tradelake`` over the whole tables.
 
 Floating columns whose last bits depend on summation order (anything
 touched by an average, a running product or a rolling sum of doubles) are
-rounded the same way on both sides, by column name (``_stable``):
-ratios and indices to 9 decimals, growth and balance figures to 6, money
-derived through deflators or exchange rates to whole hundreds of cents.
+rounded the same way on both sides, by column name
+(``tradelake.plans.presentation``). The DuckDB oracles live in ``oracles.py``.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from tradelake.operators.deflators import build_deflators, price_index
 from tradelake.operators.lookups import merge_lookups
 from tradelake.operators.rolling import roll_months, roll_rows
 from tradelake.plans import ingest, reports
+from tradelake.plans.presentation import stable
 from tradelake.sources import testdata as td
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -43,29 +43,7 @@ CATEGORY = "LAR"                # category code for the partner-vs-rest report
 FORMAT_YEARS = (1996, 1997, 1998, 1999)
 BASEDATE = "1999-12-01"
 
-RATIO_COLS = {"ipca", "ipca_i", "brlusd", "cpi", "cpi_r", "ipca_r", "p", "ii_prop", "ii_prop_12",
-              "imp_pct_pib_12", "ii_ipi_pct_pib_12"}
-MONEY_MARKS = ("deflated", "_brl", "pib", "imposto")
-MONEY_NAMES = {"total", "last", "current", "d", "s"}
-
-
-def round_rule(name: str) -> int | None:
-    """Decimals a floating output column is rounded to (None: exact, kept)."""
-    if name in RATIO_COLS:
-        return 9
-    if name.startswith("balance_") or name == "value":
-        return 6
-    if name in MONEY_NAMES or any(m in name for m in MONEY_MARKS):
-        return -2
-    return None
-
-
-def _stable(df: DataFrame) -> DataFrame:
-    cols = []
-    for f in df.schema.fields:
-        r = round_rule(f.name) if isinstance(f.dataType, T.DoubleType) else None
-        cols.append(F.round(F.col(f.name), r).alias(f.name) if r is not None else F.col(f.name))
-    return df.select(*cols)
+_stable = stable
 
 
 # --- shared inputs -------------------------------------------------------------
@@ -356,5 +334,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from tradelake_oracle import ORACLE_SQL
+    from oracles import ORACLE_SQL
     return {k: v for k, v in ORACLE_SQL.items() if k in _QUERIES}

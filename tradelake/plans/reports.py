@@ -94,9 +94,7 @@ def balance(df: DataFrame, value: str = "fob_usd_deflated_12", name: str | None
     """exp - imp per date (in units of ``scale``); NULL when a side is missing."""
     e = F.max(F.when(F.col("direction") == "exp", F.col(value)))
     i = F.max(F.when(F.col("direction") == "imp", F.col(value)))
-    n = F.count(F.lit(1))
-    out = df.groupBy("date").agg(
-        F.when(n == 2, e / F.lit(scale) - i / F.lit(scale)).alias(name or value.replace("fob_", "balance_")))
+    out = df.groupBy("date").agg((e / F.lit(scale) - i / F.lit(scale)).alias(name or value.replace("fob_", "balance_")))
     return out.na.drop("any") if na_omit else out
 
 
