@@ -29,6 +29,7 @@ from tradelake.operators.lookups import merge_lookups
 from tradelake.operators.rolling import roll_months, roll_rows
 from tradelake.plans import ingest, reports
 from tradelake.plans.presentation import stable
+from tradelake.session import materialize
 from tradelake.sources import testdata as td
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -53,8 +54,11 @@ def _facts(spark, d):
 
 
 def _deflators(spark, d, na_omit=True):
-    return build_deflators(td.ipca_source(spark, d), td.fx_quotes(spark, d), td.cpi_source(spark, d),
-                           na_omit=na_omit)
+    # the deflator table is small (one row per month) and read by every
+    # deflation twice (base lookup and broadcast): persisted once, as the
+    # reference caches it
+    return materialize(build_deflators(td.ipca_source(spark, d), td.fx_quotes(spark, d), td.cpi_source(spark, d),
+                                       na_omit=na_omit))
 
 
 def _products(spark, d):
@@ -66,7 +70,8 @@ def _monthly(spark, d):
 
 
 def _balance_deflated(spark, d):
-    return reports.trade_by_direction(_facts(spark, d), _deflators(spark, d))
+    # (direction, month) table shared by the balance, peak and same-month reports
+    return materialize(reports.trade_by_direction(_facts(spark, d), _deflators(spark, d)))
 
 
 def _first_year(spark, d):

@@ -59,38 +59,49 @@ def build_deflators(ipca: DataFrame, quotes: DataFrame, cpi: DataFrame, start=DE
     return res.na.drop("any") if na_omit else res
 
 
-def base_value(deflators: DataFrame, column: str, basedate=None) -> tuple[Column, Column]:
-    """(value, date) of the base period of one series, as scalar subqueries.
-
-    The base date is ``basedate`` or the latest date where ``column`` is not
-    NULL; exactly one row must carry it, otherwise the job fails with
-    "Incomplete deflators.".
+def base_values(deflators: DataFrame, basedate=None, series=("cpi", "ipca_i")) -> Column:
+    """One scalar subquery (a struct) with, per series, the base date ``{s}_bd``,
+    the number of rows on it ``{s}_n`` and its value ``{s}_v``; plus ``max_k``,
+    the largest number of rows sharing a date.
+
+    The base date is ``basedate`` or the latest date where the series is not
+    NULL. Everything comes from one aggregate over the per-date table, so the
+    deflator plan runs once for all checks.
     """
-    if basedate is None:
-        bd = deflators.where(F.col(column).isNotNull()).agg(F.max("date")).scalar()
-    else:
-        bd = _lit_date(basedate)
-    hit = deflators.where(F.col("date") == bd).agg(
-        F.count(F.lit(1)).alias("n"), F.max(column).alias("v"))
-    n = hit.select("n").scalar()
-    v = hit.select("v").scalar()
-    value = F.when(n != 1, F.raise_error(F.lit(INCOMPLETE))).otherwise(v)
-    return value, bd
+    per_date = deflators.groupBy("date").agg(
+        F.count(F.lit(1)).alias("k"), *[F.max(c).alias(c) for c in series])
+    aggs = [F.max("k").alias("max_k")]
+    for c in series:
+        if basedate is None:
+            key = F.when(F.col(c).isNotNull(), F.col("date"))
+            aggs += [F.max(key).alias(f"{c}_bd"), F.max_by("k", key).alias(f"{c}_n"),
+                     F.max_by(c, key).alias(f"{c}_v")]
+        else:
+            hit = F.col("date") == _lit_date(basedate)
+            aggs += [_lit_date(basedate).alias(f"{c}_bd"), F.sum(F.when(hit, F.col("k"))).alias(f"{c}_n"),
+                     F.max(F.when(hit, F.col(c))).alias(f"{c}_v")]
+    return per_date.select(F.struct(*aggs).alias("b")).scalar()
 
 
 def with_ratios(deflators: DataFrame, basedate=None) -> DataFrame:
-    """Adds cpi_r, cpi_basedate, ipca_r, ipca_basedate (base value / value)."""
-    cpi_b, cpi_d = base_value(deflators, "cpi", basedate)
-    ipca_b, ipca_d = base_value(deflators, "ipca_i", basedate)
-    dups = deflators.groupBy("date").count().where(F.col("count") > 1).agg(F.count(F.lit(1))).scalar()
-    guard = F.when(dups > 0, F.raise_error(F.lit(DUPLICATED)))
+    """Adds cpi_r, cpi_basedate, ipca_r, ipca_basedate (base value / value).
+
+    Fails the job with "Incomplete deflators." unless exactly one row carries
+    each base date, and rejects duplicated dates (the later join would fan out).
+    """
+    b = base_values(deflators, basedate)
+
+    def base(c):
+        return F.when(F.coalesce(b[f"{c}_n"], F.lit(0)) != 1, F.raise_error(F.lit(INCOMPLETE))).otherwise(b[f"{c}_v"])
+
+    guard = F.when(b["max_k"] > 1, F.raise_error(F.lit(DUPLICATED)))
     return deflators.select(
         F.coalesce(guard.cast("date"), F.col("date")).alias("date"),
         *[c for c in deflators.columns if c != "date"],
-        F.try_divide(cpi_b, F.col("cpi")).alias("cpi_r"),
-        cpi_d.cast("date").alias("cpi_basedate"),
-        F.try_divide(ipca_b, F.col("ipca_i")).alias("ipca_r"),
-        ipca_d.cast("date").alias("ipca_basedate"),
+        F.try_divide(base("cpi"), F.col("cpi")).alias("cpi_r"),
+        b["cpi_bd"].cast("date").alias("cpi_basedate"),
+        F.try_divide(base("ipca_i"), F.col("ipca_i")).alias("ipca_r"),
+        b["ipca_i_bd"].cast("date").alias("ipca_basedate"),
     )
 
 

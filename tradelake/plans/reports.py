@@ -20,6 +20,7 @@ from tradelake.operators.ranking import first_per_group, top_k
 from tradelake.operators.reshape import longer, wider
 from tradelake.operators.rolling import roll_months, roll_rows
 from tradelake.schemas import DEFAULT_PREFIXES, MONTH_LABELS
+from tradelake.session import materialize
 
 
 def _null_safe_semi(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -110,11 +111,13 @@ def category_change_top(facts: DataFrame, products: DataFrame, deflators: DataFr
     d = deflate(s, deflators).where(F.col("fob_brl_deflated").isNotNull())
     d = d.where(F.col("direction") == direction)
     r = roll_months(d, by=["name", "code", "direction"], k=window, one_row_per_date=True)
+    # small (categories x months) and used twice below: written once
+    r = materialize(r.select("name", "code", "direction", "date", f"fob_usd_deflated_{window}"))
+    # rows in the latest row's month of the last two years: the latest date and
+    # the same month one year earlier (dates are month starts)
     latest = r.agg(F.max("date")).scalar()
-    r = r.where(F.month("date") == F.month(latest)).withColumn("year", F.year("date"))
-    last_year = r.agg(F.max("year")).scalar()
-    r = r.where(F.col("year") >= last_year - 1)
-    r = r.withColumn("year", F.when(F.col("year") == last_year, F.lit("current")).otherwise(F.lit("last")))
+    r = r.where((F.col("date") == latest) | (F.col("date") == F.add_months(latest, -12)))
+    r = r.withColumn("year", F.when(F.col("date") == latest, F.lit("current")).otherwise(F.lit("last")))
     w = wider(r.select("name", "code", "direction", f"fob_usd_deflated_{window}", "year"),
               ["name", "code", "direction"], "year", f"fob_usd_deflated_{window}", ["last", "current"])
     w = (w.withColumn("current", F.coalesce("current", F.lit(0.0)))

@@ -59,3 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder (never a machine-local temp dir)."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Write a small, reused intermediate to the shared checkpoint folder.
+
+    A reliable checkpoint (never a local one): the lineage is cut, later uses
+    scan the written copy instead of recomputing the facts, and the data
+    survives the loss of executors.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
