@@ -78,6 +78,17 @@ def land_as_csv(facts: DataFrame, path: str | None = None) -> str:
     return path
 
 
+def land_hs4_as_csv(facts: DataFrame, path: str | None = None) -> str:
+    """Write HS4 facts as official CSVs under ``path/direction=imp|exp``."""
+    spark = facts.sparkSession
+    path = path or scratch_path(spark, "landing-hs4")
+    names = {"year": "CO_ANO", "month": "CO_MES", "hs4": "SH4", "country_code": "CO_PAIS",
+             "state_abb": "SG_UF_MUN", "mun_code": "CO_MUN", "kg_net": "KG_LIQUIDO", "fob_usd": "VL_FOB"}
+    out = facts.select(*[F.col(k).alias(v) for k, v in names.items()], "direction")
+    out.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("direction").csv(path)
+    return path
+
+
 def read_landed_ncm(spark: SparkSession, landing: str) -> DataFrame:
     from tradelake.sources.trade_csv import read_ncm_raw
     return read_ncm_raw(spark, landing)

@@ -32,10 +32,12 @@ def top_members_series(df: DataFrame, member: str, series_keys: Sequence[str], k
                        value: str = "fob_usd") -> DataFrame:
     """Series of ``value`` by (series_keys, member) for the k largest members.
 
-    One aggregate to (series_keys, member); the ranking re-aggregates that
-    small table, and the top-k list (k rows, broadcast) filters it.
+    One aggregate to (series_keys, member), written once: the ranking
+    re-aggregates that small table and the top-k list (k rows, broadcast)
+    filters it. Without the checkpoint the optimizer pushes the semi-join
+    below the aggregate and the facts would be scanned twice.
     """
-    series = df.groupBy(*series_keys, member).agg(nsum(value).alias(value))
+    series = materialize(df.groupBy(*series_keys, member).agg(nsum(value).alias(value)))
     totals = series.groupBy(member).agg(nsum(value).alias(value))
     top = top_k(totals, k, desc=value, tiebreak=member)
     return _null_safe_semi(series, top, member)
@@ -62,6 +64,8 @@ def partner_real_rolling(facts: DataFrame, countries: DataFrame, deflators: Data
                      by=["direction", "date", "country_code"])
     d = deflate(s, deflators)
     d = d.join(F.broadcast(countries), "country_code", "left").where(F.col("fob_usd").isNotNull())
+    # small (countries x directions x months); rolled and joined back, so written once
+    d = materialize(d)
     return roll_months(d, by=["direction", "country_name"], prefixes=["fob_usd_deflated"], k=k)
 
 
