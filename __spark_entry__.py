@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tradelake.functions.codes import clean_code
 from tradelake.operators.aggregate import sum_prefixed
 from tradelake.operators.checks import coverage_grid, missing_partitions, reconcile
-from tradelake.operators.deflators import build_deflators, price_index
+from tradelake.operators.deflators import build_deflators, deflator_report, price_index
 from tradelake.operators.lookups import merge_lookups
 from tradelake.operators.rolling import roll_months, roll_rows
 from tradelake.plans import ingest, reports
@@ -274,6 +274,30 @@ def q_effective_rate(spark, d):
     return _stable(r)
 
 
+def q_gdp_shares_long(spark, d):
+    r = reports.effective_rate(_tax_long(spark, d), _tax_long(spark, d, scale=1.25), _facts(spark, d),
+                               td.gdp_series(spark, d), _deflators(spark, d), "i_importacao_e_ipi_vinculado")
+    return _stable(reports.gdp_shares_long(r))
+
+
+def q_peak_month_brl(spark, d):
+    return _stable(reports.peak_month(_balance_deflated(spark, d), "fob_brl_deflated"))
+
+
+def q_deflator_report(spark, d):
+    return deflator_report(build_deflators(td.ipca_source(spark, d), td.fx_quotes(spark, d),
+                                           td.cpi_source(spark, d)))
+
+
+def q_month_labels(spark, d):
+    return reports.month_labels(reports.partner_vs_rest(_facts(spark, d), _products(spark, d), CATEGORY,
+                                                        CATEGORY_PARTNER))
+
+
+def q_reconcile_hs4(spark, d):
+    return reconcile(td.hs4_facts(spark, d), td.control_totals_mun(spark, d))
+
+
 def q_lake_roundtrip(spark, d):
     lake = ingest.publish_lake(_facts(spark, d))
     return sum_prefixed(spark.read.parquet(lake), by=["direction", "year"])
@@ -324,6 +348,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_missing_columns": q_union_missing_columns,
     "fiscal_long": q_fiscal_long,
     "effective_rate": q_effective_rate,
+    "gdp_shares_long": q_gdp_shares_long,
+    "peak_month_brl": q_peak_month_brl,
+    "deflator_report": q_deflator_report,
+    "month_labels": q_month_labels,
+    "reconcile_hs4": q_reconcile_hs4,
     "lake_roundtrip": q_lake_roundtrip,
     "csv_ingest_roundtrip": q_csv_ingest_roundtrip,
 }

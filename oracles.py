@@ -48,6 +48,7 @@ hs4 AS (
          CAST(month(l.l_shipdate) AS INTEGER) AS month,
          lpad(CAST(l.l_partkey % 100 AS VARCHAR), 4, '0') AS hs4,
          CAST(s.s_nationkey AS INTEGER) AS country_code,
+         CAST(l.l_quantity * 10 AS BIGINT) AS kg_net,
          CAST(round(l.l_extendedprice * 100) AS BIGINT) AS fob_usd,
          CASE WHEN l.l_linestatus = 'F' THEN 'imp' WHEN l.l_linestatus = 'O' THEN 'exp' END AS direction
   FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -482,10 +483,11 @@ control AS (
 CHECK = ("qt_stat", "kg_net", "fob_usd", "freight_usd", "insurance_usd", "number_of_lines")
 
 
-def _reconcile(control_expr: str) -> str:
+def _reconcile(control_expr: str, check=CHECK, source: str = "facts", ctes=(FACTS, CONTROL)) -> str:
+    CHECK = check
     totals = ("totals AS (SELECT year, direction, " + ", ".join(
         f"CAST({nsum(c)} AS DOUBLE) AS a_{c}" for c in CHECK[:-1]) +
-        ", CAST(count(*) AS DOUBLE) AS a_number_of_lines FROM facts GROUP BY year, direction)")
+        f", CAST(count(*) AS DOUBLE) AS a_number_of_lines FROM {source} GROUP BY year, direction)")
     ctrl = (f"ctrl AS (SELECT file, CAST(year AS INTEGER) AS year, "
             f"CASE WHEN file LIKE '%IMP%' THEN 'imp' ELSE 'exp' END AS direction, {', '.join(CHECK)} FROM ({control_expr}) c)")
     same = " AND ".join(f"c.{m} IS NOT DISTINCT FROM t.a_{m}" for m in CHECK)
@@ -495,7 +497,7 @@ def _reconcile(control_expr: str) -> str:
     body = " UNION ALL ".join(
         f"SELECT year, direction, file, status, '{m}' AS measure, {m} AS expected, a_{m} AS actual FROM j"
         for m in CHECK)
-    return with_(FACTS, CONTROL, totals, ctrl, j) + body
+    return with_(*ctes, totals, ctrl, j) + body
 
 
 Q["reconcile_ok"] = _reconcile("SELECT * FROM control")
@@ -582,6 +584,60 @@ def _q_effective_rate():
 
 Q["effective_rate"] = _q_effective_rate()
 
+def _q_gdp_shares_long():
+    q = Q["effective_rate"]
+    body = ("SELECT date, 'Importações CIF' AS serie, round(imp_pct_pib_12, 9) AS pct_pib FROM er "
+            "WHERE imp_pct_pib_12 IS NOT NULL UNION ALL "
+            "SELECT date, 'II + IPI vinculado' AS serie, round(ii_ipi_pct_pib_12, 9) AS pct_pib FROM er "
+            "WHERE imp_pct_pib_12 IS NOT NULL")
+    return q[: q.rindex("SELECT ")] + body
+
+
+Q["gdp_shares_long"] = _q_gdp_shares_long()
+
+
+def _q_peak_month_brl():
+    ctes, cols = _balance_ctes()
+    p = ("pk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY direction "
+         "ORDER BY fob_brl_deflated DESC NULLS LAST, date ASC) AS rn FROM bal) q WHERE rn = 1)")
+    return with_(*ctes, p) + final("pk", cols, _doubles(cols))
+
+
+Q["peak_month_brl"] = _q_peak_month_brl()
+
+Q["deflator_report"] = with_(deflator_ctes(na_omit=False), """
+pd AS (SELECT date, count(*) AS k,
+              max(CASE WHEN date IS NULL OR ipca IS NULL OR ipca_i IS NULL OR brlusd IS NULL OR cpi IS NULL
+                  THEN 1 ELSE 0 END) AS z
+       FROM defl0 GROUP BY date)""") + (
+    "SELECT CAST(sum(k) AS BIGINT) AS n_rows, CAST(sum(z) AS BIGINT) AS months_with_null, "
+    "count(CASE WHEN k > 1 THEN 1 END) AS duplicated_dates FROM pd")
+
+
+def _q_month_labels():
+    ctes, _ = _pvr_ctes(False)
+    return with_(*ctes) + ("SELECT strftime(max(date), '%m/%Y') AS label_mm_yyyy, "
+                           "substr(CAST(max(date) AS VARCHAR), 1, 7) AS label_yyyy_mm FROM pr")
+
+
+Q["month_labels"] = _q_month_labels()
+
+CONTROL_MUN = """
+mun_order AS (
+  SELECT l_orderkey, CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus,
+         sum(CAST(l_quantity * 10 AS BIGINT)) AS kg, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS fob,
+         count(*) AS n
+  FROM lineitem GROUP BY 1, 2, 3),
+mun_year AS (SELECT year, l_linestatus, sum(kg) AS kg, sum(fob) AS fob, sum(n) AS n FROM mun_order GROUP BY 1, 2),
+control_mun AS (
+  SELECT CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END || CAST(year AS VARCHAR) || '_MUN.csv' AS file,
+         CAST(year AS DOUBLE) AS year, CAST(kg AS DOUBLE) AS kg_net, CAST(fob AS DOUBLE) AS fob_usd,
+         CAST(n AS DOUBLE) AS number_of_lines
+  FROM mun_year)"""
+
+Q["reconcile_hs4"] = _reconcile("SELECT * FROM control_mun", check=("kg_net", "fob_usd", "number_of_lines"),
+                                source="hs4", ctes=(HS4, CONTROL_MUN))
+
 Q["lake_roundtrip"] = Q["sum_by_direction_year"]
 Q["csv_ingest_roundtrip"] = Q["sum_by_direction_year"]
 

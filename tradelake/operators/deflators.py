@@ -113,6 +113,6 @@ def deflator_report(deflators: DataFrame) -> DataFrame:
         any_null = any_null | F.col(c).isNull()
     per_date = deflators.groupBy("date").agg(n.alias("k"), F.max(any_null.cast("int")).alias("z"))
     return per_date.agg(
-        F.sum("k").alias("rows"),
+        F.sum("k").alias("n_rows"),
         F.sum("z").alias("months_with_null"),
         F.count(F.when(F.col("k") > 1, 1)).alias("duplicated_dates"))

@@ -61,6 +61,21 @@ def publish_lake(facts: DataFrame, path: str | None = None, partition_by: Sequen
     return path
 
 
+def rewrite(data: DataFrame, base: str, control: DataFrame | None = None) -> tuple[str, DataFrame | None]:
+    """Publish NCM or HS4 facts (chosen by the presence of ``ncm``) under ``base``.
+
+    Returns the dataset path and, with ``control``, the reconciliation report
+    (lazy) of what was written.
+    """
+    kind = "ncm" if "ncm" in data.columns else "hs4"
+    path = publish_lake(data, f"{base.rstrip('/')}/{kind}",
+                        sort_by=("ncm", "month") if kind == "ncm" else ("hs4", "month"))
+    report = None
+    if control is not None:
+        report = reconcile(data.sparkSession.read.parquet(path), control)
+    return path, report
+
+
 def land_as_csv(facts: DataFrame, path: str | None = None) -> str:
     """Write facts in the official landing layout (for tests and benchmarks).
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 RATIO_COLS = {"ipca", "ipca_i", "brlusd", "cpi", "cpi_r", "ipca_r", "p", "ii_prop", "ii_prop_12",
-              "imp_pct_pib_12", "ii_ipi_pct_pib_12"}
+              "imp_pct_pib_12", "ii_ipi_pct_pib_12", "pct_pib"}
 MONEY_MARKS = ("deflated", "_brl", "pib", "imposto")
 MONEY_NAMES = {"total", "last", "current", "d", "s"}
 

@@ -222,6 +222,26 @@ def effective_rate(tax_long: DataFrame, tax_real_long: DataFrame, facts: DataFra
             .withColumn(f"ii_ipi_pct_pib_{window}", ratio(f"imposto_brl_{window}", "pib_annual_brl"))
 
 
+# fixed values: display names of the two share series (the reference's labels)
+SHARE_LABELS = {"imp_pct_pib_12": "Importações CIF", "ii_ipi_pct_pib_12": "II + IPI vinculado"}
+
+
+def gdp_shares_long(rate: DataFrame, labels: dict[str, str] = SHARE_LABELS) -> DataFrame:
+    """(date, serie, pct_pib): the two GDP shares of ``effective_rate`` in long form,
+    rows without an import share dropped, series names recoded to labels."""
+    cols = list(labels)
+    long = longer(rate.where(F.col(cols[0]).isNotNull()).select("date", *cols), ["date"], cols, "serie", "pct_pib")
+    mapping = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(v))])
+    return long.withColumn("serie", F.coalesce(mapping[F.col("serie")], F.col("serie")))
+
+
+def month_labels(df: DataFrame, date: str = "date") -> DataFrame:
+    """One row: the latest month as 'MM/yyyy' and as the first 7 characters of the date."""
+    latest = F.max(date)
+    return df.agg(F.date_format(latest, "MM/yyyy").alias("label_mm_yyyy"),
+                  F.substring(latest.cast("string"), 1, 7).alias("label_yyyy_mm"))
+
+
 # R16
 def format_ncm(facts: DataFrame, years: Sequence[int]) -> DataFrame:
     return sum_prefixed(facts.where(F.col("year").isin(list(years))), by=["direction", "year"], prefixes="fob_usd")

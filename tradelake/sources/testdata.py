@@ -186,6 +186,25 @@ def control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def control_totals_mun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control rows of the municipality (HS4) files: file, year, kg_net, fob_usd,
+    number_of_lines (doubles), computed per order first, then per year."""
+    li = table(spark, sf_dir, "lineitem")
+    per_order = li.groupBy("l_orderkey", F.year("l_shipdate").alias("year"), "l_linestatus").agg(
+        F.sum((F.col("l_quantity") * 10).cast("bigint")).alias("kg"),
+        F.sum(_cents(F.col("l_extendedprice"))).alias("fob"), F.count(F.lit(1)).alias("n"))
+    per_year = per_order.groupBy("year", "l_linestatus").agg(
+        F.sum("kg").alias("kg"), F.sum("fob").alias("fob"), F.sum("n").alias("n"))
+    is_imp = F.col("l_linestatus") == "F"
+    return per_year.select(
+        F.concat(F.when(is_imp, F.lit("IMP_")).otherwise(F.lit("EXP_")), F.col("year").cast("string"),
+                 F.lit("_MUN.csv")).alias("file"),
+        F.col("year").cast("double").alias("year"),
+        F.col("kg").cast("double").alias("kg_net"),
+        F.col("fob").cast("double").alias("fob_usd"),
+        F.col("n").cast("double").alias("number_of_lines"))
+
+
 # --- fiscal sheet and GDP -----------------------------------------------------
 
 def fiscal_sheet(spark: SparkSession, sf_dir: str, scale: float = 1.0) -> DataFrame:
