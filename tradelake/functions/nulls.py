@@ -14,13 +14,29 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def q(name: str) -> str:
+    """Back-quoted column name for SQL expression strings."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def nsum_sql(name: str, na_rm: bool = False) -> str:
+    """SQL text of ``nsum`` over column ``name``."""
+    c = q(name)
+    if na_rm:
+        return f"coalesce(sum({c}), 0)"
+    return f"CASE WHEN count(1) = 0 THEN 0 WHEN count({c}) = count(1) THEN sum({c}) END"
+
+
 def nsum(x, na_rm: bool = False) -> Column:
     """Sum that is NULL if any input is NULL (``na_rm=False``).
 
     With ``na_rm=True`` NULLs are skipped and an all-NULL group gives 0.
     Zero rows give 0, as a sum over nothing does in the reference.
+    A column given by name is built as one SQL expression.
     """
-    c = _c(x)
+    if isinstance(x, str):
+        return F.expr(nsum_sql(x, na_rm))
+    c = x
     if na_rm:
         return F.coalesce(F.sum(c), F.lit(0))
     n_all = F.count(F.lit(1))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradelake.functions.names import match_prefix
-from tradelake.functions.nulls import nsum, ratio
+from tradelake.functions.nulls import nsum, nsum_sql, q, ratio
 from tradelake.schemas import DEFAULT_PREFIXES
 
 
@@ -38,7 +38,7 @@ def sum_prefixed(df: DataFrame, by: Sequence | str | None = None,
     """
     keys = _keys(by)
     cols = match_prefix(df.columns, prefixes, exclude=_key_names(df, keys))
-    aggs = [nsum(c, na_rm).alias(c) for c in cols]
+    aggs = [F.expr(f"{nsum_sql(c, na_rm)} AS {q(c)}") for c in cols]
     if not aggs:
         raise ValueError(f"no column matches prefixes {prefixes!r}")
     if keys:

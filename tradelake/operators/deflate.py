@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tradelake.functions.names import match_suffix
+from tradelake.functions.nulls import q
 from tradelake.operators.deflators import with_ratios
 
 DEFLATOR_COLUMNS = ("ipca", "ipca_i", "brlusd", "cpi", "cpi_r", "cpi_basedate", "ipca_r", "ipca_basedate")
@@ -32,11 +33,12 @@ def deflate(data: DataFrame, deflators: DataFrame, basedate=None, date: str = "d
     cols = list(data.columns) + extra
 
     usd = match_suffix(cols, "_usd")
-    usd_defl = [(F.col(c) * F.col("cpi_r")).alias(f"{c}_deflated") for c in usd]
     brl_names = [c[: -len("_usd")] + "_brl" for c in usd]
-    brl = [(F.col(c) * F.col("brlusd")).alias(n) for c, n in zip(usd, brl_names)]
     kept = [c for c in cols if c not in set(brl_names)]
-    all_brl = match_suffix(kept, "_brl") + brl_names
-    out = j.select(*kept, *usd_defl, *brl)
-    out = out.select(*out.columns, *[(F.col(n) * F.col("ipca_r")).alias(f"{n}_deflated") for n in all_brl])
-    return out
+    old_brl = match_suffix(kept, "_brl")
+    # one projection; each generated column is one SQL expression
+    exprs = [f"{q(c)} * cpi_r AS {q(c + '_deflated')}" for c in usd]
+    exprs += [f"{q(c)} * brlusd AS {q(n)}" for c, n in zip(usd, brl_names)]
+    exprs += [f"{q(c)} * ipca_r AS {q(c + '_deflated')}" for c in old_brl]
+    exprs += [f"({q(c)} * brlusd) * ipca_r AS {q(n + '_deflated')}" for c, n in zip(usd, brl_names)]
+    return j.select(*kept, *[F.expr(e) for e in exprs])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tradelake.functions.dates import month_index
 from tradelake.functions.names import match_prefix
-from tradelake.functions.nulls import nsum, nsum_over
+from tradelake.functions.nulls import nsum_over, nsum_sql, q
 from tradelake.schemas import DEFAULT_PREFIXES
 
 _M = "__month_idx"
@@ -49,18 +49,21 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
     cols = match_prefix(df.columns, prefixes, exclude=keys + [date])
     if not cols:
         raise ValueError(f"no column matches prefixes {prefixes!r}")
-    m = F.when(F.col(date).isNull(), F.raise_error(F.lit("roll_months: NULL date"))) \
-         .otherwise(month_index(date))
+    d = q(date)
+    m = F.expr(f"CASE WHEN {d} IS NULL THEN raise_error('roll_months: NULL date') "
+               f"ELSE year({d}) * 12 + month({d}) END AS {_M}")
 
     if one_row_per_date:
-        base = df.withColumn(_M, m)
+        base = df.select("*", m)
     else:
-        base = df.groupBy(*keys, m.alias(_M)).agg(*[nsum(c).alias(c) for c in cols])
-
-    part = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    frame = part.orderBy(_M).rangeBetween(-(k - 1), 0)
-    complete = (F.col(_M) - (k - 1)) >= F.min(_M).over(part)
-    rolled = [F.when(complete, nsum_over(c, frame)).cast("double").alias(f"{c}_{k}") for c in cols]
+        base = df.groupBy(*keys, m).agg(*[F.expr(f"{nsum_sql(c)} AS {q(c)}") for c in cols])
+
+    # expressions are SQL text: one call to the JVM per output column
+    part = f"PARTITION BY {', '.join(q(x) for x in keys)}" if keys else ""
+    frame = f"({part} ORDER BY {_M} RANGE BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+    complete = f"{_M} - {k - 1} >= min({_M}) OVER ({part})"
+    rolled = [F.expr(f"CAST(CASE WHEN {complete} AND count({q(c)}) OVER {frame} = count(1) OVER {frame} "
+                     f"THEN sum({q(c)}) OVER {frame} END AS DOUBLE) AS {q(c + '_' + str(k))}") for c in cols]
 
     if one_row_per_date:
         return base.select(*df.columns, *rolled)

@@ -32,5 +32,6 @@ def stable(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         r = round_rule(f.name) if isinstance(f.dataType, T.DoubleType) else None
-        cols.append(F.round(F.col(f.name), r).alias(f.name) if r is not None else F.col(f.name))
+        n = "`" + f.name.replace("`", "``") + "`"
+        cols.append(F.expr(f"round({n}, {r}) AS {n}") if r is not None else n)
     return df.select(*cols)

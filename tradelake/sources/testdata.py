@@ -29,65 +29,72 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradelake.functions.dates import make_month, month_start
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table; the DataFrame (not its data) is reused per session,
+    which saves the file listing and footer reads on the driver."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    hit = _READS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _READS[key] = hit
+    return hit[1]
 
 
 def _cents(x):
     return F.round(x * 100).cast("bigint")
 
 
+_FACT_EXPRS = [
+    "CAST(year(l_shipdate) AS INT) AS year",
+    "CAST(month(l_shipdate) AS INT) AS month",
+    "lpad(CAST(l_partkey AS STRING), 8, '0') AS ncm",
+    "CAST(l_linenumber AS INT) AS unit_code",
+    "CAST(s_nationkey AS INT) AS country_code",
+    "concat('UF', lpad(CAST(l_suppkey % 27 AS STRING), 2, '0')) AS state_abb",
+    "CAST(1 + l_orderkey % 9 AS INT) AS transp_mode_code",
+    "CAST(l_suppkey AS INT) AS urf_code",
+    "CAST(l_quantity AS BIGINT) AS qt_stat",
+    "CAST(l_quantity * 10 AS BIGINT) AS kg_net",
+    "CAST(round(l_extendedprice * 100) AS BIGINT) AS fob_usd",
+    "CASE WHEN l_linestatus = 'F' THEN CAST(round(l_extendedprice * l_tax * 100) AS BIGINT) END AS freight_usd",
+    "CASE WHEN l_linestatus = 'F' THEN CAST(round(l_extendedprice * l_discount * 100) AS BIGINT) END AS insurance_usd",
+    "CASE WHEN l_linestatus = 'F' THEN 'imp' WHEN l_linestatus = 'O' THEN 'exp' END AS direction",
+    "make_date(year(l_shipdate), month(l_shipdate), 1) AS date",
+]
+
+_HS4_EXPRS = [
+    "CAST(year(l_shipdate) AS INT) AS year",
+    "CAST(month(l_shipdate) AS INT) AS month",
+    "lpad(CAST(l_partkey % 100 AS STRING), 4, '0') AS hs4",
+    "CAST(s_nationkey AS INT) AS country_code",
+    "concat('UF', lpad(CAST(l_suppkey % 27 AS STRING), 2, '0')) AS state_abb",
+    "CAST(l_orderkey % 5000 AS INT) AS mun_code",
+    "CAST(l_quantity * 10 AS BIGINT) AS kg_net",
+    "CAST(round(l_extendedprice * 100) AS BIGINT) AS fob_usd",
+    "CASE WHEN l_linestatus = 'F' THEN 'imp' WHEN l_linestatus = 'O' THEN 'exp' END AS direction",
+    "make_date(year(l_shipdate), month(l_shipdate), 1) AS date",
+]
+
+
+def _lineitem_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
+
+
 def trade_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NCM-level trade facts with the standard fact schema."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate")
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
-    imp = F.col("l_linestatus") == "F"
-    year = F.year("l_shipdate")
-    month = F.month("l_shipdate")
-    freight = F.when(imp, _cents(F.col("l_extendedprice") * F.col("l_tax")))
-    insurance = F.when(imp, _cents(F.col("l_extendedprice") * F.col("l_discount")))
-    fob = _cents(F.col("l_extendedprice"))
-    return j.select(
-        year.alias("year"),
-        month.alias("month"),
-        F.lpad(F.col("l_partkey").cast("string"), 8, "0").alias("ncm"),
-        F.col("l_linenumber").cast("int").alias("unit_code"),
-        F.col("s_nationkey").cast("int").alias("country_code"),
-        F.concat(F.lit("UF"), F.lpad((F.col("l_suppkey") % 27).cast("string"), 2, "0")).alias("state_abb"),
-        (F.lit(1) + F.col("l_orderkey") % 9).cast("int").alias("transp_mode_code"),
-        F.col("l_suppkey").cast("int").alias("urf_code"),
-        F.col("l_quantity").cast("bigint").alias("qt_stat"),
-        (F.col("l_quantity") * 10).cast("bigint").alias("kg_net"),
-        fob.alias("fob_usd"),
-        freight.alias("freight_usd"),
-        insurance.alias("insurance_usd"),
-        F.when(imp, F.lit("imp")).when(F.col("l_linestatus") == "O", F.lit("exp")).alias("direction"),
-        make_month(year, month).alias("date"),
-        (fob + freight + insurance).alias("cif_usd"),
-    )
+    return _lineitem_supplier(spark, sf_dir).selectExpr(
+        *_FACT_EXPRS, "fob_usd + freight_usd + insurance_usd AS cif_usd")
 
 
 def hs4_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HS4 / municipality-level facts with the standard HS4 schema."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate")
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    j = li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
-    year, month = F.year("l_shipdate"), F.month("l_shipdate")
-    return j.select(
-        year.alias("year"), month.alias("month"),
-        F.lpad((F.col("l_partkey") % 100).cast("string"), 4, "0").alias("hs4"),
-        F.col("s_nationkey").cast("int").alias("country_code"),
-        F.concat(F.lit("UF"), F.lpad((F.col("l_suppkey") % 27).cast("string"), 2, "0")).alias("state_abb"),
-        (F.col("l_orderkey") % 5000).cast("int").alias("mun_code"),
-        (F.col("l_quantity") * 10).cast("bigint").alias("kg_net"),
-        _cents(F.col("l_extendedprice")).alias("fob_usd"),
-        F.when(F.col("l_linestatus") == "F", F.lit("imp")).when(F.col("l_linestatus") == "O", F.lit("exp")).alias("direction"),
-        make_month(year, month).alias("date"),
-    )
+    return _lineitem_supplier(spark, sf_dir).selectExpr(*_HS4_EXPRS)
 
 
 # --- lookups ----------------------------------------------------------------
