@@ -30,9 +30,9 @@ f0 AS (
          CAST(l.l_suppkey AS INTEGER) AS urf_code,
          CAST(l.l_quantity AS BIGINT) AS qt_stat,
          CAST(l.l_quantity * 10 AS BIGINT) AS kg_net,
-         CAST(round(l.l_extendedprice * 100) AS BIGINT) AS fob_usd,
-         CASE WHEN l.l_linestatus = 'F' THEN CAST(round(l.l_extendedprice * l.l_tax * 100) AS BIGINT) END AS freight_usd,
-         CASE WHEN l.l_linestatus = 'F' THEN CAST(round(l.l_extendedprice * l.l_discount * 100) AS BIGINT) END AS insurance_usd,
+         CAST(floor(l.l_extendedprice * 100 + 0.5) AS BIGINT) AS fob_usd,
+         CASE WHEN l.l_linestatus = 'F' THEN CAST(floor(l.l_extendedprice * l.l_tax * 100 + 0.5) AS BIGINT) END AS freight_usd,
+         CASE WHEN l.l_linestatus = 'F' THEN CAST(floor(l.l_extendedprice * l.l_discount * 100 + 0.5) AS BIGINT) END AS insurance_usd,
          CASE WHEN l.l_linestatus = 'F' THEN 'imp' WHEN l.l_linestatus = 'O' THEN 'exp' END AS direction,
          make_date(CAST(year(l.l_shipdate) AS INTEGER), CAST(month(l.l_shipdate) AS INTEGER), 1) AS date
   FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -49,7 +49,7 @@ hs4 AS (
          lpad(CAST(l.l_partkey % 100 AS VARCHAR), 4, '0') AS hs4,
          CAST(s.s_nationkey AS INTEGER) AS country_code,
          CAST(l.l_quantity * 10 AS BIGINT) AS kg_net,
-         CAST(round(l.l_extendedprice * 100) AS BIGINT) AS fob_usd,
+         CAST(floor(l.l_extendedprice * 100 + 0.5) AS BIGINT) AS fob_usd,
          CASE WHEN l.l_linestatus = 'F' THEN 'imp' WHEN l.l_linestatus = 'O' THEN 'exp' END AS direction
   FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 )"""
@@ -235,7 +235,7 @@ Q["roll3_with_ties"] = with_(FACTS) + (
 
 GDP = """
 gdp AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
-               CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) / 1e6 AS pib_brl_milhoes
+               CAST(sum(CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)) AS BIGINT) / 1e6 AS pib_brl_milhoes
         FROM orders GROUP BY 1),
 pib AS (SELECT date, pib_brl_milhoes * 1e6 AS pib_brl FROM gdp),
 pib12 AS (SELECT date, pib_brl,
@@ -465,9 +465,9 @@ CONTROL = """
 per_order AS (
   SELECT l_orderkey, CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus,
          sum(CAST(l_quantity AS BIGINT)) AS q, sum(CAST(l_quantity * 10 AS BIGINT)) AS kg,
-         sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS fob,
-         sum(CAST(round(l_extendedprice * l_tax * 100) AS BIGINT)) AS fr,
-         sum(CAST(round(l_extendedprice * l_discount * 100) AS BIGINT)) AS ins, count(*) AS n
+         sum(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS fob,
+         sum(CAST(floor(l_extendedprice * l_tax * 100 + 0.5) AS BIGINT)) AS fr,
+         sum(CAST(floor(l_extendedprice * l_discount * 100 + 0.5) AS BIGINT)) AS ins, count(*) AS n
   FROM lineitem GROUP BY 1, 2, 3),
 per_year AS (SELECT year, l_linestatus, sum(q) AS q, sum(kg) AS kg, sum(fob) AS fob, sum(fr) AS fr,
                     sum(ins) AS ins, sum(n) AS n FROM per_order GROUP BY 1, 2),
@@ -530,8 +530,8 @@ def sheet_ctes(name: str, scale: float) -> str:
     return f"""
 {name}_m AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS mo,
-         sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 0 ELSE CAST(round(o_totalprice * 100) AS BIGINT) END) AS a,
-         sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CAST(round(o_totalprice * 100) AS BIGINT) ELSE 0 END) AS b
+         sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 0 ELSE CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) END) AS a,
+         sum(CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT) ELSE 0 END) AS b
   FROM orders GROUP BY 1, 2),
 {name}_rows AS (SELECT y, mo, a, b FROM {name}_m UNION ALL SELECT y, 13 AS mo, sum(a), sum(b) FROM {name}_m GROUP BY y),
 {name}_sheet AS (
@@ -625,7 +625,7 @@ Q["month_labels"] = _q_month_labels()
 CONTROL_MUN = """
 mun_order AS (
   SELECT l_orderkey, CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus,
-         sum(CAST(l_quantity * 10 AS BIGINT)) AS kg, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS fob,
+         sum(CAST(l_quantity * 10 AS BIGINT)) AS kg, sum(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS fob,
          count(*) AS n
   FROM lineitem GROUP BY 1, 2, 3),
 mun_year AS (SELECT year, l_linestatus, sum(kg) AS kg, sum(fob) AS fob, sum(n) AS n FROM mun_order GROUP BY 1, 2),

@@ -58,12 +58,17 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
     else:
         base = df.groupBy(*keys, m).agg(*[F.expr(f"{nsum_sql(c)} AS {q(c)}") for c in cols])
 
-    # expressions are SQL text: one call to the JVM per output column
+    # expressions are SQL text: one call to the JVM per output column; the
+    # group's first month and the frame's row count are computed once
     part = f"PARTITION BY {', '.join(q(x) for x in keys)}" if keys else ""
     frame = f"({part} ORDER BY {_M} RANGE BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
-    complete = f"{_M} - {k - 1} >= min({_M}) OVER ({part})"
-    rolled = [F.expr(f"CAST(CASE WHEN {complete} AND count({q(c)}) OVER {frame} = count(1) OVER {frame} "
-                     f"THEN sum({q(c)}) OVER {frame} END AS DOUBLE) AS {q(c + '_' + str(k))}") for c in cols]
+    shared = [F.expr(f"min({_M}) OVER ({part}) AS __first"), F.expr(f"count(1) OVER {frame} AS __n")]
+    per_col = []
+    for i, c in enumerate(cols):
+        per_col += [F.expr(f"count({q(c)}) OVER {frame} AS __c{i}"), F.expr(f"sum({q(c)}) OVER {frame} AS __s{i}")]
+    base = base.select("*", *shared, *per_col)
+    rolled = [F.expr(f"CAST(CASE WHEN {_M} - {k - 1} >= __first AND __c{i} = __n THEN __s{i} END AS DOUBLE) "
+                     f"AS {q(c + '_' + str(k))}") for i, c in enumerate(cols)]
 
     if one_row_per_date:
         return base.select(*df.columns, *rolled)
