@@ -53,16 +53,30 @@ def _facts(spark, d):
     return td.trade_facts(spark, d)
 
 
+_PERSISTED: dict = {}
+
+
+def _persisted(spark, key, build):
+    """Build a small derived table once per session and data folder, written to
+    the shared checkpoint folder (the reference keeps the same tables in a
+    disk cache)."""
+    k = (id(spark), key)
+    hit = _PERSISTED.get(k)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, materialize(build()))
+        _PERSISTED[k] = hit
+    return hit[1]
+
+
 def _deflators(spark, d, na_omit=True):
-    # the deflator table is small (one row per month) and read by every
-    # deflation twice (base lookup and broadcast): persisted once, as the
-    # reference caches it
-    return materialize(build_deflators(td.ipca_source(spark, d), td.fx_quotes(spark, d), td.cpi_source(spark, d),
-                                       na_omit=na_omit))
+    # one row per month; read by every deflation twice (base lookup and broadcast)
+    return _persisted(spark, ("deflators", d, na_omit), lambda: build_deflators(
+        td.ipca_source(spark, d), td.fx_quotes(spark, d), td.cpi_source(spark, d), na_omit=na_omit))
 
 
 def _products(spark, d):
-    return merge_lookups(td.product_tables(spark, d))
+    # merged product code tables
+    return _persisted(spark, ("products", d), lambda: merge_lookups(td.product_tables(spark, d)))
 
 
 def _monthly(spark, d):
@@ -70,8 +84,8 @@ def _monthly(spark, d):
 
 
 def _balance_deflated(spark, d):
-    # (direction, month) table shared by the balance, peak and same-month reports
-    return materialize(reports.trade_by_direction(_facts(spark, d), _deflators(spark, d)))
+    # (direction, month) table behind the balance, peak and same-month reports
+    return reports.trade_by_direction(_facts(spark, d), _deflators(spark, d))
 
 
 def _first_year(spark, d):
@@ -80,9 +94,8 @@ def _first_year(spark, d):
 
 
 def _tax_long(spark, d, scale=1.0):
-    sheet = td.fiscal_sheet(spark, d, scale)
-    first = td.table(spark, d, "orders").agg(F.min(F.year("o_orderdate"))).scalar()
-    return reports.fiscal_long(sheet, first)
+    first = td.first_order_year(spark, d)
+    return reports.fiscal_long(td.fiscal_sheet(spark, d, first, scale), first)
 
 
 # --- queries --------------------------------------------------------------------
@@ -172,7 +185,8 @@ def q_peak_month(spark, d):
 
 
 def q_same_month(spark, d):
-    return _stable(reports.same_month_as_latest(_balance_deflated(spark, d)))
+    # the table is read twice (latest date, then the filter): written once
+    return _stable(reports.same_month_as_latest(materialize(_balance_deflated(spark, d))))
 
 
 def q_yearly_complete(spark, d):

@@ -215,11 +215,16 @@ def control_totals_mun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- fiscal sheet and GDP -----------------------------------------------------
 
-def fiscal_sheet(spark: SparkSession, sf_dir: str, scale: float = 1.0) -> DataFrame:
+def first_order_year(spark: SparkSession, sf_dir: str):
+    """First year of the orders, as a scalar subquery (identical wherever used)."""
+    return table(spark, sf_dir, "orders").selectExpr("min(year(o_orderdate)) AS y").scalar()
+
+
+def fiscal_sheet(spark: SparkSession, sf_dir: str, first_year, scale: float = 1.0) -> DataFrame:
     """Monthly tax sheet in the official wide layout, from orders.
 
     One row per month and a TOTAL row per year, each with an explicit ``line``
-    (13 lines per year from the first year), labels JAN..DEZ. Columns, in
+    (13 lines per year from ``first_year``), labels JAN..DEZ. Columns, in
     millions: i_renda, i_importacao_e_ipi_vinculado, total_geral. ``scale``
     derives the second (already deflated) sheet.
     """
@@ -232,7 +237,7 @@ def fiscal_sheet(spark: SparkSession, sf_dir: str, scale: float = 1.0) -> DataFr
         F.sum(F.when(urgent, cents).otherwise(F.lit(0))).alias("b"))
     yearly = monthly.groupBy("y").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).withColumn("mo", F.lit(13))
     rows = monthly.unionByName(yearly)
-    first = rows.select(F.min("y")).scalar()
+    first = first_year
     labels = F.array(*[F.lit(x) for x in MONTH_LABELS], F.lit("TOTAL"))
     unit = F.lit(1e8 / scale)
     return rows.select(
