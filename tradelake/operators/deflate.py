@@ -41,4 +41,4 @@ def deflate(data: DataFrame, deflators: DataFrame, basedate=None, date: str = "d
     exprs += [f"{q(c)} * brlusd AS {q(n)}" for c, n in zip(usd, brl_names)]
     exprs += [f"{q(c)} * ipca_r AS {q(c + '_deflated')}" for c in old_brl]
     exprs += [f"({q(c)} * brlusd) * ipca_r AS {q(n + '_deflated')}" for c, n in zip(usd, brl_names)]
-    return j.select(*kept, *[F.expr(e) for e in exprs])
+    return j.selectExpr(*[q(c) for c in kept], *exprs)

@@ -59,50 +59,41 @@ def build_deflators(ipca: DataFrame, quotes: DataFrame, cpi: DataFrame, start=DE
     return res.na.drop("any") if na_omit else res
 
 
-def base_values(deflators: DataFrame, basedate=None, series=("cpi", "ipca_i")) -> Column:
-    """One scalar subquery (a struct) with, per series, the base date ``{s}_bd``,
-    the number of rows on it ``{s}_n`` and its value ``{s}_v``; plus ``max_k``,
-    the largest number of rows sharing a date.
-
-    The base date is ``basedate`` or the latest date where the series is not
-    NULL. Everything comes from one aggregate over the per-date table, so the
-    deflator plan runs once for all checks.
-    """
-    per_date = deflators.groupBy("date").agg(
-        F.count(F.lit(1)).alias("k"), *[F.max(c).alias(c) for c in series])
-    aggs = [F.max("k").alias("max_k")]
-    for c in series:
-        if basedate is None:
-            key = F.when(F.col(c).isNotNull(), F.col("date"))
-            aggs += [F.max(key).alias(f"{c}_bd"), F.max_by("k", key).alias(f"{c}_n"),
-                     F.max_by(c, key).alias(f"{c}_v")]
-        else:
-            hit = F.col("date") == _lit_date(basedate)
-            aggs += [_lit_date(basedate).alias(f"{c}_bd"), F.sum(F.when(hit, F.col("k"))).alias(f"{c}_n"),
-                     F.max(F.when(hit, F.col(c))).alias(f"{c}_v")]
-    return per_date.select(F.struct(*aggs).alias("b")).scalar()
-
-
 def with_ratios(deflators: DataFrame, basedate=None) -> DataFrame:
     """Adds cpi_r, cpi_basedate, ipca_r, ipca_basedate (base value / value).
 
-    Fails the job with "Incomplete deflators." unless exactly one row carries
-    each base date, and rejects duplicated dates (the later join would fan out).
+    The base date of a series is ``basedate`` or its latest date with a value.
+    Exactly one row must carry each base date ("Incomplete deflators."
+    otherwise) and no date may repeat (the later join would fan out); both
+    checks fail the job inside the plan. The base values are window
+    aggregates over the whole deflator table, which holds one row per month:
+    its size is bounded by the calendar, not by the facts.
     """
-    b = base_values(deflators, basedate)
+    if basedate is not None:
+        bd = f"DATE '{str(basedate)}'"
+    k = "count(1) OVER (PARTITION BY date) AS __k"
+    level2 = ["*", "max(__k) OVER () AS __max_k"]
+    for c in ("cpi", "ipca_i"):
+        if basedate is None:
+            key = f"CASE WHEN {c} IS NOT NULL THEN date END"
+            level2 += [f"max({key}) OVER () AS __{c}_bd", f"max_by(__k, {key}) OVER () AS __{c}_n",
+                       f"max_by({c}, {key}) OVER () AS __{c}_v"]
+        else:
+            level2 += [f"{bd} AS __{c}_bd", f"sum(CASE WHEN date = {bd} THEN 1 ELSE 0 END) OVER () AS __{c}_n",
+                       f"max(CASE WHEN date = {bd} THEN {c} END) OVER () AS __{c}_v"]
 
     def base(c):
-        return F.when(F.coalesce(b[f"{c}_n"], F.lit(0)) != 1, F.raise_error(F.lit(INCOMPLETE))).otherwise(b[f"{c}_v"])
-
-    guard = F.when(b["max_k"] > 1, F.raise_error(F.lit(DUPLICATED)))
-    return deflators.select(
-        F.coalesce(guard.cast("date"), F.col("date")).alias("date"),
-        *[c for c in deflators.columns if c != "date"],
-        F.try_divide(base("cpi"), F.col("cpi")).alias("cpi_r"),
-        b["cpi_bd"].cast("date").alias("cpi_basedate"),
-        F.try_divide(base("ipca_i"), F.col("ipca_i")).alias("ipca_r"),
-        b["ipca_i_bd"].cast("date").alias("ipca_basedate"),
-    )
+        return (f"CASE WHEN coalesce(__{c}_n, 0) != 1 THEN raise_error('{INCOMPLETE}') "
+                f"ELSE __{c}_v END")
+
+    rest = [c for c in deflators.columns if c != "date"]
+    return deflators.selectExpr("*", k).selectExpr(*level2).selectExpr(
+        f"CASE WHEN __max_k > 1 THEN raise_error('{DUPLICATED}') ELSE date END AS date",
+        *rest,
+        f"try_divide({base('cpi')}, cpi) AS cpi_r",
+        "CAST(__cpi_bd AS DATE) AS cpi_basedate",
+        f"try_divide({base('ipca_i')}, ipca_i) AS ipca_r",
+        "CAST(__ipca_i_bd AS DATE) AS ipca_basedate")
 
 
 def deflator_report(deflators: DataFrame) -> DataFrame:

@@ -50,37 +50,34 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
     if not cols:
         raise ValueError(f"no column matches prefixes {prefixes!r}")
     d = q(date)
-    m = F.expr(f"CASE WHEN {d} IS NULL THEN raise_error('roll_months: NULL date') "
-               f"ELSE year({d}) * 12 + month({d}) END AS {_M}")
+    m = (f"CASE WHEN {d} IS NULL THEN raise_error('roll_months: NULL date') "
+         f"ELSE year({d}) * 12 + month({d}) END")
 
     if one_row_per_date:
-        base = df.select("*", m)
+        base = df.selectExpr("*", f"{m} AS {_M}")
     else:
-        base = df.groupBy(*keys, m).agg(*[F.expr(f"{nsum_sql(c)} AS {q(c)}") for c in cols])
+        base = df.groupBy(*keys, F.expr(f"{m} AS {_M}")).agg(*[F.expr(f"{nsum_sql(c)} AS {q(c)}") for c in cols])
 
-    # expressions are SQL text: one call to the JVM per output column; the
-    # group's first month and the frame's row count are computed once
+    # SQL text, passed as one list per projection; the group's first month
+    # and the frame's row count are computed once for all columns
     part = f"PARTITION BY {', '.join(q(x) for x in keys)}" if keys else ""
     frame = f"({part} ORDER BY {_M} RANGE BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
-    shared = [F.expr(f"min({_M}) OVER ({part}) AS __first"), F.expr(f"count(1) OVER {frame} AS __n")]
-    per_col = []
+    windows = [f"min({_M}) OVER ({part}) AS __first", f"count(1) OVER {frame} AS __n"]
     for i, c in enumerate(cols):
-        per_col += [F.expr(f"count({q(c)}) OVER {frame} AS __c{i}"), F.expr(f"sum({q(c)}) OVER {frame} AS __s{i}")]
-    base = base.select("*", *shared, *per_col)
-    rolled = [F.expr(f"CAST(CASE WHEN {_M} - {k - 1} >= __first AND __c{i} = __n THEN __s{i} END AS DOUBLE) "
-                     f"AS {q(c + '_' + str(k))}") for i, c in enumerate(cols)]
+        windows += [f"count({q(c)}) OVER {frame} AS __c{i}", f"sum({q(c)}) OVER {frame} AS __s{i}"]
+    base = base.selectExpr("*", *windows)
+    rolled = [f"CAST(CASE WHEN {_M} - {k - 1} >= __first AND __c{i} = __n THEN __s{i} END AS DOUBLE) "
+              f"AS {q(c + '_' + str(k))}" for i, c in enumerate(cols)]
 
     if one_row_per_date:
-        return base.select(*df.columns, *rolled)
+        return base.selectExpr(*[q(c) for c in df.columns], *rolled)
 
-    small = base.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keys)],
-                        F.col(_M).alias("__m2"), *rolled)
-    joined = df.withColumn(_M, m)
+    small = base.selectExpr(*[f"{q(c)} AS __k{i}" for i, c in enumerate(keys)], f"{_M} AS __m2", *rolled)
+    joined = df.selectExpr("*", f"{m} AS {_M}")
     cond = [joined[c].eqNullSafe(small[f"__k{i}"]) for i, c in enumerate(keys)] + [joined[_M] == small["__m2"]]
     out = joined.join(small, cond, "left")
     return out.select(*[joined[c] for c in df.columns], *[small[f"{c}_{k}"] for c in cols])
 
-
 def roll_rows(df: DataFrame, column: str, n: int = 12, order: str = "date",
               by: Sequence[str] | str | None = None, name: str | None = None) -> DataFrame:
     """Sum over the current and previous ``n-1`` rows; NULL unless all ``n`` exist.

@@ -33,5 +33,5 @@ def stable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         r = round_rule(f.name) if isinstance(f.dataType, T.DoubleType) else None
         n = "`" + f.name.replace("`", "``") + "`"
-        cols.append(F.expr(f"round({n}, {r}) AS {n}") if r is not None else n)
-    return df.select(*cols)
+        cols.append(f"round({n}, {r}) AS {n}" if r is not None else n)
+    return df.selectExpr(*cols)
