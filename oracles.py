@@ -462,15 +462,13 @@ FROM (SELECT *, printf('%04d.%04d', CAST(p_partkey // 10000 AS INTEGER), CAST(p_
       FROM part) q"""
 
 CONTROL = """
-per_order AS (
-  SELECT l_orderkey, CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus,
+per_year AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus,
          sum(CAST(l_quantity AS BIGINT)) AS q, sum(CAST(l_quantity * 10 AS BIGINT)) AS kg,
          sum(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS fob,
          sum(CAST(floor(l_extendedprice * l_tax * 100 + 0.5) AS BIGINT)) AS fr,
          sum(CAST(floor(l_extendedprice * l_discount * 100 + 0.5) AS BIGINT)) AS ins, count(*) AS n
-  FROM lineitem GROUP BY 1, 2, 3),
-per_year AS (SELECT year, l_linestatus, sum(q) AS q, sum(kg) AS kg, sum(fob) AS fob, sum(fr) AS fr,
-                    sum(ins) AS ins, sum(n) AS n FROM per_order GROUP BY 1, 2),
+  FROM lineitem GROUP BY 1, 2),
 control AS (
   SELECT CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END || CAST(year AS VARCHAR) || '.csv' AS file,
          CAST(year AS DOUBLE) AS year, CAST(q AS DOUBLE) AS qt_stat, CAST(kg AS DOUBLE) AS kg_net,
@@ -623,12 +621,10 @@ def _q_month_labels():
 Q["month_labels"] = _q_month_labels()
 
 CONTROL_MUN = """
-mun_order AS (
-  SELECT l_orderkey, CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus,
-         sum(CAST(l_quantity * 10 AS BIGINT)) AS kg, sum(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS fob,
-         count(*) AS n
-  FROM lineitem GROUP BY 1, 2, 3),
-mun_year AS (SELECT year, l_linestatus, sum(kg) AS kg, sum(fob) AS fob, sum(n) AS n FROM mun_order GROUP BY 1, 2),
+mun_year AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus, sum(CAST(l_quantity * 10 AS BIGINT)) AS kg,
+         sum(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)) AS fob, count(*) AS n
+  FROM lineitem GROUP BY 1, 2),
 control_mun AS (
   SELECT CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END || CAST(year AS VARCHAR) || '_MUN.csv' AS file,
          CAST(year AS DOUBLE) AS year, CAST(kg AS DOUBLE) AS kg_net, CAST(fob AS DOUBLE) AS fob_usd,

@@ -158,59 +158,46 @@ def fx_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- reconciliation control totals -------------------------------------------
 
+_CONTROL_SUMS = [
+    "sum(CAST(l_quantity AS BIGINT)) AS q",
+    "sum(CAST(l_quantity * 10 AS BIGINT)) AS kg",
+    "sum(CAST(floor(l_extendedprice * 100 + 0.5D) AS BIGINT)) AS fob",
+    "sum(CAST(floor(l_extendedprice * l_tax * 100 + 0.5D) AS BIGINT)) AS fr",
+    "sum(CAST(floor(l_extendedprice * l_discount * 100 + 0.5D) AS BIGINT)) AS ins",
+    "count(1) AS n",
+]
+
+
+def _control_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy(F.expr("CAST(year(l_shipdate) AS INT) AS year"), "l_linestatus").agg(
+        *[F.expr(x) for x in _CONTROL_SUMS])
+
+
 def control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Control rows as the official files carry them, computed in a separate plan.
+    """Control rows as the official files carry them, computed by a plan of
+    their own (straight from lineitem, without the fact derivation).
 
-    Totals are built per order first and then per (year, direction), so the plan
-    differs from the fact aggregate it is checked against. Columns follow the
-    renamed control schema: file, year, qt_stat, kg_net, fob_usd, freight_usd,
-    insurance_usd, number_of_lines (all measures double); exports carry NULL
-    freight and insurance, as their files lack those columns.
+    Columns follow the renamed control schema: file, year, qt_stat, kg_net,
+    fob_usd, freight_usd, insurance_usd, number_of_lines (all double); exports
+    carry NULL freight and insurance, as their files lack those columns.
     """
-    li = table(spark, sf_dir, "lineitem")
-    imp = F.col("l_linestatus") == "F"
-    per_order = li.groupBy(
-        "l_orderkey", F.year("l_shipdate").alias("year"), F.col("l_linestatus")).agg(
-        F.sum(F.col("l_quantity").cast("bigint")).alias("q"),
-        F.sum((F.col("l_quantity") * 10).cast("bigint")).alias("kg"),
-        F.sum(_cents(F.col("l_extendedprice"))).alias("fob"),
-        F.sum(_cents(F.col("l_extendedprice") * F.col("l_tax"))).alias("fr"),
-        F.sum(_cents(F.col("l_extendedprice") * F.col("l_discount"))).alias("ins"),
-        F.count(F.lit(1)).alias("n"))
-    per_year = per_order.groupBy("year", "l_linestatus").agg(
-        F.sum("q").alias("q"), F.sum("kg").alias("kg"), F.sum("fob").alias("fob"),
-        F.sum("fr").alias("fr"), F.sum("ins").alias("ins"), F.sum("n").alias("n"))
-    is_imp = F.col("l_linestatus") == "F"
-    return per_year.select(
-        F.concat(F.when(is_imp, F.lit("IMP_")).otherwise(F.lit("EXP_")), F.col("year").cast("string"),
-                 F.lit(".csv")).alias("file"),
-        F.col("year").cast("double").alias("year"),
-        F.col("q").cast("double").alias("qt_stat"),
-        F.col("kg").cast("double").alias("kg_net"),
-        F.col("fob").cast("double").alias("fob_usd"),
-        F.when(is_imp, F.col("fr").cast("double")).alias("freight_usd"),
-        F.when(is_imp, F.col("ins").cast("double")).alias("insurance_usd"),
-        F.col("n").cast("double").alias("number_of_lines"),
-    )
+    return _control_per_year(spark, sf_dir).selectExpr(
+        "concat(CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END, CAST(year AS STRING), '.csv') AS file",
+        "CAST(year AS DOUBLE) AS year", "CAST(q AS DOUBLE) AS qt_stat", "CAST(kg AS DOUBLE) AS kg_net",
+        "CAST(fob AS DOUBLE) AS fob_usd",
+        "CASE WHEN l_linestatus = 'F' THEN CAST(fr AS DOUBLE) END AS freight_usd",
+        "CASE WHEN l_linestatus = 'F' THEN CAST(ins AS DOUBLE) END AS insurance_usd",
+        "CAST(n AS DOUBLE) AS number_of_lines")
 
 
 def control_totals_mun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Control rows of the municipality (HS4) files: file, year, kg_net, fob_usd,
-    number_of_lines (doubles), computed per order first, then per year."""
-    li = table(spark, sf_dir, "lineitem")
-    per_order = li.groupBy("l_orderkey", F.year("l_shipdate").alias("year"), "l_linestatus").agg(
-        F.sum((F.col("l_quantity") * 10).cast("bigint")).alias("kg"),
-        F.sum(_cents(F.col("l_extendedprice"))).alias("fob"), F.count(F.lit(1)).alias("n"))
-    per_year = per_order.groupBy("year", "l_linestatus").agg(
-        F.sum("kg").alias("kg"), F.sum("fob").alias("fob"), F.sum("n").alias("n"))
-    is_imp = F.col("l_linestatus") == "F"
-    return per_year.select(
-        F.concat(F.when(is_imp, F.lit("IMP_")).otherwise(F.lit("EXP_")), F.col("year").cast("string"),
-                 F.lit("_MUN.csv")).alias("file"),
-        F.col("year").cast("double").alias("year"),
-        F.col("kg").cast("double").alias("kg_net"),
-        F.col("fob").cast("double").alias("fob_usd"),
-        F.col("n").cast("double").alias("number_of_lines"))
+    """Control rows of the municipality (HS4) files: file, year, kg_net,
+    fob_usd, number_of_lines (doubles)."""
+    return _control_per_year(spark, sf_dir).selectExpr(
+        "concat(CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END, CAST(year AS STRING), '_MUN.csv') AS file",
+        "CAST(year AS DOUBLE) AS year", "CAST(kg AS DOUBLE) AS kg_net", "CAST(fob AS DOUBLE) AS fob_usd",
+        "CAST(n AS DOUBLE) AS number_of_lines")
 
 
 # --- fiscal sheet and GDP -----------------------------------------------------
