@@ -1,0 +1,30 @@
+from pyspark.sql import functions as F
+
+from tradelake.operators.aggregate import sum_prefixed
+from tradelake.plans import ingest
+from tradelake.session import scratch_path
+from tradelake.streaming import ingest_new_files
+from tests.test_ingest import _facts
+
+
+def test_only_new_files_are_processed(spark):
+    landing = scratch_path(spark, "test-landing")
+    lake = scratch_path(spark, "test-lake")
+    f = _facts(spark)
+    ingest.land_as_csv(f.where("year = 2023"), landing + "/first")
+    # the stream watches one landing folder; copy the first delivery into it
+    first = spark.read.options(header="true", sep=";").csv(landing + "/first/direction=imp")
+    first.write.options(header="true", sep=";").csv(landing + "/in/direction=imp")
+    spark.read.options(header="true", sep=";").csv(landing + "/first/direction=exp") \
+        .write.options(header="true", sep=";").csv(landing + "/in/direction=exp")
+    ckpt = ingest_new_files(spark, landing + "/in", lake)
+    got = {(r["year"], r["direction"]) for r in spark.read.parquet(lake).select("year", "direction").collect()}
+    assert got == {(2023, "imp"), (2023, "exp")}
+    # a second delivery: only the new file is read; 2023 stays as published
+    ingest.land_as_csv(f.where("year = 2024"), landing + "/second")
+    spark.read.options(header="true", sep=";").csv(landing + "/second/direction=imp") \
+        .write.mode("append").options(header="true", sep=";").csv(landing + "/in/direction=imp")
+    ingest_new_files(spark, landing + "/in", lake, checkpoint=ckpt)
+    sums = {(r["year"], r["direction"]): r["fob_usd"]
+            for r in sum_prefixed(spark.read.parquet(lake), by=["year", "direction"], prefixes="fob_").collect()}
+    assert sums == {(2023, "imp"): 1000, (2023, "exp"): 1000, (2024, "imp"): 2000}

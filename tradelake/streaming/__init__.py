@@ -1,0 +1,5 @@
+"""Incremental ingest of newly landed files (Structured Streaming)."""
+
+from tradelake.streaming.landing import ingest_new_files
+
+__all__ = ["ingest_new_files"]
