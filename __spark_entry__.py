@@ -29,7 +29,10 @@ from tradelake.operators.lookups import merge_lookups
 from tradelake.operators.rolling import roll_months, roll_rows
 from tradelake.plans import ingest, reports
 from tradelake.plans.presentation import stable
-from tradelake.session import materialize
+from tradelake.schemas import NCM_EXP_SCHEMA
+from tradelake.session import materialize, scratch_path
+from tradelake.sources.lake import open_ncm
+from tradelake.sources.trade_csv import file_counts, read_control, read_hs4_raw, read_table
 from tradelake.sources import testdata as td
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -312,6 +315,48 @@ def q_reconcile_hs4(spark, d):
     return reconcile(td.hs4_facts(spark, d), td.control_totals_mun(spark, d))
 
 
+def q_hs4_csv_roundtrip(spark, d):
+    landing = ingest.land_hs4_as_csv(td.hs4_facts(spark, d))
+    return reports.format_hs4(read_hs4_raw(spark, landing))
+
+
+def q_lookup_csv_roundtrip(spark, d):
+    folder = scratch_path(spark, "tables")
+    n = td.table(spark, d, "nation").selectExpr("n_nationkey AS CO_PAIS", "n_name AS NO_PAIS_ING",
+                                                "n_regionkey AS CO_BLOCO")
+    ingest.land_table_csv(n, f"{folder}/pais.csv")
+    return read_table(spark, "pais", folder)
+
+
+def q_control_csv_reconcile(spark, d):
+    folder = scratch_path(spark, "tables")
+    c = _control(spark, d)
+    official = {"file": "ARQUIVO", "year": "CO_ANO", "qt_stat": "QT_ESTAT", "kg_net": "KG_LIQUIDO",
+                "fob_usd": "VL_FOB", "freight_usd": "VL_FRETE", "insurance_usd": "VL_SEGURO",
+                "number_of_lines": "NUMERO_LINHAS"}
+    imp = c.where(F.col("file").startswith("IMP")).select(*[F.col(k).alias(v) for k, v in official.items()])
+    exp = c.where(F.col("file").startswith("EXP")).select(
+        *[F.col(k).alias(v) for k, v in official.items() if k not in ("freight_usd", "insurance_usd")])
+    ingest.land_table_csv(imp, f"{folder}/imp_totais_conferencia.csv", decimal_comma=True)
+    ingest.land_table_csv(exp, f"{folder}/exp_totais_conferencia.csv", decimal_comma=True)
+    return reconcile(_facts(spark, d), read_control(spark, folder))
+
+
+def q_ingest_job(spark, d):
+    landing = ingest.land_as_csv(_facts(spark, d))
+    lake = ingest.ingest(spark, landing, scratch_path(spark, "lake"), control=_control(spark, d))
+    return sum_prefixed(open_ncm(spark, lake), by=["direction", "year"])
+
+
+def q_file_quality(spark, d):
+    landing = ingest.land_as_csv(_facts(spark, d))
+    per_file = file_counts(spark, f"{landing}/direction=imp").unionByName(
+        file_counts(spark, f"{landing}/direction=exp", schema=NCM_EXP_SCHEMA))
+    # per landed file, then summed per (direction folder, year)
+    return per_file.groupBy(F.regexp_extract("file_path", r"direction=(imp|exp)", 1).alias("direction"),
+                            "year").agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
+
+
 def q_lake_roundtrip(spark, d):
     lake = ingest.publish_lake(_facts(spark, d))
     return sum_prefixed(spark.read.parquet(lake), by=["direction", "year"])
@@ -367,6 +412,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "deflator_report": q_deflator_report,
     "month_labels": q_month_labels,
     "reconcile_hs4": q_reconcile_hs4,
+    "hs4_csv_roundtrip": q_hs4_csv_roundtrip,
+    "lookup_csv_roundtrip": q_lookup_csv_roundtrip,
+    "control_csv_reconcile": q_control_csv_reconcile,
+    "ingest_job": q_ingest_job,
+    "file_quality": q_file_quality,
     "lake_roundtrip": q_lake_roundtrip,
     "csv_ingest_roundtrip": q_csv_ingest_roundtrip,
 }

@@ -634,6 +634,14 @@ control_mun AS (
 Q["reconcile_hs4"] = _reconcile("SELECT * FROM control_mun", check=("kg_net", "fob_usd", "number_of_lines"),
                                 source="hs4", ctes=(HS4, CONTROL_MUN))
 
+Q["hs4_csv_roundtrip"] = Q["format_hs4"]
+Q["lookup_csv_roundtrip"] = ("SELECT CAST(n_nationkey AS INTEGER) AS country_code, n_name AS country_name, "
+                             "CAST(n_regionkey AS VARCHAR) AS block_code FROM nation")
+Q["control_csv_reconcile"] = Q["reconcile_ok"]
+Q["ingest_job"] = Q["sum_by_direction_year"]
+Q["file_quality"] = ("SELECT CASE WHEN l_linestatus = 'F' THEN 'imp' ELSE 'exp' END AS direction, "
+                     "CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows, CAST(0 AS BIGINT) AS bad_rows "
+                     "FROM lineitem GROUP BY 1, 2")
 Q["lake_roundtrip"] = Q["sum_by_direction_year"]
 Q["csv_ingest_roundtrip"] = Q["sum_by_direction_year"]
 

@@ -104,6 +104,21 @@ def land_hs4_as_csv(facts: DataFrame, path: str | None = None) -> str:
     return path
 
 
+def land_table_csv(df: DataFrame, path: str, decimal_comma: bool = False) -> str:
+    """Write one official-style table (';', header, latin1) as ``path`` (a folder).
+
+    With ``decimal_comma`` doubles are written as text with a decimal comma.
+    """
+    cols = []
+    for f in df.schema.fields:
+        if decimal_comma and f.dataType.typeName() == "double":
+            cols.append(F.regexp_replace(F.format_string("%.2f", F.col(f.name)), r"\.", ",").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    df.select(*cols).coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    return path
+
+
 def read_landed_ncm(spark: SparkSession, landing: str) -> DataFrame:
     from tradelake.sources.trade_csv import read_ncm_raw
     return read_ncm_raw(spark, landing)

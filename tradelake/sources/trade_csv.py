@@ -81,12 +81,15 @@ def file_counts(spark: SparkSession, base: str, schema=NCM_IMP_SCHEMA, year: str
                 strict: bool = False) -> DataFrame:
     """Rows and unreadable rows per landed file and year (the landing probe).
 
-    Input files are never deleted; ``strict=True`` fails the job instead.
+    Columns: file_path, file_name, year, rows, bad_rows. Input files are never
+    deleted; ``strict=True`` fails the job instead.
     """
-    s = schema.add("_corrupt_record", "string")
+    from pyspark.sql.types import StructType
+    s = StructType(list(schema.fields)).add("_corrupt_record", "string")
     df = (_reader(spark, s).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(base))
-    out = df.groupBy(F.col("_metadata.file_name").alias("file_name"), F.col(year)).agg(
+    out = df.groupBy(F.col("_metadata.file_path").alias("file_path"),
+                     F.col("_metadata.file_name").alias("file_name"), F.col(year)).agg(
         F.count(F.lit(1)).alias("rows"), F.count("_corrupt_record").alias("bad_rows"))
     if strict:
         out = out.withColumn("bad_rows", F.when(F.col("bad_rows") > 0,
