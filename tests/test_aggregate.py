@@ -64,3 +64,18 @@ def test_group_sums_add_up_to_total(spark):
 def test_no_match_raises(spark):
     with pytest.raises(ValueError):
         sum_prefixed(spark.createDataFrame([(1,)], "x long"))
+
+
+def test_directions_add_up_to_total(spark):
+    from tradelake.sources import testdata as td
+    facts = td.trade_facts(spark, "/root/testdata/sf0.001")
+    by_dir = sum_prefixed(facts, by="direction", prefixes=["qt_stat", "fob_usd"]).collect()
+    total = sum_prefixed(facts, prefixes=["qt_stat", "fob_usd"]).collect()[0]
+    assert sum(r["fob_usd"] for r in by_dir) == total["fob_usd"]
+    assert sum(r["qt_stat"] for r in by_dir) == total["qt_stat"]
+
+
+def test_scale_settings_bounds():
+    from tradelake.session import scale_settings
+    assert scale_settings(10 << 20)["spark.sql.shuffle.partitions"] == "200"
+    assert scale_settings(100 * 10**12)["spark.sql.shuffle.partitions"] == "100000"

@@ -7,6 +7,7 @@ partitions are left to the cluster's configuration; tests pass a small number.
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 
@@ -38,6 +39,25 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and scan sizing for a job reading about ``input_bytes``.
+
+    The shuffle partition count is an upper bound sized so that a full
+    shuffle of the input (the lake write, a join back on raw facts) keeps
+    partitions near ``partition_bytes``; adaptive execution coalesces the
+    small partitions of the aggregates and splits skewed ones. About 100 TB
+    gives the cap of 100k partitions.
+    """
+    n = max(200, min(100_000, math.ceil(input_bytes / partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
