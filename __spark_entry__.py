@@ -144,7 +144,8 @@ def q_roll12_by_direction(spark, d):
 def q_roll3_with_ties(spark, d):
     f = _facts(spark, d).select("year", "month", "ncm", "country_code", "direction", "date",
                                 "qt_stat", "fob_usd", "freight_usd")
-    return roll_months(f, by=["direction"], prefixes=["qt_", "fob_", "freight_"], k=3)
+    # two directions x months: the rolled table is bounded by the calendar
+    return roll_months(f, by=["direction"], prefixes=["qt_", "fob_", "freight_"], k=3, bounded_groups=True)
 
 
 def q_roll_rows12(spark, d):

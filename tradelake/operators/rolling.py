@@ -36,12 +36,18 @@ def _by(by) -> list[str]:
 
 def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
                 prefixes: Sequence[str] | str = DEFAULT_PREFIXES, k: int = 12,
-                date: str = "date", one_row_per_date: bool = False) -> DataFrame:
+                date: str = "date", one_row_per_date: bool = False,
+                bounded_groups: bool = False) -> DataFrame:
     """Add ``{col}_{k}`` rolling sums (double) for every prefix-matched column.
 
     ``one_row_per_date=True`` states that the input already has one row per
     (by, month), e.g. the output of ``sum_prefixed(by=[*by, date])``; the
     pre-aggregation and the join back are then skipped.
+
+    ``bounded_groups=True`` states that the ``by`` keys take few values (e.g.
+    the trade direction), so the rolled table (groups x months rows) is
+    broadcast to the rows instead of shuffling them. Otherwise the planner
+    decides from measured sizes.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -75,7 +81,7 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
     small = base.selectExpr(*[f"{q(c)} AS __k{i}" for i, c in enumerate(keys)], f"{_M} AS __m2", *rolled)
     joined = df.selectExpr("*", f"{m} AS {_M}")
     cond = [joined[c].eqNullSafe(small[f"__k{i}"]) for i, c in enumerate(keys)] + [joined[_M] == small["__m2"]]
-    out = joined.join(small, cond, "left")
+    out = joined.join(F.broadcast(small) if bounded_groups else small, cond, "left")
     return out.select(*[joined[c] for c in df.columns], *[small[f"{c}_{k}"] for c in cols])
 
 def roll_rows(df: DataFrame, column: str, n: int = 12, order: str = "date",
