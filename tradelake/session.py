@@ -65,13 +65,18 @@ def shared_dir(spark: SparkSession) -> str:
     (local tests) a folder under the warehouse directory is configured.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext
+        pass
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         wh = spark.conf.get("spark.sql.warehouse.dir")
         d = wh.rstrip("/") + "/_tradelake_checkpoints"
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
