@@ -184,19 +184,24 @@ def yearly_growth_long(yearly: DataFrame, values: Sequence[str] = ("fob_brl_defl
 
 
 # R14
-def fiscal_long(sheet: DataFrame, first_year: int, value_name: str = "imposto_brl",
+def fiscal_long(sheet: DataFrame, first_year, value_name: str = "imposto_brl",
                 category: str = "arrecadacao_categoria", unit: float = 1e6) -> DataFrame:
-    """Wide monthly sheet (13 lines per year) -> (date, category, value in units)."""
+    """Wide monthly sheet (13 lines per year) -> (date, category, value in units).
+
+    The year comes from the line number (13 lines a year from ``first_year``,
+    an int or a scalar column); the TOTAL line and lines without a month
+    label are dropped.
+    """
     values = [c for c in sheet.columns if c not in ("mes", "line")]
-    labels = F.array(*[F.lit(x) for x in MONTH_LABELS])
+    labels = ", ".join(f"'{x}'" for x in MONTH_LABELS)
     s = sheet.select(
         "mes", *values, "line",
         (F.floor((F.col("line") - 1) / 13) + first_year).cast("int").alias("ano"),
-        F.array_position(labels, F.col("mes")).cast("int").alias("mes_codigo"))
-    s = s.where(F.col("mes_codigo") > 0).withColumn("date", F.make_date("ano", "mes_codigo", F.lit(1)))
+        F.expr(f"CAST(array_position(array({labels}), mes) AS INT) AS mes_codigo"))
+    s = s.where("mes_codigo > 0").selectExpr("*", "make_date(ano, mes_codigo, 1) AS date")
     ids = ["mes", "line", "ano", "mes_codigo", "date"]
     long = longer(s, ids, values, category, f"{value_name}_milhoes")
-    return long.select(*ids, category, (F.col(f"{value_name}_milhoes") * F.lit(unit)).alias(value_name))
+    return long.selectExpr(*ids, category, f"{value_name}_milhoes * {unit!r}D AS {value_name}")
 
 
 # R15
@@ -213,13 +218,14 @@ def effective_rate(tax_long: DataFrame, tax_real_long: DataFrame, facts: DataFra
     d = deflate(j, deflators).withColumnRenamed("imposto_nominal_brl", "imposto_brl")
     r = roll_months(d, by=None, prefixes=list(DEFAULT_PREFIXES) + ["imposto_"], k=window,
                     one_row_per_date=True)
-    r = r.withColumn("ii_prop", ratio("imposto_brl", "cif_brl")) \
-         .withColumn(f"ii_prop_{window}", ratio(f"imposto_brl_{window}", f"cif_brl_{window}"))
-    pib = roll_rows(gdp.select("date", (F.col("pib_brl_milhoes") * F.lit(1e6)).alias("pib_brl")),
+    pib = roll_rows(gdp.selectExpr("date", "pib_brl_milhoes * 1000000.0D AS pib_brl"),
                     "pib_brl", n=12, name="pib_annual_brl")
     r = r.join(pib.select("date", "pib_annual_brl"), "date", "left")
-    return r.withColumn(f"imp_pct_pib_{window}", ratio(f"cif_brl_{window}", "pib_annual_brl")) \
-            .withColumn(f"ii_ipi_pct_pib_{window}", ratio(f"imposto_brl_{window}", "pib_annual_brl"))
+    w = window
+    return r.selectExpr("*", "try_divide(imposto_brl, cif_brl) AS ii_prop",
+                        f"try_divide(imposto_brl_{w}, cif_brl_{w}) AS ii_prop_{w}",
+                        f"try_divide(cif_brl_{w}, pib_annual_brl) AS imp_pct_pib_{w}",
+                        f"try_divide(imposto_brl_{w}, pib_annual_brl) AS ii_ipi_pct_pib_{w}")
 
 
 # fixed values: display names of the two share series (the reference's labels)

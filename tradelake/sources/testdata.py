@@ -217,27 +217,26 @@ def fiscal_sheet(spark: SparkSession, sf_dir: str, first_year, scale: float = 1.
     """
     from tradelake.schemas import MONTH_LABELS
     o = table(spark, sf_dir, "orders")
-    cents = _cents(F.col("o_totalprice"))
-    urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    monthly = o.groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("mo")).agg(
-        F.sum(F.when(~urgent, cents).otherwise(F.lit(0))).alias("a"),
-        F.sum(F.when(urgent, cents).otherwise(F.lit(0))).alias("b"))
-    yearly = monthly.groupBy("y").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).withColumn("mo", F.lit(13))
+    cents = "CAST(floor(o_totalprice * 100 + 0.5D) AS BIGINT)"
+    urgent = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+    monthly = o.groupBy(F.expr("year(o_orderdate) AS y"), F.expr("month(o_orderdate) AS mo")).agg(
+        F.expr(f"sum(CASE WHEN {urgent} THEN 0 ELSE {cents} END) AS a"),
+        F.expr(f"sum(CASE WHEN {urgent} THEN {cents} ELSE 0 END) AS b"))
+    yearly = monthly.groupBy("y").agg(F.expr("sum(a) AS a"), F.expr("sum(b) AS b")).selectExpr("y", "13 AS mo", "a", "b")
     rows = monthly.unionByName(yearly)
-    first = first_year
-    labels = F.array(*[F.lit(x) for x in MONTH_LABELS], F.lit("TOTAL"))
-    unit = F.lit(1e8 / scale)
+    labels = ", ".join(f"'{x}'" for x in (*MONTH_LABELS, "TOTAL"))
+    unit = repr(1e8 / scale) + "D"
     return rows.select(
-        F.element_at(labels, F.col("mo")).alias("mes"),
-        (F.col("a") / unit).alias("i_renda"),
-        (F.col("b") / unit).alias("i_importacao_e_ipi_vinculado"),
-        ((F.col("a") + F.col("b")) / unit).alias("total_geral"),
-        ((F.col("y") - first) * 13 + F.col("mo")).cast("int").alias("line"),
+        F.expr(f"element_at(array({labels}), mo) AS mes"),
+        F.expr(f"a / {unit} AS i_renda"),
+        F.expr(f"b / {unit} AS i_importacao_e_ipi_vinculado"),
+        F.expr(f"(a + b) / {unit} AS total_geral"),
+        ((F.col("y") - first_year) * 13 + F.col("mo")).cast("int").alias("line"),
     )
 
 
 def gdp_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(date, pib_brl_milhoes): monthly nominal output from order values."""
     o = table(spark, sf_dir, "orders")
-    return o.groupBy(month_start("o_orderdate").alias("date")).agg(
-        (F.sum(_cents(F.col("o_totalprice"))) / F.lit(1e6)).alias("pib_brl_milhoes"))
+    return o.groupBy(F.expr("trunc(to_date(o_orderdate), 'month') AS date")).agg(
+        F.expr("sum(CAST(floor(o_totalprice * 100 + 0.5D) AS BIGINT)) / 1000000.0D AS pib_brl_milhoes"))
