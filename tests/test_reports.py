@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from tradelake.plans import reports
@@ -42,3 +41,9 @@ def test_fiscal_long_from_sheet_lines(spark):
 def test_same_month_as_latest(spark):
     df = spark.createDataFrame([(d("2022-03-01"),), (d("2022-04-01"),), (d("2023-03-01"),)], "date date")
     assert sorted(r["date"] for r in reports.same_month_as_latest(df).collect()) == [d("2022-03-01"), d("2023-03-01")]
+
+
+def test_ordered_nulls_last(spark):
+    from tradelake.plans.presentation import ordered
+    df = spark.createDataFrame([(d("2023-02-01"),), (None,), (d("2023-01-01"),)], "date date")
+    assert [r["date"] for r in ordered(df).collect()] == [d("2023-01-01"), d("2023-02-01"), None]

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tradelake.operators.aggregate import sum_prefixed
 from tradelake.plans import ingest
 from tradelake.session import scratch_path

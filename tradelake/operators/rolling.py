@@ -18,7 +18,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tradelake.functions.dates import month_index
 from tradelake.functions.names import match_prefix
 from tradelake.functions.nulls import nsum_over, nsum_sql, q
 from tradelake.schemas import DEFAULT_PREFIXES

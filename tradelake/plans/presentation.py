@@ -35,3 +35,13 @@ def stable(df: DataFrame) -> DataFrame:
         n = "`" + f.name.replace("`", "``") + "`"
         cols.append(f"round({n}, {r}) AS {n}" if r is not None else n)
     return df.selectExpr(*cols)
+
+
+def ordered(df: DataFrame, *cols: str, desc: bool = False) -> DataFrame:
+    """Final sort for display, NULLs last as the reference sorts (default: by date).
+
+    A global sort is a range-partitioned shuffle; operators never sort, only
+    the final step of a report does, if the caller wants ordered rows.
+    """
+    keys = cols or ("date",)
+    return df.orderBy(*[(F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_last()) for c in keys])

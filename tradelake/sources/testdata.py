@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradelake.functions.dates import make_month, month_start
+from tradelake.functions.dates import month_start
 
 
 _READS: dict = {}
