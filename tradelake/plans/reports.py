@@ -23,24 +23,29 @@ from tradelake.schemas import DEFAULT_PREFIXES, MONTH_LABELS
 from tradelake.session import materialize
 
 
-def _null_safe_semi(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+def _null_safe_filter(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows of ``df`` whose ``on`` is among the (few, unique) ``keys``; NULL matches NULL.
+
+    An inner join with the broadcast key list, not a semi join: the optimizer
+    pushes semi joins below aggregates, which would split the shared series
+    aggregate into two scans of the facts.
+    """
     k = keys.select(F.col(on).alias("__key"))
-    return df.join(F.broadcast(k), df[on].eqNullSafe(k["__key"]), "left_semi")
+    return df.join(F.broadcast(k), df[on].eqNullSafe(k["__key"]), "inner").drop("__key")
 
 
 def top_members_series(df: DataFrame, member: str, series_keys: Sequence[str], k: int,
                        value: str = "fob_usd") -> DataFrame:
     """Series of ``value`` by (series_keys, member) for the k largest members.
 
-    One aggregate to (series_keys, member), written once: the ranking
-    re-aggregates that small table and the top-k list (k rows, broadcast)
-    filters it. Without the checkpoint the optimizer pushes the semi-join
-    below the aggregate and the facts would be scanned twice.
+    One aggregate to (series_keys, member); the ranking re-aggregates that
+    small table and the top-k list (k rows, broadcast) filters it. Both
+    branches share the aggregate's shuffle, so the facts are scanned once.
     """
-    series = materialize(df.groupBy(*series_keys, member).agg(nsum(value).alias(value)))
+    series = df.groupBy(*series_keys, member).agg(nsum(value).alias(value))
     totals = series.groupBy(member).agg(nsum(value).alias(value))
     top = top_k(totals, k, desc=value, tiebreak=member)
-    return _null_safe_semi(series, top, member)
+    return _null_safe_filter(series, top, member)
 
 
 # R1
