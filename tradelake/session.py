@@ -28,6 +28,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         # partitioned Parquet is the lake format; prune on (year, direction)
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # checkpointed intermediates are removed once nothing references them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
