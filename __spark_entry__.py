@@ -45,6 +45,7 @@ CATEGORY_PARTNER = 9            # partner whose categories are ranked
 CATEGORY_SINCE = "1998-01-01"
 CATEGORY = "LAR"                # category code for the partner-vs-rest report
 FORMAT_YEARS = (1996, 1997, 1998, 1999)
+RECENT_YEARS = (1998, 2001)
 BASEDATE = "1999-12-01"
 
 _stable = stable
@@ -127,6 +128,12 @@ def q_top_partners(spark, d):
     return reports.top_partners(_facts(spark, d), td.countries(spark, d), td.country_blocks(spark, d), BLOCKS)
 
 
+def q_top_partners_recent(spark, d):
+    # the article's window: the last four years of data
+    return reports.top_partners(_facts(spark, d), td.countries(spark, d), td.country_blocks(spark, d), BLOCKS,
+                                years=RECENT_YEARS)
+
+
 def q_top_states(spark, d):
     return reports.top_states(_facts(spark, d))
 
@@ -376,6 +383,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "format_ncm": q_format_ncm,
     "format_hs4": q_format_hs4,
     "top_partners": q_top_partners,
+    "top_partners_recent": q_top_partners_recent,
     "top_states": q_top_states,
     "partner_real_rolling": q_partner_real_rolling,
     "roll12_by_direction": q_roll12_by_direction,

@@ -206,6 +206,14 @@ fp AS (SELECT f.*, pb.partner FROM facts f LEFT JOIN pb ON f.country_code = pb.c
                           _top_series("partner", 5, "fp")) + \
     "SELECT s.* FROM series s WHERE EXISTS (SELECT 1 FROM top t WHERE t.partner IS NOT DISTINCT FROM s.partner)"
 
+Q["top_partners_recent"] = with_(FACTS, """
+pb AS (SELECT n.n_nationkey AS country_code,
+              CASE WHEN n.n_regionkey = 1 THEN r.r_name WHEN n.n_regionkey = 3 THEN r.r_name ELSE n.n_name END AS partner
+       FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+fp AS (SELECT f.*, pb.partner FROM facts f LEFT JOIN pb ON f.country_code = pb.country_code
+       WHERE f.year BETWEEN 1998 AND 2001)""", _top_series("partner", 5, "fp")) + \
+    "SELECT s.* FROM series s WHERE EXISTS (SELECT 1 FROM top t WHERE t.partner IS NOT DISTINCT FROM s.partner)"
+
 Q["top_states"] = with_(FACTS, _top_series("state_abb", 3, "facts")) + \
     "SELECT s.* FROM series s WHERE EXISTS (SELECT 1 FROM top t WHERE t.state_abb IS NOT DISTINCT FROM s.state_abb)"
 

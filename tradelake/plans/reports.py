@@ -49,17 +49,23 @@ def top_members_series(df: DataFrame, member: str, series_keys: Sequence[str], k
 
 
 # R1
+def _year_range(facts: DataFrame, years: tuple[int, int] | None) -> DataFrame:
+    # a range on the partition key: prunes directories on the lake
+    return facts if years is None else facts.where(F.col("year").between(years[0], years[1]))
+
+
 def top_partners(facts: DataFrame, countries: DataFrame, blocks: DataFrame, collapse: Sequence[int],
-                 k: int = 5) -> DataFrame:
+                 k: int = 5, years: tuple[int, int] | None = None) -> DataFrame:
     """Top-k partners (listed blocks collapsed to one partner) and their yearly series."""
+    facts = _year_range(facts, years)
     pb = partner_labels(countries, blocks, collapse)
     f = facts.join(F.broadcast(pb), "country_code", "left")
     return top_members_series(f, "partner", ["year", "direction"], k)
 
 
 # R2
-def top_states(facts: DataFrame, k: int = 3) -> DataFrame:
-    return top_members_series(facts, "state_abb", ["year", "direction"], k)
+def top_states(facts: DataFrame, k: int = 3, years: tuple[int, int] | None = None) -> DataFrame:
+    return top_members_series(_year_range(facts, years), "state_abb", ["year", "direction"], k)
 
 
 # R3
