@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradelake.functions.nulls import nsum, ratio
-from tradelake.operators.aggregate import sum_prefixed
+from tradelake.operators.aggregate import share_of_sums, sum_prefixed
 from tradelake.operators.deflate import deflate
 from tradelake.operators.lookups import partner_labels
 from tradelake.operators.ranking import first_per_group, top_k
@@ -270,11 +270,10 @@ def format_hs4(facts: DataFrame) -> DataFrame:
 
 # R17
 def freight_share_by_year(facts: DataFrame) -> DataFrame:
-    g = facts.groupBy("year", "direction").agg(nsum("fob_usd").alias("fob_usd"), nsum("freight_usd").alias("freight_usd"))
-    return g.withColumn("p", ratio("freight_usd", "fob_usd"))
+    """Freight over FOB per (year, direction); exports have no freight, so NULL."""
+    return share_of_sums(facts, ["year", "direction"], num="freight_usd", den="fob_usd")
 
 
 def freight_share_by_country(facts: DataFrame) -> DataFrame:
-    g = facts.groupBy("country_code").agg(nsum("fob_usd", na_rm=True).alias("fob_usd"),
-                                          nsum("freight_usd").alias("freight_usd"))
-    return g.withColumn("p", ratio("freight_usd", "fob_usd"))
+    """Freight over FOB per country; FOB skips NULLs, freight does not (as the reference's example)."""
+    return share_of_sums(facts, "country_code", num="freight_usd", den="fob_usd", na_rm_den=True)
