@@ -329,11 +329,12 @@ def q_hs4_csv_roundtrip(spark, d):
 
 
 def q_lookup_csv_roundtrip(spark, d):
+    # the product code table as an official CSV: codes keep their leading zeros
     folder = scratch_path(spark, "tables")
-    n = td.table(spark, d, "nation").selectExpr("n_nationkey AS CO_PAIS", "n_name AS NO_PAIS_ING",
-                                                "n_regionkey AS CO_BLOCO")
-    ingest.land_table_csv(n, f"{folder}/pais.csv")
-    return read_table(spark, "pais", folder)
+    p = td.table(spark, d, "part").selectExpr("lpad(CAST(p_partkey AS STRING), 8, '0') AS CO_NCM",
+                                              "CAST(p_size % 10 AS STRING) AS CO_UNID", "p_name AS NO_NCM_ING")
+    ingest.land_table_csv(p, f"{folder}/ncm.csv")
+    return read_table(spark, "ncm", folder)
 
 
 def q_control_csv_reconcile(spark, d):

@@ -643,8 +643,8 @@ Q["reconcile_hs4"] = _reconcile("SELECT * FROM control_mun", check=("kg_net", "f
                                 source="hs4", ctes=(HS4, CONTROL_MUN))
 
 Q["hs4_csv_roundtrip"] = Q["format_hs4"]
-Q["lookup_csv_roundtrip"] = ("SELECT CAST(n_nationkey AS INTEGER) AS country_code, n_name AS country_name, "
-                             "CAST(n_regionkey AS VARCHAR) AS block_code FROM nation")
+Q["lookup_csv_roundtrip"] = ("SELECT lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS co_ncm, "
+                             "CAST(p_size % 10 AS VARCHAR) AS co_unid, p_name AS no_ncm_ing FROM part")
 Q["control_csv_reconcile"] = Q["reconcile_ok"]
 Q["ingest_job"] = Q["sum_by_direction_year"]
 Q["file_quality"] = ("SELECT CASE WHEN l_linestatus = 'F' THEN 'imp' ELSE 'exp' END AS direction, "

@@ -39,9 +39,11 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
                 bounded_groups: bool = False) -> DataFrame:
     """Add ``{col}_{k}`` rolling sums (double) for every prefix-matched column.
 
-    ``one_row_per_date=True`` states that the input already has one row per
-    (by, month), e.g. the output of ``sum_prefixed(by=[*by, date])``; the
-    pre-aggregation and the join back are then skipped.
+    ``one_row_per_date=True`` runs the window on the input directly, for input
+    already reduced to one row per (by, month) such as the output of
+    ``sum_prefixed(by=[*by, date])``. The values would be the same on any
+    input (tied dates share the frame either way), but on raw facts that plan
+    sorts every row of a group in a single task; the default reduces first.
 
     ``bounded_groups=True`` states that the ``by`` keys take few values (e.g.
     the trade direction), so the rolled table (groups x months rows) is
