@@ -53,6 +53,8 @@ def reconcile(data: DataFrame, control: DataFrame, measures: Sequence[str] = CHE
                       *[F.col(m).cast("double").alias(f"__a_{m}") for m in shared])
     c = control.select(F.col("year").cast("int").alias("year"), "direction", "file",
                        *[F.col(m).cast("double").alias(m) for m in shared])
+    # one row per (year, direction): bounded by the calendar, broadcast
+    t = F.broadcast(t)
     j = c.join(t, (c.year == t.__y) & (c.direction == t.__d), "left")
     same = F.lit(True)
     for m in shared:
