@@ -31,7 +31,7 @@ from tradelake.plans import ingest, reports
 from tradelake.plans.presentation import stable
 from tradelake.schemas import NCM_EXP_SCHEMA
 from tradelake.session import materialize, scratch_path
-from tradelake.sources.lake import open_ncm
+from tradelake.sources.lake import open_hs4, open_ncm
 from tradelake.sources.trade_csv import file_counts, read_control, read_hs4_raw, read_table
 from tradelake.sources import testdata as td
 
@@ -366,6 +366,12 @@ def q_file_quality(spark, d):
                             "year").agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
 
 
+def q_hs4_lake_roundtrip(spark, d):
+    # rewrite() picks the HS4 dataset (no ncm column) and publishes it under <base>/hs4
+    path, _ = ingest.rewrite(td.hs4_facts(spark, d), scratch_path(spark, "lake"))
+    return reports.format_hs4(open_hs4(spark, path))
+
+
 def q_lake_roundtrip(spark, d):
     lake = ingest.publish_lake(_facts(spark, d))
     return sum_prefixed(spark.read.parquet(lake), by=["direction", "year"])
@@ -427,6 +433,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "control_csv_reconcile": q_control_csv_reconcile,
     "ingest_job": q_ingest_job,
     "file_quality": q_file_quality,
+    "hs4_lake_roundtrip": q_hs4_lake_roundtrip,
     "lake_roundtrip": q_lake_roundtrip,
     "csv_ingest_roundtrip": q_csv_ingest_roundtrip,
 }

@@ -650,6 +650,7 @@ Q["ingest_job"] = Q["sum_by_direction_year"]
 Q["file_quality"] = ("SELECT CASE WHEN l_linestatus = 'F' THEN 'imp' ELSE 'exp' END AS direction, "
                      "CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows, CAST(0 AS BIGINT) AS bad_rows "
                      "FROM lineitem GROUP BY 1, 2")
+Q["hs4_lake_roundtrip"] = Q["format_hs4"]
 Q["lake_roundtrip"] = Q["sum_by_direction_year"]
 Q["csv_ingest_roundtrip"] = Q["sum_by_direction_year"]
 
