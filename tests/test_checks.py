@@ -60,3 +60,8 @@ def test_missing_partitions(spark):
     present = _facts(spark).select("year", "direction").withColumn("type", F.lit("ncm"))
     got = sorted((r["year"], r["direction"]) for r in missing_partitions(grid, present).collect())
     assert got == [(2022, "exp"), (2022, "imp")]
+
+
+def test_year_and_direction_filters(spark):
+    rep = reconcile(_facts(spark), _ctrl(spark, extra=True), years=[2023], directions=["imp"])
+    assert _status(rep) == {(2023, "imp"): "ok"}

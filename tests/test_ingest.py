@@ -89,3 +89,12 @@ def test_union_missing_columns_derives_direction(spark):
     exp = f.where("direction = 'exp'").select("year", "month", "fob_usd")
     u = ingest.standardize_union([imp, exp])
     assert sorted((r["direction"], r["cif_usd"]) for r in u.collect()) == [("exp", None), ("imp", 1007), ("imp", 2010)]
+
+
+def test_hs4_ingest(spark):
+    from tradelake.sources import testdata as td
+    facts = td.hs4_facts(spark, "/root/testdata/sf0.001")
+    landing = ingest.land_hs4_as_csv(facts)
+    lake = ingest.ingest(spark, landing, scratch_path(spark, "test-lake"), kind="hs4",
+                         control=td.control_totals_mun(spark, "/root/testdata/sf0.001"))
+    assert spark.read.parquet(lake).count() == facts.count()

@@ -38,14 +38,22 @@ def fact_totals(data: DataFrame, measures: Sequence[str] = CHECK_MEASURES) -> Da
 
 
 def reconcile(data: DataFrame, control: DataFrame, measures: Sequence[str] = CHECK_MEASURES,
-              strict: bool = False) -> DataFrame:
+              strict: bool = False, years: Sequence[int] | None = None,
+              directions: Sequence[str] | None = None) -> DataFrame:
     """Long report (year, direction, file, status, measure, expected, actual).
 
     ``control`` has ``file``, ``year`` and the measure columns its files carry
     (missing ones count as NULL). ``strict=True`` fails the job on a mismatch.
+    ``years`` / ``directions`` restrict both sides (partition filters on a lake).
     """
     if "direction" not in control.columns:
         control = control_direction(control)
+    if years is not None:
+        data = data.where(F.col("year").isin(list(years)))
+        control = control.where(F.col("year").isin(list(years)))
+    if directions is not None:
+        data = data.where(F.col("direction").isin(list(directions)))
+        control = control.where(F.col("direction").isin(list(directions)))
     totals = fact_totals(data, measures)
     shared = [m for m in totals.columns if m in set(control.columns) and m not in ("year", "direction")]
     t = totals.select(F.col("year").cast("int").alias("__y"), F.col("direction").alias("__d"),

@@ -125,18 +125,27 @@ def read_landed_ncm(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, landing: str, lake: str, years: Sequence[int] | None = None,
-           directions: Sequence[str] = ("imp", "exp"), control: DataFrame | None = None) -> str:
+           directions: Sequence[str] = ("imp", "exp"), control: DataFrame | None = None,
+           kind: str = "ncm") -> str:
     """Landing CSVs -> filter -> validate against control totals -> publish.
 
-    Validation runs first (one aggregate over the measure columns and a join
-    with the small control table) and fails the job on a mismatch, so a bad
-    landing never replaces good partitions.
+    ``kind`` is ``ncm`` (per-direction folders with positional schemas) or
+    ``hs4`` (municipality files, direction from the folder name). Validation
+    runs first (one aggregate over the measure columns and a join with the
+    small control table) and fails the job on a mismatch, so a bad landing
+    never replaces good partitions.
     """
-    raw = read_landed_ncm(spark, landing)
+    if kind not in ("ncm", "hs4"):
+        raise ValueError("kind must be 'ncm' or 'hs4'")
+    if kind == "ncm":
+        raw = read_landed_ncm(spark, landing)
+    else:
+        from tradelake.sources.trade_csv import read_hs4_raw
+        raw = read_hs4_raw(spark, landing)
     if years is not None:
         raw = raw.where(F.col("year").isin(list(years)))
     raw = raw.where(F.col("direction").isin(list(directions)))
     if control is not None:
         report = reconcile(raw, control, strict=True)
         report.where(F.col("status") == "mismatch").count()  # action: raises on a mismatch
-    return publish_lake(raw, lake)
+    return publish_lake(raw, lake, sort_by=("ncm", "month") if kind == "ncm" else ("hs4", "month"))
