@@ -150,7 +150,7 @@ def final(src: str, cols: list[str], doubles: set[str]) -> str:
     out = []
     for c in cols:
         r = round_rule(c) if c in doubles else None
-        out.append(f"round({c}, {r}) AS {c}" if r is not None else c)
+        out.append(f"round({c}, {r}) + 0.0 AS {c}" if r is not None else c)
     return f"SELECT {', '.join(out)} FROM {src}"
 
 
@@ -452,12 +452,12 @@ Q["partner_vs_rest"] = _q_pvr(False)
 Q["partner_vs_rest_real"] = _q_pvr(True)
 
 Q["freight_share_year"] = with_(FACTS) + (
-    f"SELECT year, direction, fob_usd, freight_usd, round(freight_usd / nullif(fob_usd, 0), 9) AS p FROM ("
+    f"SELECT year, direction, fob_usd, freight_usd, round(freight_usd / nullif(fob_usd, 0), 9) + 0.0 AS p FROM ("
     f"SELECT year, direction, {nsum('fob_usd', 'BIGINT')} AS fob_usd, {nsum('freight_usd', 'BIGINT')} AS freight_usd "
     "FROM facts GROUP BY year, direction) q")
 
 Q["freight_share_country"] = with_(FACTS) + (
-    f"SELECT country_code, fob_usd, freight_usd, round(freight_usd / nullif(fob_usd, 0), 9) AS p FROM ("
+    f"SELECT country_code, fob_usd, freight_usd, round(freight_usd / nullif(fob_usd, 0), 9) + 0.0 AS p FROM ("
     f"SELECT country_code, CAST(coalesce(sum(fob_usd), 0) AS BIGINT) AS fob_usd, "
     f"{nsum('freight_usd', 'BIGINT')} AS freight_usd FROM facts GROUP BY country_code) q")
 
@@ -592,9 +592,9 @@ Q["effective_rate"] = _q_effective_rate()
 
 def _q_gdp_shares_long():
     q = Q["effective_rate"]
-    body = ("SELECT date, 'Importações CIF' AS serie, round(imp_pct_pib_12, 9) AS pct_pib FROM er "
+    body = ("SELECT date, 'Importações CIF' AS serie, round(imp_pct_pib_12, 9) + 0.0 AS pct_pib FROM er "
             "WHERE imp_pct_pib_12 IS NOT NULL UNION ALL "
-            "SELECT date, 'II + IPI vinculado' AS serie, round(ii_ipi_pct_pib_12, 9) AS pct_pib FROM er "
+            "SELECT date, 'II + IPI vinculado' AS serie, round(ii_ipi_pct_pib_12, 9) + 0.0 AS pct_pib FROM er "
             "WHERE imp_pct_pib_12 IS NOT NULL")
     return q[: q.rindex("SELECT ")] + body
 

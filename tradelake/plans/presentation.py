@@ -33,7 +33,8 @@ def stable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         r = round_rule(f.name) if isinstance(f.dataType, T.DoubleType) else None
         n = "`" + f.name.replace("`", "``") + "`"
-        cols.append(f"round({n}, {r}) AS {n}" if r is not None else n)
+        # + 0.0 turns a rounded -0.0 into 0.0 (engines differ on the sign of a rounded zero)
+        cols.append(f"round({n}, {r}) + 0.0D AS {n}" if r is not None else n)
     return df.selectExpr(*cols)
 
 
