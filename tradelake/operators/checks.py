@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradelake.functions.names import match_prefix
-from tradelake.functions.nulls import nsum
+from tradelake.functions.nulls import nsum, q
 from tradelake.schemas import CHECK_MEASURES
 
 MISMATCH = "Conference file mismatch with downloaded data!"
@@ -56,25 +56,19 @@ def reconcile(data: DataFrame, control: DataFrame, measures: Sequence[str] = CHE
         control = control.where(F.col("direction").isin(list(directions)))
     totals = fact_totals(data, measures)
     shared = [m for m in totals.columns if m in set(control.columns) and m not in ("year", "direction")]
-    t = totals.select(F.col("year").cast("int").alias("__y"), F.col("direction").alias("__d"),
-                      F.lit(True).alias("__present"),
-                      *[F.col(m).cast("double").alias(f"__a_{m}") for m in shared])
-    c = control.select(F.col("year").cast("int").alias("year"), "direction", "file",
-                       *[F.col(m).cast("double").alias(m) for m in shared])
+    t = totals.selectExpr("CAST(year AS INT) AS __y", "direction AS __d", "true AS __present",
+                          *[f"CAST({q(m)} AS DOUBLE) AS {q('__a_' + m)}" for m in shared])
+    c = control.selectExpr("CAST(year AS INT) AS year", "direction", "file",
+                           *[f"CAST({q(m)} AS DOUBLE) AS {q(m)}" for m in shared])
     # one row per (year, direction): bounded by the calendar, broadcast
     t = F.broadcast(t)
     j = c.join(t, (c.year == t.__y) & (c.direction == t.__d), "left")
-    same = F.lit(True)
-    for m in shared:
-        same = same & F.col(m).eqNullSafe(F.col(f"__a_{m}"))
-    status = (F.when(F.col("__present").isNull(), F.lit("uncovered"))
-               .when(same, F.lit("ok")).otherwise(F.lit("mismatch")))
+    same = " AND ".join(f"({q(m)} <=> {q('__a_' + m)})" for m in shared) or "true"
+    status = f"CASE WHEN __present IS NULL THEN 'uncovered' WHEN {same} THEN 'ok' ELSE 'mismatch' END"
     if strict:
-        status = F.when(status == "mismatch", F.raise_error(F.lit(MISMATCH))).otherwise(status)
-    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("expected"),
-                               F.col(f"__a_{m}").alias("actual")) for m in shared])
-    return j.select("year", "direction", "file", status.alias("status"),
-                    F.inline(pairs))
+        status = f"CASE WHEN ({status}) = 'mismatch' THEN raise_error('{MISMATCH}') ELSE ({status}) END"
+    pairs = ", ".join(f"struct('{m}' AS measure, {q(m)} AS expected, {q('__a_' + m)} AS actual)" for m in shared)
+    return j.selectExpr("year", "direction", "file", f"{status} AS status", f"inline(array({pairs}))")
 
 
 def coverage_grid(spark: SparkSession, years: Sequence[int], directions: Sequence[str],
