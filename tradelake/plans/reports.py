@@ -118,30 +118,25 @@ def balance(df: DataFrame, value: str = "fob_usd_deflated_12", name: str | None
 def category_change_top(facts: DataFrame, products: DataFrame, deflators: DataFrame, country: int,
                         since: str, direction: str = "imp", k: int = 10, window: int = 12) -> DataFrame:
     """Categories with the largest change of 12-month real value, same month, last two years."""
-    cat = products.select(F.col("co_ncm").alias("ncm"), F.col("no_cgce_n3_ing").alias("name"),
-                          F.col("co_cgce_n3").alias("code"))
-    f = facts.where((F.col("date") >= F.to_date(F.lit(since))) & (F.col("country_code") == country))
-    f = f.join(cat, "ncm", "left")
+    v = f"fob_usd_deflated_{window}"
+    cat = products.selectExpr("co_ncm AS ncm", "no_cgce_n3_ing AS name", "co_cgce_n3 AS code")
+    f = facts.where(f"date >= DATE '{since}' AND country_code = {int(country)}").join(cat, "ncm", "left")
     s = sum_prefixed(f, by=["name", "code", "direction", "date"])
-    d = deflate(s, deflators).where(F.col("fob_brl_deflated").isNotNull())
-    d = d.where(F.col("direction") == direction)
+    d = deflate(s, deflators).where(f"fob_brl_deflated IS NOT NULL AND direction = '{direction}'")
     r = roll_months(d, by=["name", "code", "direction"], k=window, one_row_per_date=True)
     # small (categories x months) and used twice below: written once
-    r = materialize(r.select("name", "code", "direction", "date", f"fob_usd_deflated_{window}"))
+    r = materialize(r.select("name", "code", "direction", "date", v))
     # rows in the latest row's month of the last two years: the latest date and
     # the same month one year earlier (dates are month starts)
     latest = r.agg(F.max("date")).scalar()
-    r = r.where((F.col("date") == latest) | (F.col("date") == F.add_months(latest, -12)))
-    r = r.withColumn("year", F.when(F.col("date") == latest, F.lit("current")).otherwise(F.lit("last")))
-    w = wider(r.select("name", "code", "direction", f"fob_usd_deflated_{window}", "year"),
-              ["name", "code", "direction"], "year", f"fob_usd_deflated_{window}", ["last", "current"])
-    w = (w.withColumn("current", F.coalesce("current", F.lit(0.0)))
-          .withColumn("last", F.coalesce("last", F.lit(0.0))))
-    w = w.select("name", "code", "direction", "last", "current",
-                 (F.col("current") - F.col("last")).alias("d"),
-                 (F.col("last") + F.col("current")).alias("s"),
-                 ratio("current", "last").alias("p"))
-    totals = w.groupBy("code").agg(F.sum(F.abs(F.col("current") - F.col("last"))).alias("total"))
+    r = r.where((F.col("date") == latest) | (F.col("date") == F.add_months(latest, -12))) \
+         .withColumn("year", F.when(F.col("date") == latest, F.lit("current")).otherwise(F.lit("last")))
+    w = wider(r.select("name", "code", "direction", v, "year"), ["name", "code", "direction"], "year", v,
+              ["last", "current"])
+    w = w.selectExpr("name", "code", "direction", "coalesce(last, 0.0D) AS last", "coalesce(current, 0.0D) AS current")
+    w = w.selectExpr("name", "code", "direction", "last", "current", "current - last AS d", "last + current AS s",
+                     "try_divide(current, last) AS p")
+    totals = w.groupBy("code").agg(F.expr("sum(abs(current - last)) AS total"))
     top = top_k(totals, k, desc="total", tiebreak="code")
     return F.broadcast(top).join(w, "code", "inner")
 
