@@ -146,6 +146,6 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: Sequence[int] |
         raw = raw.where(F.col("year").isin(list(years)))
     raw = raw.where(F.col("direction").isin(list(directions)))
     if control is not None:
-        report = reconcile(raw, control, strict=True)
+        report = reconcile(raw, control, strict=True, years=years, directions=directions)
         report.where(F.col("status") == "mismatch").count()  # action: raises on a mismatch
     return publish_lake(raw, lake, sort_by=("ncm", "month") if kind == "ncm" else ("hs4", "month"))
