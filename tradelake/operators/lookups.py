@@ -15,17 +15,34 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 
-def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
+DUPLICATE_KEY = "Lookup key is not unique."
+
+
+def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` unchanged, but the job fails if two rows share ``keys`` (checked in the plan)."""
+    part = ", ".join(f"`{k}`" for k in keys)
+    guard = f"CASE WHEN count(1) OVER (PARTITION BY {part}) > 1 THEN raise_error('{DUPLICATE_KEY}') END"
+    # the filter keeps the guard column from being pruned away
+    return df.selectExpr("*", f"{guard} AS __dup").where("__dup IS NULL").drop("__dup")
+
+
+def natural_left_join(left: DataFrame, right: DataFrame, check_unique: bool = False) -> DataFrame:
     on = [c for c in left.columns if c in set(right.columns)]
     if not on:
         raise ValueError("natural join without common columns")
+    if check_unique:
+        right = unique_on(right, on)
     return left.join(right, on=on, how="left").select(
         *left.columns, *[c for c in right.columns if c not in set(on)])
 
 
-def merge_lookups(tables: Sequence[DataFrame], as_string: bool = True) -> DataFrame:
-    """Left-join the tables in order on their common columns; all columns to string."""
-    merged = reduce(natural_left_join, tables)
+def merge_lookups(tables: Sequence[DataFrame], as_string: bool = True, check_unique: bool = False) -> DataFrame:
+    """Left-join the tables in order on their common columns; all columns to string.
+
+    With ``check_unique`` every joined table must be unique on the columns it
+    is joined on (a duplicate would multiply rows); the job fails otherwise.
+    """
+    merged = reduce(lambda a, b: natural_left_join(a, b, check_unique), tables)
     if as_string:
         merged = merged.select(*[F.col(c).cast("string").alias(c) for c in merged.columns])
     return merged
