@@ -80,7 +80,7 @@ def _deflators(spark, d, na_omit=True):
 
 def _products(spark, d):
     # merged product code tables
-    return _persisted(spark, ("products", d), lambda: merge_lookups(td.product_tables(spark, d)))
+    return _persisted(spark, ("products", d), lambda: merge_lookups(td.product_tables(spark, d), check_unique=True))
 
 
 def _monthly(spark, d):
