@@ -8,8 +8,9 @@ Plan: the result depends only on (group, month), so the input is first
 reduced to one row per (group, month) with a hash aggregate; the RANGE window
 then runs on that table, whose size is bounded by groups x months and not by
 the number of facts. Rows of an un-aggregated input get their values through a
-null-safe equi-join on (group, month); the small side is broadcast by the
-planner only when its measured size allows it.
+null-safe equi-join on (group, month); the rolled side is broadcast when the
+caller states the groups are few (``bounded_groups``), otherwise the planner
+decides from measured sizes.
 """
 
 from __future__ import annotations
