@@ -79,18 +79,22 @@ def read_hs4_raw(spark: SparkSession, base: str) -> DataFrame:
 
 def file_counts(spark: SparkSession, base: str, schema=NCM_IMP_SCHEMA, year: str = "year",
                 strict: bool = False) -> DataFrame:
-    """Rows and unreadable rows per landed file and year (the landing probe).
+    """Rows, unreadable rows and empty cells per landed file and year (the landing probe).
 
-    Columns: file_path, file_name, year, rows, bad_rows. Input files are never
-    deleted; ``strict=True`` fails the job instead.
+    Columns: file_path, file_name, year, rows, bad_rows, null_cells. Every
+    column is referenced (through ``null_cells``), so the CSV reader parses
+    all values and a malformed one marks its row as bad. Input files are
+    never deleted; ``strict=True`` fails the job instead.
     """
     from pyspark.sql.types import StructType
     s = StructType(list(schema.fields)).add("_corrupt_record", "string")
     df = (_reader(spark, s).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(base))
+    empty = " + ".join(f"CASE WHEN `{f.name}` IS NULL THEN 1 ELSE 0 END" for f in schema.fields)
     out = df.groupBy(F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_name").alias("file_name"), F.col(year)).agg(
-        F.count(F.lit(1)).alias("rows"), F.count("_corrupt_record").alias("bad_rows"))
+        F.count(F.lit(1)).alias("rows"), F.count("_corrupt_record").alias("bad_rows"),
+        F.expr(f"sum({empty}) AS null_cells"))
     if strict:
         out = out.withColumn("bad_rows", F.when(F.col("bad_rows") > 0,
                                                 F.raise_error(F.lit("Problem in landed data."))).otherwise(F.col("bad_rows")))
