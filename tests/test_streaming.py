@@ -26,3 +26,17 @@ def test_only_new_files_are_processed(spark):
     sums = {(r["year"], r["direction"]): r["fob_usd"]
             for r in sum_prefixed(spark.read.parquet(lake), by=["year", "direction"], prefixes="fob_").collect()}
     assert sums == {(2023, "imp"): 1000, (2023, "exp"): 1000, (2024, "imp"): 2000}
+
+
+def test_stream_validation_fails_on_mismatch(spark):
+    import os
+    import pytest
+    landing = scratch_path(spark, "test-landing")
+    lake = scratch_path(spark, "test-lake")
+    ingest.land_as_csv(_facts(spark).where("year = 2023"), landing)
+    ctrl = spark.createDataFrame([("IMP_2023.csv", 2023.0, 10.0, 100.0, 999.0, 5.0, 2.0, 1.0)],
+                                 "file string, year double, qt_stat double, kg_net double, fob_usd double, "
+                                 "freight_usd double, insurance_usd double, number_of_lines double")
+    with pytest.raises(Exception, match="Conference file mismatch"):
+        ingest_new_files(spark, landing, lake, control=ctrl)
+    assert not os.path.exists(lake.replace("file:", ""))
