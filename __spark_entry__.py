@@ -92,11 +92,6 @@ def _balance_deflated(spark, d):
     return reports.trade_by_direction(_facts(spark, d), _deflators(spark, d))
 
 
-def _first_year(spark, d):
-    o = td.table(spark, d, "orders")
-    return o.select(F.min(F.year("o_orderdate"))).scalar()
-
-
 def _tax_long(spark, d, scale=1.0):
     first = td.first_order_year(spark, d)
     return reports.fiscal_long(td.fiscal_sheet(spark, d, first, scale), first)

@@ -44,11 +44,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return hit[1]
 
 
-def _cents(x):
-    # half-up to whole cents (values are positive); cheaper than round() on doubles
-    return F.floor(x * 100 + F.lit(0.5)).cast("bigint")
-
-
 _FACT_EXPRS = [
     "CAST(year(l_shipdate) AS INT) AS year",
     "CAST(month(l_shipdate) AS INT) AS month",
