@@ -16,6 +16,17 @@ from pyspark.sql import DataFrame, functions as F
 
 
 DUPLICATE_KEY = "Lookup key is not unique."
+BROADCAST_MAX_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unchanged.
+
+    The size is checked with a count (one small job; pass a persisted table),
+    not estimated: beyond the limit the join stays a shuffle join, whose
+    skewed partitions adaptive execution splits.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:

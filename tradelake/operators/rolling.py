@@ -9,8 +9,8 @@ reduced to one row per (group, month) with a hash aggregate; the RANGE window
 then runs on that table, whose size is bounded by groups x months and not by
 the number of facts. Rows of an un-aggregated input get their values through a
 null-safe equi-join on (group, month); the rolled side is broadcast when the
-caller states the groups are few (``bounded_groups``), otherwise the planner
-decides from measured sizes.
+caller states the groups are few (``bounded_groups``) or when its counted size
+is small, and joined by a shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tradelake.functions.names import match_prefix
 from tradelake.functions.nulls import nsum_over, nsum_sql, q
+from tradelake.operators.lookups import broadcast_if_small
+from tradelake.session import materialize
 from tradelake.schemas import DEFAULT_PREFIXES
 
 _M = "__month_idx"
@@ -37,7 +39,7 @@ def _by(by) -> list[str]:
 def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
                 prefixes: Sequence[str] | str = DEFAULT_PREFIXES, k: int = 12,
                 date: str = "date", one_row_per_date: bool = False,
-                bounded_groups: bool = False) -> DataFrame:
+                bounded_groups: bool | None = None) -> DataFrame:
     """Add ``{col}_{k}`` rolling sums (double) for every prefix-matched column.
 
     ``one_row_per_date=True`` runs the window on the input directly, for input
@@ -46,10 +48,12 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
     input (tied dates share the frame either way), but on raw facts that plan
     sorts every row of a group in a single task; the default reduces first.
 
+    Un-aggregated input gets the rolled values by a join on (group, month).
     ``bounded_groups=True`` states that the ``by`` keys take few values (e.g.
-    the trade direction), so the rolled table (groups x months rows) is
-    broadcast to the rows instead of shuffling them. Otherwise the planner
-    decides from measured sizes.
+    the trade direction): the rolled table (groups x months rows) is broadcast
+    to the rows, which are never shuffled. ``None`` (default) writes the rolled
+    table once and counts it: broadcast if small, a shuffle join otherwise.
+    ``False`` leaves the choice to the planner.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -81,11 +85,16 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
         return base.selectExpr(*[q(c) for c in df.columns], *rolled)
 
     small = base.selectExpr(*[f"{q(c)} AS __k{i}" for i, c in enumerate(keys)], f"{_M} AS __m2", *rolled)
+    if bounded_groups:
+        small = F.broadcast(small)
+    elif bounded_groups is None:
+        small = broadcast_if_small(materialize(small))
     joined = df.selectExpr("*", f"{m} AS {_M}")
     cond = [joined[c].eqNullSafe(small[f"__k{i}"]) for i, c in enumerate(keys)] + [joined[_M] == small["__m2"]]
-    out = joined.join(F.broadcast(small) if bounded_groups else small, cond, "left")
+    out = joined.join(small, cond, "left")
     return out.select(*[joined[c] for c in df.columns], *[small[f"{c}_{k}"] for c in cols])
 
+
 def roll_rows(df: DataFrame, column: str, n: int = 12, order: str = "date",
               by: Sequence[str] | str | None = None, name: str | None = None) -> DataFrame:
     """Sum over the current and previous ``n-1`` rows; NULL unless all ``n`` exist.

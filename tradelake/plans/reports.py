@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tradelake.functions.nulls import nsum, ratio
 from tradelake.operators.aggregate import share_of_sums, sum_prefixed
 from tradelake.operators.deflate import deflate
-from tradelake.operators.lookups import partner_labels
+from tradelake.operators.lookups import broadcast_if_small, partner_labels
 from tradelake.operators.ranking import first_per_group, top_k
 from tradelake.operators.reshape import longer, wider
 from tradelake.operators.rolling import roll_months, roll_rows
@@ -119,7 +119,7 @@ def category_change_top(facts: DataFrame, products: DataFrame, deflators: DataFr
                         since: str, direction: str = "imp", k: int = 10, window: int = 12) -> DataFrame:
     """Categories with the largest change of 12-month real value, same month, last two years."""
     v = f"fob_usd_deflated_{window}"
-    cat = products.selectExpr("co_ncm AS ncm", "no_cgce_n3_ing AS name", "co_cgce_n3 AS code")
+    cat = broadcast_if_small(products.selectExpr("co_ncm AS ncm", "no_cgce_n3_ing AS name", "co_cgce_n3 AS code"))
     f = facts.where(f"date >= DATE '{since}' AND country_code = {int(country)}").join(cat, "ncm", "left")
     s = sum_prefixed(f, by=["name", "code", "direction", "date"])
     d = deflate(s, deflators).where(f"fob_brl_deflated IS NOT NULL AND direction = '{direction}'")
@@ -145,7 +145,7 @@ def category_change_top(facts: DataFrame, products: DataFrame, deflators: DataFr
 def partner_vs_rest(facts: DataFrame, products: DataFrame, category: str, partner: int,
                     deflators: DataFrame | None = None, window: int = 12) -> DataFrame:
     """Monthly sums for one category, split partner / rest, rolled per (direction, flag)."""
-    cat = products.select(F.col("co_ncm").alias("ncm"), "co_cgce_n3")
+    cat = broadcast_if_small(products.selectExpr("co_ncm AS ncm", "co_cgce_n3"))
     f = facts.join(cat, "ncm", "left").where(F.col("co_cgce_n3") == category)
     s = sum_prefixed(f, by=["direction", "date", (F.col("country_code") == partner).alias("is_partner")])
     if deflators is not None:
