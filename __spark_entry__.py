@@ -93,8 +93,15 @@ def _balance_deflated(spark, d):
 
 
 def _tax_long(spark, d, scale=1.0):
-    first = td.first_order_year(spark, d)
-    return reports.fiscal_long(td.fiscal_sheet(spark, d, first, scale), first)
+    # the tax sheets stand for small landed files: derived and written once
+    def build():
+        first = td.first_order_year(spark, d)
+        return reports.fiscal_long(td.fiscal_sheet(spark, d, first, scale), first)
+    return _persisted(spark, ("tax", d, scale), build)
+
+
+def _gdp(spark, d):
+    return _persisted(spark, ("gdp", d), lambda: td.gdp_series(spark, d))
 
 
 # --- queries --------------------------------------------------------------------
@@ -151,7 +158,7 @@ def q_roll3_with_ties(spark, d):
 
 
 def q_roll_rows12(spark, d):
-    g = td.gdp_series(spark, d).select("date", (F.col("pib_brl_milhoes") * F.lit(1e6)).alias("pib_brl"))
+    g = _gdp(spark, d).select("date", (F.col("pib_brl_milhoes") * F.lit(1e6)).alias("pib_brl"))
     return _stable(roll_rows(g, "pib_brl", n=12, name="pib_annual_brl"))
 
 
@@ -290,13 +297,13 @@ def q_fiscal_long(spark, d):
 
 def q_effective_rate(spark, d):
     r = reports.effective_rate(_tax_long(spark, d), _tax_long(spark, d, scale=1.25), _facts(spark, d),
-                               td.gdp_series(spark, d), _deflators(spark, d), "i_importacao_e_ipi_vinculado")
+                               _gdp(spark, d), _deflators(spark, d), "i_importacao_e_ipi_vinculado")
     return _stable(r)
 
 
 def q_gdp_shares_long(spark, d):
     r = reports.effective_rate(_tax_long(spark, d), _tax_long(spark, d, scale=1.25), _facts(spark, d),
-                               td.gdp_series(spark, d), _deflators(spark, d), "i_importacao_e_ipi_vinculado")
+                               _gdp(spark, d), _deflators(spark, d), "i_importacao_e_ipi_vinculado")
     return _stable(reports.gdp_shares_long(r))
 
 
