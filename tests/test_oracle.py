@@ -42,4 +42,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and "fob_usd_12" in df.columns
+    assert df.count() > 0
+    measures = ["qt_stat", "kg_net", "fob_usd", "freight_usd", "insurance_usd", "cif_usd"]
+    assert df.columns == ["direction", "date", *measures, *[f"{m}_12" for m in measures]]
+    assert [f.dataType.simpleString() for f in df.schema.fields] == \
+        ["string", "date"] + ["bigint"] * 6 + ["double"] * 6
