@@ -441,15 +441,30 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _corpus_operators() -> tuple[dict, dict]:
+    """Queries and SQL of the corpus operators; none where that subpackage is absent."""
+    try:
+        import corpus_pipeline
+        from tradelake.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("tradelake.llm", "tradelake.llm.queries", "corpus_pipeline"):
+            raise
+        return {}, {}
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: 12-month rolling trade by direction on sf0.001."""
     return q_roll12_by_direction(spark, SF_SMOKE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_corpus_operators()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracles import ORACLE_SQL
-    return {k: v for k, v in ORACLE_SQL.items() if k in _QUERIES}
+    return {**{k: v for k, v in ORACLE_SQL.items() if k in _QUERIES}, **_corpus_operators()[1]}
