@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradelake.llm import line_dedup, mixing, quality, sharding, simhash
+from tradelake.llm import line_dedup, mixing, packing, quality, sharding, simhash, toxicity
 
 N_SHARDS = 64
 
@@ -22,6 +22,14 @@ def op1_line_dedup(spark, d):
     return out.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op2_toxicity(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, toxicity.training_labels(_table(spark, d, "labels")))
+    held_out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")), F.lit(4)) == 2
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                                              "predicted", "matched")
+
+
 def op4_quality_rules(spark, d):
     out = quality.quality_rules(_table(spark, d, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -39,6 +47,14 @@ def op7_simhash(spark, d):
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_packing(spark, d):
+    import public_tokenizers
+
+    out = packing.pack(_table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_mixing(spark, d):
     plan = mixing.mix_plan(_table(spark, d, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -46,9 +62,11 @@ def op9_mixing(spark, d):
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_toxicity": op2_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_sharding": op6_sharding,
     "op7_simhash": op7_simhash,
+    "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
 }
 
