@@ -23,12 +23,18 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     copies of a process are removed when it ends.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
+    path = scratch(spark, name)
     df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder, removed when the process ends."""
+    path = scratch_path(spark, f"llm-{name}")
     if not _STAGED:
         atexit.register(remove_staged)
     _STAGED.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def remove_staged() -> None:

@@ -33,7 +33,7 @@ SEPARATOR = 1
 GROUP_TOKENS = 256 * WINDOW
 CACHE_ENTRIES = 600_000
 _PLAIN = re.compile("(?:(?!<[|])[\\x21-\\x7e\\xc0-\\u017f \\n])*").fullmatch
-PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
+PIECES = "doc_id string, start long, length long, doc_tokens long, ids binary"
 
 
 class _Units(dict):
@@ -129,9 +129,7 @@ def _tokenize(path: str, ranks_path: str | None, window: int, piece: int, separa
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    f = pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "ids"])
-    f["doc_id"] = f["doc_id"].astype("Int64")
-    return f
+    return pd.DataFrame(rows, columns=["doc_id", "start", "length", "doc_tokens", "ids"])
 
 
 def difference(sizes: np.ndarray, m: int) -> np.ndarray:
@@ -190,7 +188,8 @@ def _pack(window: int):
 def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
          piece: int = PIECE, separator: int = SEPARATOR, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, ids (little-endian), sequence_id, offset."""
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    # ids travel as text: pandas would turn a long column with NULLs into doubles
+    texts = docs.select(F.col(f"`{id_col}`").cast("string").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     pieces = staged(texts.mapInPandas(_tokenize(tokenizer_path, ranks_path, window, piece, separator), PIECES)
                     .withColumn("key", F.monotonically_increasing_id()), "pack-pieces")
     full, small = pieces.where(F.col("length") == window), pieces.where(F.col("length") < window)
@@ -200,4 +199,4 @@ def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, id
               .groupBy("bucket").applyInPandas(_pack(window), PIECES + ", sequence_id long, offset long"))
     own = full.select("doc_id", "start", "length", "doc_tokens", "ids",
                       (2 * F.col("key") + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return packed.union(own)
+    return packed.union(own).withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradelake.llm import line_dedup, mixing, packing, quality, sharding, simhash, toxicity
+from tradelake.llm import line_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
 
 N_SHARDS = 64
 
@@ -30,12 +30,26 @@ def op2_toxicity(spark, d):
                                               "predicted", "matched")
 
 
+def op3_warc(spark, d):
+    archives = warc.write_archives(_table(spark, d, "pages"))
+    return (warc.read_archives(spark, archives, with_payload=False)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op4_quality_rules(spark, d):
     out = quality.quality_rules(_table(spark, d, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "failed_rule")
 
 
+def op5_pii(spark, d):
+    found = pii.find_pii(_table(spark, d, "documents").select("doc_id", "text"))
+    counts = [F.expr(f"cast(size(filter(base, z -> z.k = {k})) as bigint)").alias(f"n_{kind}")
+              for k, kind in enumerate(pii.BASE)]
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text("base"), 256).alias("base_sha256"),
+                        pii.spans_text("spans").alias("spans"))
+
+
 def op6_sharding(spark, d):
     docs = _table(spark, d, "documents")
     shards = [f"shard-{k:03d}" for k in range(N_SHARDS)]
@@ -63,7 +77,9 @@ def op9_mixing(spark, d):
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_warc": op3_warc,
     "op4_quality_rules": op4_quality_rules,
+    "op5_pii": op5_pii,
     "op6_sharding": op6_sharding,
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
