@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradelake.llm import line_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
+from tradelake.llm import embedding_dedup, line_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
 
 N_SHARDS = 64
 
@@ -74,6 +74,10 @@ def op9_mixing(spark, d):
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_embedding_dedup(spark, d):
+    return embedding_dedup.embedding_classes(_table(spark, d, "embeddings"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -84,6 +88,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE_SQL = {
