@@ -7,31 +7,50 @@ stage's documents. All stages but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradelake.llm import line_dedup as lines, mixing, simhash
+from tradelake.llm import line_dedup as lines, mixing, packing, simhash, toxicity
 from tradelake.llm.common import staged
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the clause grammar, fitted on labelled rows, rejects go."""
+    labels = toxicity.training_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, labels))
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Copied lines go, and documents of which nothing is left."""
     return lines.line_dedup(docs)
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group stays."""
     return simhash.simhash_dedup(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix to target weights takes them."""
     return mixing.mix(docs)
 
 
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the mixed documents packed into windows."""
+    import public_tokenizers
+
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 STAGES = [
-    ("line_dedup", line_dedup),
-    ("simhash_dedup", near_dedup),
-    ("mixing", mix),
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("simhash_dedup", dedup_documents),
+    ("mixing", mix_sources),
+    ("packing", pack_windows),
 ]
 
-#: Fingerprints, grammar scores and token ids are beyond SQL: tested against brute force.
+#: Grammar scores, fingerprints and token ids are beyond SQL: tested against brute force.
 ORACLE_SQL = None
 
 
