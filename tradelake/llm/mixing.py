@@ -58,14 +58,14 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, re
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-             weights=WEIGHTS, budget: float = BUDGET, repeats: int = MAX_REPEATS, seed: str = "mix") -> DataFrame:
-    """Per row of ``docs``: rid, id, size, source_size, target, copies and taken (words of the copies taken).
+             weights=WEIGHTS, budget: float = BUDGET, repeats: int = MAX_REPEATS, seed: str = "mix",
+             rid_col: str | None = None) -> DataFrame:
+    """Per row of ``docs``: rid, doc_id, size, source_size, target, copies and taken (words of the copies taken).
 
-    ``rid`` is the column of that name if ``docs`` has one (unique per row),
-    else a number given to the row.
+    ``rid_col`` names a column that is unique per row; without it the rows are numbered.
     """
     i, s, t = (F.col(f"`{c}`") for c in (id_col, source_col, text_col))
-    rid = F.col("rid") if "rid" in docs.columns else F.monotonically_increasing_id()
+    rid = F.col(f"`{rid_col}`") if rid_col else F.monotonically_increasing_id()
     order = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(i.cast("string"), F.lit("null")))), 1, 15), 16, 10)
     sizes = staged(docs.select(rid.alias("rid"), i.alias("doc_id"), s.cast("string").alias("source"),
                                F.size(words(t)).cast("long").alias("size"), order.cast("long").alias("ord")), "mix-sizes")
@@ -91,14 +91,12 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it, columns unchanged."""
-    rid = free_name(docs, "rid")
-    if rid != "rid":
-        raise ValueError("mix() needs the column name rid for itself")
-    numbered = staged(docs.withColumn("rid", F.monotonically_increasing_id()), "mix-docs")
-    plan = staged(mix_plan(numbered, **options).select("rid", "copies").where("copies > 0"), "mix-plan")
-    return (numbered.join(plan, "rid")
-            .withColumn("copies", F.explode(F.expr("sequence(1, copies)")))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    rid = free_name(docs, "__rid")
+    numbered = staged(docs.withColumn(rid, F.monotonically_increasing_id()), "mix-docs")
+    plan = mix_plan(numbered, rid_col=rid, **options)
+    copies = F.explode(F.expr("sequence(1, copies)"))
+    plan = staged(plan.where("copies > 0").select(F.col("rid").alias(rid), copies.alias(f"{rid}_copy")), "mix-plan")
+    return numbered.join(plan, rid).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixing_sql(table: str = "documents", seed: str = "mix") -> str:

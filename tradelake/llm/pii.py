@@ -115,10 +115,12 @@ def _rule(generator: str) -> str:
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` (without the text) with ``base`` spans and ``cand``: the other candidates with features and teacher's label."""
-    keep = [f"`{c}`" for c in docs.columns if c != text_col and c.lower() not in ("base", "cand", "spans")]
-    d = docs.selectExpr(*keep, f"coalesce(`{text_col}`, '') as __t")
-    d = d.selectExpr(*keep, *[f"{_matches(g)} as m_{g}" for g in GENERATORS])
+    """``row`` (the other columns of ``docs``), ``base`` spans and ``cand``: all candidates with features and the teacher's label."""
+    # the input's columns travel in one struct, so that no name of theirs meets a helper's
+    own = [f"`{c}`" for c in docs.columns if c != text_col]
+    d = docs.selectExpr(f"struct({', '.join(own)}) as row" if own else "named_struct('none', null) as row",
+                        f"coalesce(`{text_col}`, '') as __t")
+    d = d.selectExpr("row", *[f"{_matches(g)} as m_{g}" for g in GENERATORS])
     base, cand = [], []
     for k, g in enumerate(GENERATORS):
         kind = KINDS.index(PATTERNS[g][0])
@@ -134,7 +136,7 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         glued = of_match(FEATURES[6][1])
         teacher = accepted if g in BASE else f"({whole} and {glued} = 0 and {cue})"
         cand.append(f"transform(m_{g}, z -> struct({kind} as k, z.s as s, z.e as e, {k} as gen, {feats}, {teacher} as label))")
-    return d.selectExpr(*keep, f"concat({', '.join(base)}) as base", f"concat({', '.join(cand)}) as cand")
+    return d.selectExpr("row", f"concat({', '.join(base)}) as base", f"concat({', '.join(cand)}) as cand")
 
 
 # --- boosted trees on the table of feature counts ---------------------------------
@@ -233,7 +235,7 @@ def find_pii(docs: DataFrame, text_col: str = "text", precision: float = PRECISI
     """``docs`` (without the text) with ``base`` and ``spans`` (base and added): arrays of (k, s, e), sorted; k indexes KINDS."""
     found = staged(candidates(docs, text_col), "pii-candidates")
     model = fit(found, precision)
-    keep = [f"`{c}`" for c in found.columns if c not in ("base", "cand")]
+    keep = [f"row.`{c}` as `{c}`" for c in docs.columns if c != text_col and c.lower() not in ("base", "spans")]
     ordered = "array_sort(base)"
     if model is None or np.isinf(model.threshold):
         return found.selectExpr(*keep, f"{ordered} as base", f"{ordered} as spans")

@@ -66,11 +66,11 @@ def text_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     n_dup_lines, n_bullet_lines, n_ellipsis_lines, n_stop_words, n_repeat_words."""
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_bullet_lines",
              "n_ellipsis_lines", "n_stop_words", "n_repeat_words"]
-    keep = [f"`{c}`" for c in docs.columns if c.lower() not in names]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     spaces, symbols, symbol_class = _literal(SPACE_CHARS), _literal(SYMBOLS), _literal(f"[{SYMBOLS}]")
     stops = ", ".join(_literal(w) for w in sorted(set(STOP_WORDS)))
-    d = docs.select(*[F.col(c) for c in keep], text.alias("__t"), words(text).alias("__w"),
+    # the input's columns travel in one struct, so that no name of theirs meets a helper's
+    d = docs.select(F.struct("*").alias("__row"), text.alias("__t"), words(text).alias("__w"),
                     F.expr(r"filter(split(coalesce(`" + text_col + r"`, ''), '\n', -1), "
                            f"l -> length(btrim(l, {spaces})) > 0)").alias("__l"))
     # hashes of 2, 4 and 8 consecutive words, each from two of half the length
@@ -79,14 +79,14 @@ def text_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         d = d.selectExpr("*", f"case when size(__w) < {WINDOW} then cast(array() as array<bigint>) "
                               f"else slice({pair}, 1, size({source}) - {have}) end as {out}")
     return d.selectExpr(
-        *keep,
+        *[f"__row.`{c}` as `{c}`" for c in docs.columns if c.lower() not in names],
         "cast(size(__w) as bigint) as n_words",
         "cast(length(array_join(__w, '')) as bigint) as word_chars",
         f"case when __t rlike {symbol_class} then cast(length(__t) - length(translate(__t, {symbols}, '')) as bigint) "
         "else 0L end as n_symbols",
         "cast(size(__l) as bigint) as n_lines",
         "cast(size(__l) - size(array_distinct(__l)) as bigint) as n_dup_lines",
-        r"cast(size(filter(__l, l -> left(ltrim(l), 1) in ('-', '*', '•'))) as bigint) as n_bullet_lines",
+        "cast(size(filter(__l, l -> left(ltrim(l), 1) in ('-', '*', '•'))) as bigint) as n_bullet_lines",
         "cast(size(filter(__l, l -> endswith(rtrim(l), '...') or endswith(rtrim(l), '…'))) as bigint) as n_ellipsis_lines",
         f"cast(size(filter(__w, w -> w in ({stops}))) as bigint) as n_stop_words",
         f"{_REPEATS} as n_repeat_words",

@@ -39,7 +39,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tradelake.llm.common import staged
+from tradelake.llm.common import free_name, staged
 
 TRAIN_ROWS = 5000
 MAX_TERMS = 3000
@@ -247,7 +247,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", cut: float = CU
 
     new = ("raw", "matched", "score", "predicted")
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
-    out = docs.select(*keep, of(F.col(f"`{text_col}`")).alias("__m")).select(*keep, "__m.raw", "__m.matched")
+    m = free_name(docs, "__m")
+    out = docs.select(*keep, of(F.col(f"`{text_col}`")).alias(m)).select(*keep, f"{m}.raw", f"{m}.matched")
     p = 1.0 / (1.0 + F.exp(-(F.lit(model.offset) + F.lit(model.slope) * F.log1p("raw"))))
     return out.withColumn("score", p).withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
