@@ -5,10 +5,10 @@ Every query reads the driver's tables through the adapter in
 deflator series from orders, code tables from part / nation / region) and
 runs a report or operator of ``tradelake`` over the whole tables.
 
-Floating columns whose last bits depend on summation order (anything
-touched by an average, a running product or a rolling sum of doubles) are
-rounded the same way on both sides, by column name
-(``tradelake.plans.presentation``). The DuckDB oracles live in ``oracles.py``.
+Floating columns whose last bits depend on summation order (anything that goes
+through an average, a running product or a sum of doubles) are rounded to the same
+number of significant digits on both sides (``tradelake.plans.presentation``);
+all others are compared exactly. The DuckDB oracles live in ``oracles.py``.
 """
 
 from __future__ import annotations
@@ -17,22 +17,22 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tradelake.functions.codes import clean_code
+from tradelake.functions.codes import clean_code, code_label
 from tradelake.operators.aggregate import sum_prefixed
-from tradelake.operators.checks import coverage_grid, missing_partitions, reconcile
+from tradelake.operators.checks import coverage_grid, covered_partitions, missing_partitions, reconcile
 from tradelake.operators.deflators import build_deflators, deflator_report, price_index
 from tradelake.operators.lookups import merge_lookups
 from tradelake.operators.rolling import roll_months, roll_rows
 from tradelake.plans import ingest, reports
-from tradelake.plans.presentation import stable
-from tradelake.schemas import NCM_EXP_SCHEMA
-from tradelake.session import materialize, scratch_path
+from tradelake.plans.presentation import ordered, stable
+from tradelake.session import scratch_path
 from tradelake.sources.lake import open_hs4, open_ncm
-from tradelake.sources.trade_csv import file_counts, read_control, read_hs4_raw, read_table
+from tradelake.sources.series import read_cpi, read_ipca, read_quotes, read_sheet
+from tradelake.sources.trade_csv import landed_files, read_control, read_hs4_raw, read_ncm_raw, read_table
 from tradelake.sources import testdata as td
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -57,34 +57,18 @@ def _facts(spark, d):
     return td.trade_facts(spark, d)
 
 
-_PERSISTED: dict = {}
-
-
-def _persisted(spark, key, build):
-    """Build a small derived table once per session and data folder, written to
-    the shared checkpoint folder (the reference keeps the same tables in a
-    disk cache)."""
-    k = (id(spark), key)
-    hit = _PERSISTED.get(k)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, materialize(build()))
-        _PERSISTED[k] = hit
-    return hit[1]
-
-
 def _deflators(spark, d, na_omit=True):
-    # one row per month; read by every deflation twice (base lookup and broadcast)
-    return _persisted(spark, ("deflators", d, na_omit), lambda: build_deflators(
-        td.ipca_source(spark, d), td.fx_quotes(spark, d), td.cpi_source(spark, d), na_omit=na_omit))
+    # one row per month
+    return build_deflators(td.ipca_source(spark, d), td.fx_quotes(spark, d), td.cpi_source(spark, d), na_omit=na_omit)
 
 
 def _products(spark, d):
     # merged product code tables
-    return _persisted(spark, ("products", d), lambda: merge_lookups(td.product_tables(spark, d), check_unique=True))
+    return merge_lookups(td.product_tables(spark, d), check_unique=True)
 
 
-def _monthly(spark, d):
-    return reports.monthly_real(_facts(spark, d), _deflators(spark, d))
+def _monthly(spark, d, **options):
+    return reports.monthly_real(_facts(spark, d), _deflators(spark, d), **options)
 
 
 def _balance_deflated(spark, d):
@@ -93,15 +77,12 @@ def _balance_deflated(spark, d):
 
 
 def _tax_long(spark, d, scale=1.0):
-    # the tax sheets stand for small landed files: derived and written once
-    def build():
-        first = td.first_order_year(spark, d)
-        return reports.fiscal_long(td.fiscal_sheet(spark, d, first, scale), first)
-    return _persisted(spark, ("tax", d, scale), build)
+    first = td.first_order_year(spark, d)
+    return reports.fiscal_long(td.fiscal_sheet(spark, d, first, scale), first)
 
 
 def _gdp(spark, d):
-    return _persisted(spark, ("gdp", d), lambda: td.gdp_series(spark, d))
+    return td.gdp_series(spark, d)
 
 
 # --- queries --------------------------------------------------------------------
@@ -153,8 +134,7 @@ def q_roll12_by_direction(spark, d):
 def q_roll3_with_ties(spark, d):
     f = _facts(spark, d).select("year", "month", "ncm", "country_code", "direction", "date",
                                 "qt_stat", "fob_usd", "freight_usd")
-    # two directions x months: the rolled table is bounded by the calendar
-    return roll_months(f, by=["direction"], prefixes=["qt_", "fob_", "freight_"], k=3, bounded_groups=True)
+    return roll_months(f, by=["direction"], prefixes=["qt_", "fob_", "freight_"], k=3)
 
 
 def q_roll_rows12(spark, d):
@@ -198,8 +178,7 @@ def q_peak_month(spark, d):
 
 
 def q_same_month(spark, d):
-    # the table is read twice (latest date, then the filter): written once
-    return _stable(reports.same_month_as_latest(materialize(_balance_deflated(spark, d))))
+    return _stable(reports.same_month_as_latest(_balance_deflated(spark, d)))
 
 
 def q_yearly_complete(spark, d):
@@ -215,7 +194,8 @@ def q_max_real_date(spark, d):
 
 
 def q_yearly_growth_long(spark, d):
-    return _stable(reports.yearly_growth_long(reports.yearly_complete(_monthly(spark, d))))
+    # only the FOB measures are deflated: the growth table needs no other
+    return _stable(reports.yearly_growth_long(reports.yearly_complete(_monthly(spark, d, prefixes="fob_usd"))))
 
 
 def q_category_change_top10(spark, d):
@@ -223,6 +203,13 @@ def q_category_change_top10(spark, d):
                                                CATEGORY_PARTNER, CATEGORY_SINCE))
 
 
+def q_category_change_unclassified(spark, d):
+    # one class is missing from the code table: its products rank as the NULL category
+    p = _products(spark, d).where(F.col("co_cgce_n3") != CATEGORY)
+    return _stable(reports.category_change_top(_facts(spark, d), p, _deflators(spark, d),
+                                               CATEGORY_PARTNER, CATEGORY_SINCE))
+
+
 def q_partner_vs_rest(spark, d):
     return reports.partner_vs_rest(_facts(spark, d), _products(spark, d), CATEGORY, CATEGORY_PARTNER)
 
@@ -253,6 +240,13 @@ def q_lookup_merge(spark, d):
     return _products(spark, d)
 
 
+def q_lookup_merge_null_key(spark, d):
+    # one class code is unknown (NULL) in both tables: it matches itself, as in an in-memory merge
+    ncm, cgce, unid = td.product_tables(spark, d)
+    blank = lambda t: t.withColumn("co_cgce_n3", F.expr(f"nullif(co_cgce_n3, '{CATEGORY}')"))
+    return merge_lookups([blank(ncm), blank(cgce), unid], check_unique=True)
+
+
 def _control(spark, d):
     return td.control_totals(spark, d)
 
@@ -276,11 +270,45 @@ def q_uncovered_control(spark, d):
     return reconcile(_facts(spark, d), c.unionByName(extra))
 
 
+def _landed(spark, d):
+    """(direction, year, type) of official files, listed by name; facts of one column are enough to land."""
+    ncm = ingest.land_as_csv(_facts(spark, d))
+    hs4 = ingest.land_hs4_as_csv(td.hs4_facts(spark, d))
+    return landed_files(spark, ncm).withColumn("type", F.lit("ncm")).unionByName(
+        landed_files(spark, hs4).withColumn("type", F.lit("hs4"))), ncm
+
+
 def q_missing_partitions(spark, d):
     grid = coverage_grid(spark, list(range(1993, 2004)), ["imp", "exp"], ["ncm", "hs4"])
-    present = _facts(spark, d).select("year", "direction").withColumn("type", F.lit("ncm")).unionByName(
-        td.hs4_facts(spark, d).select("year", "direction").withColumn("type", F.lit("hs4")))
-    return missing_partitions(grid, present)
+    return missing_partitions(grid, _landed(spark, d)[0])
+
+
+def q_covered_partitions(spark, d):
+    grid = coverage_grid(spark, list(range(1993, 2004)), ["imp", "exp"], ["ncm", "hs4"])
+    return covered_partitions(grid, _landed(spark, d)[0])
+
+
+def q_ingest_missing_files(spark, d):
+    # files of one direction only: what a request for both directions lacks
+    landing = ingest.land_as_csv(_facts(spark, d).where(F.col("direction") == "imp"))
+    return ingest.missing_files(spark, landing, list(range(1993, 2004)))
+
+
+def q_ingest_bad_file_report(spark, d):
+    # text in a numeric cell of every file of one year: the probe counts the rows
+    landing = ingest.land_as_csv(_facts(spark, d).withColumn("qt_stat", F.when(
+        (F.col("year") == 1997) & (F.col("qt_stat") == 10), F.lit("ten")).otherwise(F.col("qt_stat").cast("string"))))
+    return ingest.landing_report(spark, landing)
+
+
+def q_reconcile_large(spark, d):
+    # totals beyond 2^53 that differ by one: exact, where doubles would print and compare alike
+    big = F.lit(1 << 60)
+    f = _facts(spark, d).groupBy("year", "direction").agg(F.sum("fob_usd").alias("fob_usd"))
+    f = f.withColumn("fob_usd", F.col("fob_usd") + big)
+    c = _control(spark, d).select("file", "year", (F.col("fob_usd") + big + F.when(
+        F.col("year") == 1998, F.lit(1)).otherwise(F.lit(0))).alias("fob_usd"))
+    return reconcile(f, c, measures=["fob_usd"])
 
 
 def q_union_missing_columns(spark, d):
@@ -353,6 +381,56 @@ def q_control_csv_reconcile(spark, d):
     return reconcile(_facts(spark, d), read_control(spark, folder))
 
 
+def q_control_csv_reconcile_mun(spark, d):
+    folder = scratch_path(spark, "tables")
+    official = {"file": "ARQUIVO", "year": "CO_ANO", "kg_net": "KG_LIQUIDO", "fob_usd": "VL_FOB",
+                "number_of_lines": "NUMERO_LINHAS"}
+    c = td.control_totals_mun(spark, d).select(*[F.col(k).alias(v) for k, v in official.items()])
+    for side in ("imp", "exp"):
+        ingest.land_table_csv(c.where(F.col("ARQUIVO").startswith(side.upper())),
+                              f"{folder}/{side}_totais_conferencia_mun.csv", decimal_comma=True)
+    return reconcile(td.hs4_facts(spark, d), read_control(spark, folder, mun=True),
+                     measures=["kg_net", "fob_usd", "number_of_lines"])
+
+
+def q_deflators_from_files(spark, d):
+    # the series as landed files: S7-S9 readers feed the table
+    folder = scratch_path(spark, "series")
+    for name, df in (("cpi", td.cpi_source(spark, d)), ("ipca", td.ipca_source(spark, d)),
+                     ("quotes", td.fx_quotes(spark, d))):
+        df.write.option("header", "true").csv(f"{folder}/{name}.csv")
+    return _stable(build_deflators(read_ipca(spark, f"{folder}/ipca.csv"), read_quotes(spark, f"{folder}/quotes.csv"),
+                                   read_cpi(spark, f"{folder}/cpi.csv")))
+
+
+def q_fiscal_from_sheet(spark, d):
+    # the sheet as an exported CSV (S10), then the same long table
+    path = f"{scratch_path(spark, 'sheet')}/sheet.csv"
+    first = td.first_order_year(spark, d)
+    td.fiscal_sheet(spark, d, first).write.option("header", "true").option("sep", ";").csv(path)
+    return _stable(reports.fiscal_long(read_sheet(spark, path), first))
+
+
+def q_partition_replace(spark, d):
+    # publish, then replace one year: the others stay as they are
+    facts = _facts(spark, d)
+    lake = ingest.publish_lake(facts)
+    ingest.publish_lake(facts.where(F.col("year") == 1997).withColumn("fob_usd", F.col("fob_usd") * 2), lake)
+    return sum_prefixed(open_ncm(spark, lake), by=["direction", "year"], prefixes="fob_usd")
+
+
+def q_sorted_monthly(spark, d):
+    # display order of the monthly table: numbered rows, NULL dates last
+    s = ordered(sum_prefixed(_facts(spark, d), by=["direction", "date"], prefixes="fob_usd"), "date", "direction")
+    everything = Window.partitionBy().orderBy(F.col("date").asc_nulls_last(), F.col("direction").asc_nulls_last())
+    return s.withColumn("position", F.row_number().over(everything))
+
+
+def q_partner_code_labels(spark, d):
+    # "code: name" labels of the countries
+    return td.countries(spark, d).select("country_code", code_label("country_code", "country_name").alias("label"))
+
+
 def q_ingest_job(spark, d):
     landing = ingest.land_as_csv(_facts(spark, d))
     lake = ingest.ingest(spark, landing, scratch_path(spark, "lake"), control=_control(spark, d))
@@ -361,11 +439,7 @@ def q_ingest_job(spark, d):
 
 def q_file_quality(spark, d):
     landing = ingest.land_as_csv(_facts(spark, d))
-    per_file = file_counts(spark, f"{landing}/direction=imp").unionByName(
-        file_counts(spark, f"{landing}/direction=exp", schema=NCM_EXP_SCHEMA))
-    # per landed file, then summed per (direction folder, year)
-    return per_file.groupBy(F.regexp_extract("file_path", r"direction=(imp|exp)", 1).alias("direction"),
-                            "year").agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
+    return ingest.landing_report(spark, landing).drop("file")
 
 
 def q_hs4_lake_roundtrip(spark, d):
@@ -381,7 +455,7 @@ def q_lake_roundtrip(spark, d):
 
 def q_csv_ingest_roundtrip(spark, d):
     landing = ingest.land_as_csv(_facts(spark, d))
-    raw = ingest.read_landed_ncm(spark, landing)
+    raw = read_ncm_raw(spark, landing)
     return sum_prefixed(raw, by=["direction", "year"])
 
 
@@ -412,13 +486,25 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_real_date": q_max_real_date,
     "yearly_growth_long": q_yearly_growth_long,
     "category_change_top10": q_category_change_top10,
+    "category_change_unclassified": q_category_change_unclassified,
     "partner_vs_rest": q_partner_vs_rest,
     "partner_vs_rest_real": q_partner_vs_rest_real,
     "freight_share_year": q_freight_share_year,
     "freight_share_country": q_freight_share_country,
     "code_clean": q_code_clean,
     "lookup_merge": q_lookup_merge,
+    "lookup_merge_null_key": q_lookup_merge_null_key,
     "reconcile_ok": q_reconcile_ok,
+    "reconcile_large": q_reconcile_large,
+    "covered_partitions": q_covered_partitions,
+    "ingest_missing_files": q_ingest_missing_files,
+    "ingest_bad_file_report": q_ingest_bad_file_report,
+    "control_csv_reconcile_mun": q_control_csv_reconcile_mun,
+    "deflators_from_files": q_deflators_from_files,
+    "fiscal_from_sheet": q_fiscal_from_sheet,
+    "partition_replace": q_partition_replace,
+    "sorted_monthly": q_sorted_monthly,
+    "partner_code_labels": q_partner_code_labels,
     "reconcile_mismatch": q_reconcile_mismatch,
     "uncovered_control": q_uncovered_control,
     "missing_partitions": q_missing_partitions,

@@ -10,7 +10,7 @@ same output rounding rule as the Spark side.
 
 from __future__ import annotations
 
-from tradelake.plans.presentation import round_rule
+from tradelake.plans.presentation import DIGITS, OFF_TIES, inexact
 
 DEFAULT_PREFIXES = ("qt_stat", "kg_net", "fob_", "freight_", "insurance_", "cif_")
 MEASURES = ("qt_stat", "kg_net", "fob_usd", "freight_usd", "insurance_usd", "cif_usd")
@@ -146,11 +146,15 @@ def roll_sql(cols: list[str], k: int, by: list[str], m: str = "(year(date) * 12
         f" AS {c}_{k}" for c in cols)
 
 
+def significant(x: str) -> str:
+    """``x`` rounded to DIGITS significant digits."""
+    return f"CASE WHEN {x} IS NOT NULL THEN CAST(printf('%.{DIGITS - 1}e', ({x}) * CAST({OFF_TIES!r} AS DOUBLE)) AS DOUBLE) + 0.0 END"
+
+
 def final(src: str, cols: list[str], doubles: set[str]) -> str:
     out = []
     for c in cols:
-        r = round_rule(c) if c in doubles else None
-        out.append(f"round({c}, {r}) + 0.0 AS {c}" if r is not None else c)
+        out.append(f"{significant(c)} AS {c}" if c in doubles and inexact(c) else c)
     return f"SELECT {', '.join(out)} FROM {src}"
 
 
@@ -397,11 +401,15 @@ products AS (SELECT a.co_ncm, a.co_unid, a.co_cgce_n3, a.no_ncm_ing, b.no_cgce_n
              LEFT JOIN p_unid c ON a.co_unid = c.co_unid)"""
 
 Q["lookup_merge"] = with_(PRODUCTS) + "SELECT * FROM products"
+Q["lookup_merge_null_key"] = with_(PRODUCTS) + """
+SELECT a.co_ncm, a.co_unid, nullif(a.co_cgce_n3, 'LAR') AS co_cgce_n3, a.no_ncm_ing, b.no_cgce_n3_ing, c.no_unid
+FROM p_ncm a LEFT JOIN p_cgce b ON nullif(a.co_cgce_n3, 'LAR') IS NOT DISTINCT FROM nullif(b.co_cgce_n3, 'LAR')
+LEFT JOIN p_unid c ON a.co_unid = c.co_unid"""
 
 
-def _q_category_change():
+def _q_category_change(products: str = "products"):
     f = ("cf AS (SELECT f.*, p.no_cgce_n3_ing AS name, p.co_cgce_n3 AS code FROM facts f "
-         "LEFT JOIN products p ON f.ncm = p.co_ncm WHERE f.date >= DATE '1998-01-01' AND f.country_code = 9)")
+         f"LEFT JOIN {products} p ON f.ncm = p.co_ncm WHERE f.date >= DATE '1998-01-01' AND f.country_code = 9)")
     s = f"cs AS (SELECT name, code, direction, date, {SUMS6} FROM cf GROUP BY name, code, direction, date)"
     dcte, cols = deflate_cte("cd0", "cs", ["name", "code", "direction", "date"] + list(MEASURES))
     d = "cd AS (SELECT * FROM cd0 WHERE fob_brl_deflated IS NOT NULL AND direction = 'imp')"
@@ -417,13 +425,14 @@ def _q_category_change():
     t = ("tk AS (SELECT code, sum(abs(current - last)) AS total FROM w GROUP BY code "
          "ORDER BY total DESC NULLS LAST, code ASC NULLS LAST LIMIT 10), "
          "res AS (SELECT tk.code, tk.total, w.name, w.direction, w.last, w.current, w.d, w.s, w.p "
-         "FROM tk JOIN w ON tk.code = w.code)")
+         "FROM tk JOIN w ON tk.code IS NOT DISTINCT FROM w.code)")
     out = ["code", "total", "name", "direction", "last", "current", "d", "s", "p"]
     return with_(FACTS, deflator_ctes(), PRODUCTS, f, s, dcte, d, r, sm, w, t) + \
         final("res", out, {"total", "last", "current", "d", "s", "p"})
 
 
 Q["category_change_top10"] = _q_category_change()
+Q["category_change_unclassified"] = _q_category_change("(SELECT * FROM products WHERE co_cgce_n3 <> 'LAR')")
 
 
 def _pvr_ctes(real: bool):
@@ -452,12 +461,12 @@ Q["partner_vs_rest"] = _q_pvr(False)
 Q["partner_vs_rest_real"] = _q_pvr(True)
 
 Q["freight_share_year"] = with_(FACTS) + (
-    f"SELECT year, direction, fob_usd, freight_usd, round(freight_usd / nullif(fob_usd, 0), 9) + 0.0 AS p FROM ("
+    f"SELECT year, direction, fob_usd, freight_usd, {significant('freight_usd / nullif(fob_usd, 0)')} AS p FROM ("
     f"SELECT year, direction, {nsum('fob_usd', 'BIGINT')} AS fob_usd, {nsum('freight_usd', 'BIGINT')} AS freight_usd "
     "FROM facts GROUP BY year, direction) q")
 
 Q["freight_share_country"] = with_(FACTS) + (
-    f"SELECT country_code, fob_usd, freight_usd, round(freight_usd / nullif(fob_usd, 0), 9) + 0.0 AS p FROM ("
+    f"SELECT country_code, fob_usd, freight_usd, {significant('freight_usd / nullif(fob_usd, 0)')} AS p FROM ("
     f"SELECT country_code, CAST(coalesce(sum(fob_usd), 0) AS BIGINT) AS fob_usd, "
     f"{nsum('freight_usd', 'BIGINT')} AS freight_usd FROM facts GROUP BY country_code) q")
 
@@ -479,11 +488,10 @@ per_year AS (
   FROM lineitem GROUP BY 1, 2),
 control AS (
   SELECT CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END || CAST(year AS VARCHAR) || '.csv' AS file,
-         CAST(year AS DOUBLE) AS year, CAST(q AS DOUBLE) AS qt_stat, CAST(kg AS DOUBLE) AS kg_net,
-         CAST(fob AS DOUBLE) AS fob_usd,
-         CASE WHEN l_linestatus = 'F' THEN CAST(fr AS DOUBLE) END AS freight_usd,
-         CASE WHEN l_linestatus = 'F' THEN CAST(ins AS DOUBLE) END AS insurance_usd,
-         CAST(n AS DOUBLE) AS number_of_lines
+         year, CAST(q AS BIGINT) AS qt_stat, CAST(kg AS BIGINT) AS kg_net, CAST(fob AS BIGINT) AS fob_usd,
+         CASE WHEN l_linestatus = 'F' THEN CAST(fr AS BIGINT) END AS freight_usd,
+         CASE WHEN l_linestatus = 'F' THEN CAST(ins AS BIGINT) END AS insurance_usd,
+         CAST(n AS BIGINT) AS number_of_lines
   FROM per_year)"""
 
 CHECK = ("qt_stat", "kg_net", "fob_usd", "freight_usd", "insurance_usd", "number_of_lines")
@@ -492,8 +500,8 @@ CHECK = ("qt_stat", "kg_net", "fob_usd", "freight_usd", "insurance_usd", "number
 def _reconcile(control_expr: str, check=CHECK, source: str = "facts", ctes=(FACTS, CONTROL)) -> str:
     CHECK = check
     totals = ("totals AS (SELECT year, direction, " + ", ".join(
-        f"CAST({nsum(c)} AS DOUBLE) AS a_{c}" for c in CHECK[:-1]) +
-        f", CAST(count(*) AS DOUBLE) AS a_number_of_lines FROM {source} GROUP BY year, direction)")
+        f"CAST({nsum(c)} AS BIGINT) AS a_{c}" for c in CHECK[:-1]) +
+        f", count(*) AS a_number_of_lines FROM {source} GROUP BY year, direction)")
     ctrl = (f"ctrl AS (SELECT file, CAST(year AS INTEGER) AS year, "
             f"CASE WHEN file LIKE '%IMP%' THEN 'imp' ELSE 'exp' END AS direction, {', '.join(CHECK)} FROM ({control_expr}) c)")
     same = " AND ".join(f"c.{m} IS NOT DISTINCT FROM t.a_{m}" for m in CHECK)
@@ -592,9 +600,9 @@ Q["effective_rate"] = _q_effective_rate()
 
 def _q_gdp_shares_long():
     q = Q["effective_rate"]
-    body = ("SELECT date, 'Importações CIF' AS serie, round(imp_pct_pib_12, 9) + 0.0 AS pct_pib FROM er "
+    body = ("SELECT date, 'Importações CIF' AS serie, " + significant("imp_pct_pib_12") + " AS pct_pib FROM er "
             "WHERE imp_pct_pib_12 IS NOT NULL UNION ALL "
-            "SELECT date, 'II + IPI vinculado' AS serie, round(ii_ipi_pct_pib_12, 9) + 0.0 AS pct_pib FROM er "
+            "SELECT date, 'II + IPI vinculado' AS serie, " + significant("ii_ipi_pct_pib_12") + " AS pct_pib FROM er "
             "WHERE imp_pct_pib_12 IS NOT NULL")
     return q[: q.rindex("SELECT ")] + body
 
@@ -635,8 +643,8 @@ mun_year AS (
   FROM lineitem GROUP BY 1, 2),
 control_mun AS (
   SELECT CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END || CAST(year AS VARCHAR) || '_MUN.csv' AS file,
-         CAST(year AS DOUBLE) AS year, CAST(kg AS DOUBLE) AS kg_net, CAST(fob AS DOUBLE) AS fob_usd,
-         CAST(n AS DOUBLE) AS number_of_lines
+         year, CAST(kg AS BIGINT) AS kg_net, CAST(fob AS BIGINT) AS fob_usd,
+         CAST(n AS BIGINT) AS number_of_lines
   FROM mun_year)"""
 
 Q["reconcile_hs4"] = _reconcile("SELECT * FROM control_mun", check=("kg_net", "fob_usd", "number_of_lines"),
@@ -646,9 +654,37 @@ Q["hs4_csv_roundtrip"] = Q["format_hs4"]
 Q["lookup_csv_roundtrip"] = ("SELECT lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS co_ncm, "
                              "CAST(p_size % 10 AS VARCHAR) AS co_unid, p_name AS no_ncm_ing FROM part")
 Q["control_csv_reconcile"] = Q["reconcile_ok"]
+Q["control_csv_reconcile_mun"] = Q["reconcile_hs4"]
+Q["reconcile_large"] = with_(FACTS, CONTROL, """
+t AS (SELECT year, direction, CAST(sum(fob_usd) AS BIGINT) + 1152921504606846976 AS a FROM facts GROUP BY year, direction),
+c AS (SELECT file, year, CASE WHEN file LIKE '%IMP%' THEN 'imp' ELSE 'exp' END AS direction,
+             fob_usd + 1152921504606846976 + CASE WHEN year = 1998 THEN 1 ELSE 0 END AS e FROM control)""") + """
+SELECT c.year, c.direction, c.file, CASE WHEN t.year IS NULL THEN 'uncovered' WHEN e = a THEN 'ok' ELSE 'mismatch' END AS status,
+       'fob_usd' AS measure, e AS expected, a AS actual
+FROM c LEFT JOIN t ON c.year = t.year AND c.direction = t.direction"""
+Q["deflators_from_files"] = Q["deflators"]
+Q["fiscal_from_sheet"] = Q["fiscal_long"]
+Q["partition_replace"] = with_(FACTS) + (
+    "SELECT direction, year, CAST(sum(CASE WHEN year = 1997 THEN 2 ELSE 1 END * fob_usd) AS BIGINT) AS fob_usd "
+    "FROM facts GROUP BY direction, year")
+Q["sorted_monthly"] = with_(FACTS) + (
+    f"SELECT direction, date, {nsum('fob_usd', 'BIGINT')} AS fob_usd, "
+    "CAST(row_number() OVER (ORDER BY date NULLS LAST, direction NULLS LAST) AS INTEGER) AS position "
+    "FROM facts GROUP BY direction, date")
+Q["partner_code_labels"] = ("SELECT CAST(n_nationkey AS INTEGER) AS country_code, "
+                            "CAST(n_nationkey AS VARCHAR) || ': ' || n_name AS label FROM nation")
+Q["ingest_bad_file_report"] = with_(FACTS) + """
+SELECT direction, year, upper(direction) || '_' || CAST(year AS VARCHAR) || '.csv' AS file, count(*) AS rows,
+       count(CASE WHEN year = 1997 AND qt_stat = 10 THEN 1 END) AS bad_rows,
+       CAST(count(CASE WHEN year = 1997 AND qt_stat = 10 THEN 1 END) AS BIGINT) AS null_cells FROM facts GROUP BY direction, year"""
+Q["ingest_missing_files"] = with_(FACTS) + """
+SELECT CAST(r.range AS INTEGER) AS year, d.direction, 'ncm' AS type, 'missing' AS status
+FROM range(1993, 2004) r, (VALUES ('imp'), ('exp')) d(direction)
+WHERE NOT EXISTS (SELECT 1 FROM facts f WHERE f.year = r.range AND f.direction = d.direction AND f.direction = 'imp')"""
+Q["covered_partitions"] = Q["missing_partitions"].replace("'missing'", "'landed'").replace("NOT EXISTS", "EXISTS")
 Q["ingest_job"] = Q["sum_by_direction_year"]
 Q["file_quality"] = ("SELECT CASE WHEN l_linestatus = 'F' THEN 'imp' ELSE 'exp' END AS direction, "
-                     "CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows, CAST(0 AS BIGINT) AS bad_rows "
+                     "CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS rows, CAST(0 AS BIGINT) AS bad_rows, CAST(0 AS BIGINT) AS null_cells "
                      "FROM lineitem GROUP BY 1, 2")
 Q["hs4_lake_roundtrip"] = Q["format_hs4"]
 Q["lake_roundtrip"] = Q["sum_by_direction_year"]

@@ -75,7 +75,9 @@ def test_directions_add_up_to_total(spark):
     assert sum(r["qt_stat"] for r in by_dir) == total["qt_stat"]
 
 
-def test_scale_settings_bounds():
+def test_scale_settings_follow_the_input():
     from tradelake.session import scale_settings
-    assert scale_settings(10 << 20)["spark.sql.shuffle.partitions"] == "200"
-    assert scale_settings(100 * 10**12)["spark.sql.shuffle.partitions"] == "100000"
+    for size in (1 << 30, 100 * 10**12, 1 << 50):
+        n = int(scale_settings(size)["spark.sql.shuffle.partitions"])
+        assert size / n <= 256 << 20 < size / (n - 1)
+    assert int(scale_settings(1 << 40, 64 << 20)["spark.sql.shuffle.partitions"]) == 1 << 14

@@ -55,16 +55,41 @@ def test_explicit_basedate(spark):
 
 
 def test_missing_basedate_fails(spark):
-    with pytest.raises(Exception, match="Incomplete deflators"):
+    with pytest.raises(Exception, match="base date"):
         deflate(_data(spark), _defl(spark), basedate="2022-01-01").collect()
 
 
 def test_duplicated_dates_fail(spark):
     rows = [(d("2023-01-01"), 0.5, 1.005, 5.0, 100.0), (d("2023-01-01"), 0.5, 1.005, 5.0, 100.0)]
-    with pytest.raises(Exception, match="Duplicated dates|Incomplete deflators"):
+    with pytest.raises(Exception, match="more than once|base date"):
         deflate(_data(spark), _defl(spark, rows)).collect()
 
 
+def test_guards_hold_for_any_output(spark):
+    out = deflate(_data(spark), _defl(spark), basedate="2022-01-01")
+    for df in (out.select("fob_brl"), out.groupBy().count()):
+        with pytest.raises(Exception, match="base date"):
+            df.collect()
+
+
+def test_empty_deflators_fail(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    for df in (deflate(_data(spark), empty), deflate(_data(spark), empty).select("fob_usd")):
+        with pytest.raises(Exception, match="base date"):
+            df.collect()
+
+
+def test_converted_column_in_the_input_is_an_error(spark):
+    data = spark.createDataFrame([(d("2023-01-01"), 10, 999.0)], "date date, fob_usd long, fob_brl double")
+    with pytest.raises(ValueError, match="fob_brl"):
+        deflate(data, _defl(spark))
+
+
+def test_strict_fails_on_a_fact_without_deflators(spark):
+    with pytest.raises(Exception, match="No complete deflators"):
+        deflate(_data(spark), _defl(spark), strict=True).collect()
+
+
 def test_price_index_cumulative_product(spark):
     df = spark.createDataFrame([(d("2023-01-01"), 1.0), (d("2023-02-01"), 2.0), (d("2023-03-01"), None),
                                 (d("2023-04-01"), 1.0)], "date date, ipca double")

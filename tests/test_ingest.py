@@ -75,7 +75,7 @@ def test_ingest_validates_before_publishing(spark):
                                 "file string, year double, qt_stat double, kg_net double, fob_usd double, "
                                 "freight_usd double, insurance_usd double, number_of_lines double")
     lake = scratch_path(spark, "test-lake")
-    with pytest.raises(Exception, match="Conference file mismatch"):
+    with pytest.raises(Exception, match="differ from the control"):
         ingest.ingest(spark, landing, lake, control=ctrl)
     assert not os.path.exists(lake.replace("file:", ""))
     ok = ctrl.withColumn("fob_usd", F.lit(1000.0))
@@ -83,6 +83,51 @@ def test_ingest_validates_before_publishing(spark):
     assert spark.read.parquet(lake).count() == 2
 
 
+HEAD_EXP = "CO_ANO;CO_MES;CO_NCM;CO_UNID;CO_PAIS;SG_UF_NCM;CO_VIA;CO_URF;QT_ESTAT;KG_LIQUIDO;VL_FOB\n"
+GOOD_EXP = "2023;1;01012100;10;63;SP;1;1;5;50;500\n"
+
+
+def test_bad_rows_and_absent_years_publish_nothing(spark, tmp_path):
+    import pytest
+    for side in ("imp", "exp"):
+        (tmp_path / f"direction={side}").mkdir()
+    exp = tmp_path / "direction=exp"
+    imp = tmp_path / "direction=imp"
+    _write(imp / "IMP_2023.csv", HEAD_EXP.strip() + ";VL_FRETE;VL_SEGURO\n" + GOOD_EXP.strip() + ";1;2\n")
+    _write(exp / "EXP_2023.csv", HEAD_EXP + GOOD_EXP + "2023;2;01012100;10;63;SP;1;1;x;50;500\n2023;3;0101\n")
+    lake = scratch_path(spark, "test-lake")
+    with pytest.raises(ValueError, match=r"EXP_2023.csv \(2\)"):
+        ingest.ingest(spark, str(tmp_path), lake, years=[2023])
+    with pytest.raises(ValueError, match="no landed file for exp 2024, imp 2024"):
+        ingest.ingest(spark, str(tmp_path), lake, years=[2023, 2024])
+    assert not os.path.exists(lake.replace("file:", ""))
+    _write(exp / "EXP_2023.csv", HEAD_EXP + GOOD_EXP)
+    ingest.ingest(spark, str(tmp_path), lake, years=[2023])
+    assert spark.read.parquet(lake).count() == 2
+
+
+def test_only_official_names_are_facts(spark, tmp_path):
+    for side in ("imp", "exp"):
+        (tmp_path / f"direction={side}").mkdir()
+    _write(tmp_path / "direction=exp" / "exp_2023.csv", HEAD_EXP + GOOD_EXP)
+    _write(tmp_path / "direction=exp" / "notes_old.csv", HEAD_EXP + GOOD_EXP)
+    _write(tmp_path / "direction=imp" / "imp_2023_notes.csv", HEAD_EXP + GOOD_EXP)
+    assert [(r["year"], r["direction"]) for r in read_ncm_raw(spark, str(tmp_path)).collect()] == [(2023, "exp")]
+    from tradelake.sources.trade_csv import landed_files
+    assert [tuple(r) for r in landed_files(spark, str(tmp_path)).collect()] == [("exp", 2023, "EXP_2023.csv")]
+
+
+def test_rewrite_checks_before_it_writes(spark):
+    import pytest
+    ctrl = spark.createDataFrame([("IMP_2023.csv", 2023, 1001)], "file string, year int, fob_usd long")
+    base = scratch_path(spark, "test-rewrite")
+    with pytest.raises(Exception, match="differ from the control"):
+        ingest.rewrite(_facts(spark), base, ctrl)
+    assert not os.path.exists(base.replace("file:", ""))
+    path, report = ingest.rewrite(_facts(spark), base, ctrl.withColumn("fob_usd", F.lit(1000).cast("long")))
+    assert {r["status"] for r in report.collect()} == {"ok"} and spark.read.parquet(path).count() == 3
+
+
 def test_union_missing_columns_derives_direction(spark):
     f = _facts(spark)
     imp = f.where("direction = 'imp'").select("year", "month", "fob_usd", "freight_usd", "insurance_usd")

@@ -20,6 +20,13 @@ def test_duplicate_lookup_key_fails(spark):
         merge_lookups([a, b], check_unique=True).collect()
 
 
+def test_null_keys_match_null_keys(spark):
+    a = spark.createDataFrame([("1", None), ("2", "A")], "co_ncm string, co_cgce_n3 string")
+    b = spark.createDataFrame([(None, "unknown"), ("A", "Cars")], "co_cgce_n3 string, no_cgce_n3_ing string")
+    got = {r["co_ncm"]: r["no_cgce_n3_ing"] for r in merge_lookups([a, b], check_unique=True).collect()}
+    assert got == {"1": "unknown", "2": "Cars"}
+
+
 def test_partner_labels_no_fan_out(spark):
     countries = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "country_code int, country_name string")
     blocks = spark.createDataFrame([(1, 10, "Bloc X"), (1, 20, "Bloc Y"), (2, 20, "Bloc Y"), (3, 30, "Other")],

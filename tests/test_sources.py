@@ -50,7 +50,7 @@ def test_landing_probe_strict(spark, tmp_path):
            "2023;1;01012100;10;63;SP;1;1;5;50;500\n2023;2;01012100;10;63;SP;1;1;x;50;500\n")
     counts = file_counts(spark, str(tmp_path), schema=NCM_EXP_SCHEMA).collect()
     assert sum(r["rows"] for r in counts) == 2 and sum(r["bad_rows"] for r in counts) == 1
-    with pytest.raises(Exception, match="Problem in landed data"):
+    with pytest.raises(Exception, match="unreadable rows"):
         file_counts(spark, str(tmp_path), schema=NCM_EXP_SCHEMA, strict=True).collect()
 
 

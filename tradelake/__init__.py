@@ -7,7 +7,7 @@ driver inside an operator; the caller triggers the action.
 User-facing functions, by role:
   read an official table ........ read_table, read_control
   open the lake ................. open_ncm, open_hs4
-  land -> validate -> publish ... ingest, publish_lake, rewrite, ingest_new_files
+  land -> validate -> publish ... ingest, publish_lake, rewrite
   check against control totals .. reconcile
   sum measures by prefix ........ sum_prefixed
   calendar rolling sums ......... roll_months (and roll_rows)
@@ -28,11 +28,10 @@ from tradelake.operators.rolling import roll_months, roll_rows
 from tradelake.plans.ingest import ingest, publish_lake, rewrite
 from tradelake.sources.lake import open_hs4, open_ncm
 from tradelake.sources.trade_csv import file_counts, read_control, read_hs4_raw, read_ncm_raw, read_table
-from tradelake.streaming.landing import ingest_new_files
 
 __all__ = [
     "read_table", "read_control", "read_ncm_raw", "read_hs4_raw", "file_counts", "open_ncm", "open_hs4",
-    "ingest", "publish_lake", "rewrite", "ingest_new_files", "reconcile", "missing_partitions",
+    "ingest", "publish_lake", "rewrite", "reconcile", "missing_partitions",
     "sum_prefixed", "roll_months", "roll_rows", "build_deflators", "price_index", "monthly_mid_rate",
     "deflator_report", "deflate", "clean_code", "check_codes", "merge_lookups", "partner_labels", "nsum", "ratio",
 ]

@@ -35,3 +35,8 @@ def check_codes(df: DataFrame, column: str, nchar: int = 8, strict: bool = True,
         return df.withColumn(column, clean_code(column, nchar))
     return (df.withColumn(column, cleaned)
               .withColumn(flag, F.col(column).isNull() | (F.length(column) == nchar)))
+
+
+def code_label(code: str, name: str) -> Column:
+    """``code: name``, the display label of a coded member; the code alone where the name is NULL."""
+    return F.concat_ws(": ", F.col(code).cast("string"), F.col(name))

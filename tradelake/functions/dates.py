@@ -14,16 +14,5 @@ def month_start(x) -> Column:
     return F.trunc(F.to_date(_c(x)), "month")
 
 
-def month_index(x) -> Column:
-    """Months since year 0: consecutive months differ by exactly 1."""
-    d = _c(x)
-    return F.year(d) * 12 + F.month(d)
-
-
-def make_month(year, month) -> Column:
-    """DATE of the first day of (year, month)."""
-    return F.make_date(_c(year), _c(month), F.lit(1))
-
-
 def last_day_previous_month() -> Column:
     return F.last_day(F.add_months(F.current_date(), -1))

@@ -19,7 +19,7 @@ from tradelake.functions.names import match_prefix
 from tradelake.functions.nulls import nsum, q
 from tradelake.schemas import CHECK_MEASURES
 
-MISMATCH = "Conference file mismatch with downloaded data!"
+MISMATCH = "Fact totals differ from the control totals."
 
 
 def control_direction(control: DataFrame) -> DataFrame:
@@ -43,7 +43,8 @@ def reconcile(data: DataFrame, control: DataFrame, measures: Sequence[str] = CHE
     """Long report (year, direction, file, status, measure, expected, actual).
 
     ``control`` has ``file``, ``year`` and the measure columns its files carry
-    (missing ones count as NULL). ``strict=True`` fails the job on a mismatch.
+    (missing ones count as NULL). Totals are compared as exact decimals and
+    reported as 64-bit integers. ``strict=True`` fails the job on a mismatch.
     ``years`` / ``directions`` restrict both sides (partition filters on a lake).
     """
     if "direction" not in control.columns:
@@ -57,9 +58,9 @@ def reconcile(data: DataFrame, control: DataFrame, measures: Sequence[str] = CHE
     totals = fact_totals(data, measures)
     shared = [m for m in totals.columns if m in set(control.columns) and m not in ("year", "direction")]
     t = totals.selectExpr("CAST(year AS INT) AS __y", "direction AS __d", "true AS __present",
-                          *[f"CAST({q(m)} AS DOUBLE) AS {q('__a_' + m)}" for m in shared])
+                          *[f"CAST({q(m)} AS DECIMAL(38, 4)) AS {q('__a_' + m)}" for m in shared])
     c = control.selectExpr("CAST(year AS INT) AS year", "direction", "file",
-                           *[f"CAST({q(m)} AS DOUBLE) AS {q(m)}" for m in shared])
+                           *[f"CAST({q(m)} AS DECIMAL(38, 4)) AS {q(m)}" for m in shared])
     # one row per (year, direction): bounded by the calendar, broadcast
     t = F.broadcast(t)
     j = c.join(t, (c.year == t.__y) & (c.direction == t.__d), "left")
@@ -67,7 +68,7 @@ def reconcile(data: DataFrame, control: DataFrame, measures: Sequence[str] = CHE
     status = f"CASE WHEN __present IS NULL THEN 'uncovered' WHEN {same} THEN 'ok' ELSE 'mismatch' END"
     if strict:
         status = f"CASE WHEN ({status}) = 'mismatch' THEN raise_error('{MISMATCH}') ELSE ({status}) END"
-    pairs = ", ".join(f"struct('{m}' AS measure, {q(m)} AS expected, {q('__a_' + m)} AS actual)" for m in shared)
+    pairs = ", ".join(f"struct('{m}' AS measure, CAST({q(m)} AS BIGINT) AS expected, CAST({q('__a_' + m)} AS BIGINT) AS actual)" for m in shared)
     return j.selectExpr("year", "direction", "file", f"{status} AS status", f"inline(array({pairs}))")
 
 
@@ -79,8 +80,17 @@ def coverage_grid(spark: SparkSession, years: Sequence[int], directions: Sequenc
     return g.select("year", "direction", F.explode(F.array(*[F.lit(t) for t in types])).alias("type"))
 
 
+def _grid_keys(present: DataFrame) -> list[str]:
+    return [k for k in ("year", "direction", "type") if k in present.columns]
+
+
 def missing_partitions(grid: DataFrame, present: DataFrame) -> DataFrame:
-    """Grid rows with no landed data: (year, direction, type, status='missing')."""
-    keys = [k for k in ("year", "direction", "type") if k in present.columns]
-    p = present.select(*keys).distinct()
-    return grid.join(p, on=keys, how="left_anti").withColumn("status", F.lit("missing"))
+    """Grid rows with nothing in ``present`` (e.g. the landed files): (..., status='missing')."""
+    keys = _grid_keys(present)
+    return grid.join(present.select(*keys).distinct(), on=keys, how="left_anti").withColumn("status", F.lit("missing"))
+
+
+def covered_partitions(grid: DataFrame, present: DataFrame) -> DataFrame:
+    """Grid rows that ``present`` covers: (..., status='landed')."""
+    keys = _grid_keys(present)
+    return grid.join(present.select(*keys).distinct(), on=keys, how="left_semi").withColumn("status", F.lit("landed"))

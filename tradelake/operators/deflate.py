@@ -6,8 +6,8 @@ projection:
   * every ``*_usd`` column -> ``*_brl`` = value x brlusd
   * every ``*_brl`` column, including ones already in the input,
     -> ``*_brl_deflated`` = value x ipca_r
-The deflator side has one row per month (checked in the plan) and is
-broadcast; the facts are never shuffled for this join.
+The deflator side has one row per month (checked in the plan); an empty
+deflator table fails the job through a filter on the facts.
 """
 
 from __future__ import annotations
@@ -16,12 +16,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradelake.functions.names import match_suffix
 from tradelake.functions.nulls import q
-from tradelake.operators.deflators import with_ratios
+from tradelake.operators.deflators import INCOMPLETE, with_ratios
 
 DEFLATOR_COLUMNS = ("ipca", "ipca_i", "brlusd", "cpi", "cpi_r", "cpi_basedate", "ipca_r", "ipca_basedate")
 
 
-def deflate(data: DataFrame, deflators: DataFrame, basedate=None, date: str = "date") -> DataFrame:
+def deflate(data: DataFrame, deflators: DataFrame, basedate=None, date: str = "date",
+            strict: bool = False) -> DataFrame:
+    """``data`` with the deflator columns and the converted measures.
+
+    ``strict`` fails the job where a fact finds no complete deflator row;
+    otherwise such facts are kept with NULLs. A ``*_brl`` column of the input
+    that a ``*_usd`` column would be converted into is an error.
+    """
     d1 = with_ratios(deflators, basedate)
     if date != "date":
         d1 = d1.withColumnRenamed("date", date)
@@ -29,7 +36,18 @@ def deflate(data: DataFrame, deflators: DataFrame, basedate=None, date: str = "d
     clash = [c for c in extra if c in data.columns]
     if clash:
         raise ValueError(f"deflate: input already has deflator columns {clash}")
-    j = data.join(F.broadcast(d1), on=date, how="left")
+    taken = [c[: -len("_usd")] + "_brl" for c in match_suffix(data.columns, "_usd")]
+    taken = [c for c in taken if c in data.columns]
+    if taken:
+        raise ValueError(f"deflate: input already has the converted columns {taken}")
+    filled = deflators.agg((F.count(F.lit(1)) > 0).alias("filled")).scalar()
+    # a filter, so that it holds whatever columns are read later
+    checked = data.where(F.when(filled, F.lit(True)).otherwise(F.raise_error(F.lit(INCOMPLETE)).cast("boolean")))
+    j = checked.join(F.broadcast(d1), on=date, how="left")
+    if strict:
+        found = F.col("cpi_r").isNotNull() & F.col("ipca_r").isNotNull() & F.col("brlusd").isNotNull()
+        j = j.withColumn(date, F.when(found, F.col(date)).otherwise(
+            F.raise_error(F.concat(F.lit("No complete deflators for "), F.col(date).cast("string")))))
     cols = list(data.columns) + extra
 
     usd = match_suffix(cols, "_usd")

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tradelake.functions.dates import last_day_previous_month, month_start
 from tradelake.schemas import DEFLATOR_START
 
-INCOMPLETE = "Incomplete deflators."
-DUPLICATED = "Duplicated dates in deflators."
+INCOMPLETE = "No single deflator row carries the base date."
+DUPLICATED = "A date occurs more than once in the deflators."
 
 
 def _lit_date(x) -> Column:
@@ -63,9 +63,9 @@ def with_ratios(deflators: DataFrame, basedate=None) -> DataFrame:
     """Adds cpi_r, cpi_basedate, ipca_r, ipca_basedate (base value / value).
 
     The base date of a series is ``basedate`` or its latest date with a value.
-    Exactly one row must carry each base date ("Incomplete deflators."
-    otherwise) and no date may repeat (the later join would fan out); both
-    checks fail the job inside the plan. The base values are window
+    Exactly one row must carry each base date and no date may repeat (the
+    later join would fan out); both checks are tied to the date, the key of
+    the later join, so no choice of output columns prunes them. The base values are window
     aggregates over the whole deflator table, which holds one row per month:
     its size is bounded by the calendar, not by the facts.
     """
@@ -82,17 +82,15 @@ def with_ratios(deflators: DataFrame, basedate=None) -> DataFrame:
             level2 += [f"{bd} AS __{c}_bd", f"sum(CASE WHEN date = {bd} THEN 1 ELSE 0 END) OVER () AS __{c}_n",
                        f"max(CASE WHEN date = {bd} THEN {c} END) OVER () AS __{c}_v"]
 
-    def base(c):
-        return (f"CASE WHEN coalesce(__{c}_n, 0) != 1 THEN raise_error('{INCOMPLETE}') "
-                f"ELSE __{c}_v END")
-
     rest = [c for c in deflators.columns if c != "date"]
     return deflators.selectExpr("*", k).selectExpr(*level2).selectExpr(
-        f"CASE WHEN __max_k > 1 THEN raise_error('{DUPLICATED}') ELSE date END AS date",
+        f"CASE WHEN __max_k > 1 THEN raise_error('{DUPLICATED}') "
+        f"WHEN coalesce(__cpi_n, 0) != 1 OR coalesce(__ipca_i_n, 0) != 1 THEN raise_error('{INCOMPLETE}') "
+        "ELSE date END AS date",
         *rest,
-        f"try_divide({base('cpi')}, cpi) AS cpi_r",
+        "try_divide(__cpi_v, cpi) AS cpi_r",
         "CAST(__cpi_bd AS DATE) AS cpi_basedate",
-        f"try_divide({base('ipca_i')}, ipca_i) AS ipca_r",
+        "try_divide(__ipca_i_v, ipca_i) AS ipca_r",
         "CAST(__ipca_i_bd AS DATE) AS ipca_basedate")
 
 

@@ -1,8 +1,7 @@
 """Code-table enrichment.
 
 ``merge_lookups`` folds left joins over all columns the tables share (a
-natural join), then casts every column to string. ``enrich`` joins facts to a
-lookup; ``partner_labels`` collapses member countries of chosen blocks into
+natural join), then casts every column to string; ``partner_labels`` collapses member countries of chosen blocks into
 the block's name. Lookups are not broadcast by hint: the planner broadcasts a
 side only after measuring it, and falls back to a shuffle join beyond that.
 """
@@ -16,17 +15,6 @@ from pyspark.sql import DataFrame, functions as F
 
 
 DUPLICATE_KEY = "Lookup key is not unique."
-BROADCAST_MAX_ROWS = 500_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else unchanged.
-
-    The size is checked with a count (one small job; pass a persisted table),
-    not estimated: beyond the limit the join stays a shuffle join, whose
-    skewed partitions adaptive execution splits.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,8 +31,11 @@ def natural_left_join(left: DataFrame, right: DataFrame, check_unique: bool = Fa
         raise ValueError("natural join without common columns")
     if check_unique:
         right = unique_on(right, on)
-    return left.join(right, on=on, how="left").select(
-        *left.columns, *[c for c in right.columns if c not in set(on)])
+    # NULL keys match NULL keys, as in an in-memory merge
+    r = right.select(*[F.col(f"`{c}`").alias(f"__r_{c}") for c in right.columns])
+    cond = [left[c].eqNullSafe(r[f"__r_{c}"]) for c in on]
+    return left.join(r, cond, "left").select(
+        *[left[c] for c in left.columns], *[r[f"__r_{c}"].alias(c) for c in right.columns if c not in set(on)])
 
 
 def merge_lookups(tables: Sequence[DataFrame], as_string: bool = True, check_unique: bool = False) -> DataFrame:
@@ -59,14 +50,6 @@ def merge_lookups(tables: Sequence[DataFrame], as_string: bool = True, check_uni
     return merged
 
 
-def enrich(facts: DataFrame, lookup: DataFrame, on: Sequence[str] | str | None = None,
-           how: str = "left") -> DataFrame:
-    """facts join lookup on ``on`` (default: the common columns)."""
-    if on is None:
-        on = [c for c in facts.columns if c in set(lookup.columns)]
-    return facts.join(lookup, on=on, how=how)
-
-
 def partner_labels(countries: DataFrame, blocks: DataFrame, collapse: Sequence[int],
                    label: str = "partner") -> DataFrame:
     """(country_code, partner): the name of the first listed block a country

@@ -8,9 +8,8 @@ Plan: the result depends only on (group, month), so the input is first
 reduced to one row per (group, month) with a hash aggregate; the RANGE window
 then runs on that table, whose size is bounded by groups x months and not by
 the number of facts. Rows of an un-aggregated input get their values through a
-null-safe equi-join on (group, month); the rolled side is broadcast when the
-caller states the groups are few (``bounded_groups``) or when its counted size
-is small, and joined by a shuffle join otherwise.
+null-safe equi-join on (group, month), broadcast or shuffled as the planner
+finds from the sizes. Building the result starts no job.
 """
 
 from __future__ import annotations
@@ -21,8 +20,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tradelake.functions.names import match_prefix
 from tradelake.functions.nulls import nsum_over, nsum_sql, q
-from tradelake.operators.lookups import broadcast_if_small
-from tradelake.session import materialize
 from tradelake.schemas import DEFAULT_PREFIXES
 
 _M = "__month_idx"
@@ -38,8 +35,7 @@ def _by(by) -> list[str]:
 
 def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
                 prefixes: Sequence[str] | str = DEFAULT_PREFIXES, k: int = 12,
-                date: str = "date", one_row_per_date: bool = False,
-                bounded_groups: bool | None = None) -> DataFrame:
+                date: str = "date", one_row_per_date: bool = False) -> DataFrame:
     """Add ``{col}_{k}`` rolling sums (double) for every prefix-matched column.
 
     ``one_row_per_date=True`` runs the window on the input directly, for input
@@ -49,11 +45,8 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
     sorts every row of a group in a single task; the default reduces first.
 
     Un-aggregated input gets the rolled values by a join on (group, month).
-    ``bounded_groups=True`` states that the ``by`` keys take few values (e.g.
-    the trade direction): the rolled table (groups x months rows) is broadcast
-    to the rows, which are never shuffled. ``None`` (default) writes the rolled
-    table once and counts it: broadcast if small, a shuffle join otherwise.
-    ``False`` leaves the choice to the planner.
+    Dates are the first days of months; any other day fails the job, since two
+    days of a month would share one total.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -63,7 +56,7 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
         raise ValueError(f"no column matches prefixes {prefixes!r}")
     d = q(date)
     m = (f"CASE WHEN {d} IS NULL THEN raise_error('roll_months: NULL date') "
-         f"ELSE year({d}) * 12 + month({d}) END")
+         f"WHEN day({d}) <> 1 THEN raise_error('roll_months: a date is not the first of its month') ELSE year({d}) * 12 + month({d}) END")
 
     if one_row_per_date:
         base = df.selectExpr("*", f"{m} AS {_M}")
@@ -85,10 +78,6 @@ def roll_months(df: DataFrame, by: Sequence[str] | str | None = None,
         return base.selectExpr(*[q(c) for c in df.columns], *rolled)
 
     small = base.selectExpr(*[f"{q(c)} AS __k{i}" for i, c in enumerate(keys)], f"{_M} AS __m2", *rolled)
-    if bounded_groups:
-        small = F.broadcast(small)
-    elif bounded_groups is None:
-        small = broadcast_if_small(materialize(small))
     joined = df.selectExpr("*", f"{m} AS {_M}")
     cond = [joined[c].eqNullSafe(small[f"__k{i}"]) for i, c in enumerate(keys)] + [joined[_M] == small["__m2"]]
     out = joined.join(small, cond, "left")

@@ -4,8 +4,8 @@
 only the partitions present in the new data (dynamic overwrite). The write
 is rebalanced on the partition keys: adaptive execution splits a hot
 (year, direction) into several tasks and merges small ones, so one huge
-partition never lands on a single writer. ``ingest`` validates against the
-control totals before anything is published.
+partition never lands on a single writer. ``ingest`` and ``rewrite`` check
+their input before anything is published.
 """
 
 from __future__ import annotations
@@ -15,9 +15,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradelake.operators.checks import reconcile
-from tradelake.schemas import CSV_OPTIONS, NCM_EXP_FIELDS, NCM_IMP_FIELDS
+from tradelake.operators.checks import MISMATCH, coverage_grid, missing_partitions, reconcile
+from tradelake.schemas import (CSV_OPTIONS, HS4_RAW_SCHEMA, NCM_EXP_FIELDS, NCM_EXP_SCHEMA, NCM_IMP_FIELDS,
+                               NCM_IMP_SCHEMA, OFFICIAL_PATH)
 from tradelake.session import scratch_path
+from tradelake.sources.trade_csv import file_counts, landed_files, read_hs4_raw, read_ncm_raw
 
 # official header names of the NCM fact files, in file order (fixed values)
 NCM_HEADER = ("CO_ANO", "CO_MES", "CO_NCM", "CO_UNID", "CO_PAIS", "SG_UF_NCM", "CO_VIA", "CO_URF",
@@ -64,9 +66,12 @@ def publish_lake(facts: DataFrame, path: str | None = None, partition_by: Sequen
 def rewrite(data: DataFrame, base: str, control: DataFrame | None = None) -> tuple[str, DataFrame | None]:
     """Publish NCM or HS4 facts (chosen by the presence of ``ncm``) under ``base``.
 
-    Returns the dataset path and, with ``control``, the reconciliation report
-    (lazy) of what was written.
+    With ``control`` the totals are checked first: a mismatch raises and
+    nothing is written. Returns the dataset path and, with ``control``, the
+    (lazy) reconciliation report of what was written.
     """
+    if control is not None:
+        check_totals(data, control)
     kind = "ncm" if "ncm" in data.columns else "hs4"
     path = publish_lake(data, f"{base.rstrip('/')}/{kind}",
                         sort_by=("ncm", "month") if kind == "ncm" else ("hs4", "month"))
@@ -76,11 +81,26 @@ def rewrite(data: DataFrame, base: str, control: DataFrame | None = None) -> tup
     return path, report
 
 
+def check_totals(data: DataFrame, control: DataFrame, years: Sequence[int] | None = None,
+                 directions: Sequence[str] | None = None) -> None:
+    """Raise if a control row that the facts cover does not match.
+
+    The report is filtered and the first few files named; an error raised
+    inside the plan could be pushed below the join, to facts without a control row.
+    """
+    report = reconcile(data, control, years=years, directions=directions)
+    bad = report.where(F.col("status") == "mismatch").select("file", "measure", "expected", "actual").take(5)
+    if bad:
+        raise ValueError(MISMATCH + " " + "; ".join(
+            f"{r['file']}: {r['measure']} {r['actual']} for {r['expected']}" for r in bad))
+
+
 def land_as_csv(facts: DataFrame, path: str | None = None) -> str:
     """Write facts in the official landing layout (for tests and benchmarks).
 
     ``path/direction=imp`` holds import files with 13 columns,
-    ``path/direction=exp`` export files with 11, ';' separated with header.
+    ``path/direction=exp`` export files with 11, ';' separated with header;
+    each official file is a folder ``file=IMP_YYYY.csv`` of part files.
     """
     spark = facts.sparkSession
     path = path or scratch_path(spark, "landing")
@@ -88,8 +108,9 @@ def land_as_csv(facts: DataFrame, path: str | None = None) -> str:
         names = [n for n, _ in fields]
         header = NCM_HEADER[: len(names)]
         out = facts.where(F.col("direction") == d).select(
-            *[F.col(n).alias(h) for n, h in zip(names, header)])
-        (out.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{path}/direction={d}"))
+            *[F.col(n).alias(h) for n, h in zip(names, header)],
+            F.format_string(f"{d.upper()}_%d.csv", F.col("year")).alias("file"))
+        out.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("file").csv(f"{path}/direction={d}")
     return path
 
 
@@ -99,8 +120,9 @@ def land_hs4_as_csv(facts: DataFrame, path: str | None = None) -> str:
     path = path or scratch_path(spark, "landing-hs4")
     names = {"year": "CO_ANO", "month": "CO_MES", "hs4": "SH4", "country_code": "CO_PAIS",
              "state_abb": "SG_UF_MUN", "mun_code": "CO_MUN", "kg_net": "KG_LIQUIDO", "fob_usd": "VL_FOB"}
-    out = facts.select(*[F.col(k).alias(v) for k, v in names.items()], "direction")
-    out.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("direction").csv(path)
+    out = facts.select(*[F.col(k).alias(v) for k, v in names.items()], "direction",
+                       F.format_string("%s_%d_MUN.csv", F.upper("direction"), F.col("year")).alias("file"))
+    out.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("direction", "file").csv(path)
     return path
 
 
@@ -115,37 +137,63 @@ def land_table_csv(df: DataFrame, path: str, decimal_comma: bool = False) -> str
             cols.append(F.regexp_replace(F.format_string("%.2f", F.col(f.name)), r"\.", ",").alias(f.name))
         else:
             cols.append(F.col(f.name))
-    df.select(*cols).coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    df.select(*cols).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
-def read_landed_ncm(spark: SparkSession, landing: str) -> DataFrame:
-    from tradelake.sources.trade_csv import read_ncm_raw
-    return read_ncm_raw(spark, landing)
+def landing_report(spark: SparkSession, landing: str, kind: str = "ncm") -> DataFrame:
+    """Rows, unreadable rows and empty cells of each official file (direction, year, file, rows, bad_rows, null_cells).
+
+    The empty cells stay in the report: without them the reader would skip
+    columns, and with them the values that make a row unreadable.
+    """
+    if kind == "ncm":
+        b = landing.rstrip("/")
+        counts = file_counts(spark, f"{b}/direction=imp", schema=NCM_IMP_SCHEMA, official=True).unionByName(
+            file_counts(spark, f"{b}/direction=exp", schema=NCM_EXP_SCHEMA, official=True))
+    else:
+        counts = file_counts(spark, landing, schema=HS4_RAW_SCHEMA, year="CO_ANO", official=True)
+    hit = lambda k: F.regexp_extract("file_path", OFFICIAL_PATH, k)
+    return counts.groupBy(
+        F.lower(hit(1)).alias("direction"), hit(2).cast("int").alias("year"),
+        F.concat(F.upper(hit(1)), F.lit("_"), hit(2), F.upper(hit(3)), F.lit(".csv")).alias("file")).agg(
+        F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"), F.sum("null_cells").alias("null_cells"))
+
+
+def missing_files(spark: SparkSession, landing: str, years: Sequence[int], directions: Sequence[str] = ("imp", "exp"),
+                  kind: str = "ncm") -> DataFrame:
+    """Requested (year, direction, type) without an official landed file, by file name."""
+    grid = coverage_grid(spark, years, directions, [kind])
+    return missing_partitions(grid, landed_files(spark, landing).withColumn("type", F.lit(kind)))
 
 
 def ingest(spark: SparkSession, landing: str, lake: str, years: Sequence[int] | None = None,
            directions: Sequence[str] = ("imp", "exp"), control: DataFrame | None = None,
            kind: str = "ncm") -> str:
-    """Landing CSVs -> filter -> validate against control totals -> publish.
+    """Landing CSVs -> checks -> publish; a failed check raises and nothing is written.
 
     ``kind`` is ``ncm`` (per-direction folders with positional schemas) or
-    ``hs4`` (municipality files, direction from the folder name). Validation
-    runs first (one aggregate over the measure columns and a join with the
-    small control table) and fails the job on a mismatch, so a bad landing
-    never replaces good partitions.
+    ``hs4`` (municipality files, direction from the folder name). Checked in
+    this order: every requested year and direction has a landed file, by file
+    name; no file holds an unreadable row; the totals match ``control``, if
+    given (one aggregate over the measure columns).
     """
     if kind not in ("ncm", "hs4"):
         raise ValueError("kind must be 'ncm' or 'hs4'")
-    if kind == "ncm":
-        raw = read_landed_ncm(spark, landing)
-    else:
-        from tradelake.sources.trade_csv import read_hs4_raw
-        raw = read_hs4_raw(spark, landing)
+    if years is not None:
+        absent = missing_files(spark, landing, years, directions, kind).collect()  # at most the requested grid
+        if absent:
+            raise ValueError("no landed file for " + ", ".join(sorted(f"{r['direction']} {r['year']}" for r in absent)))
+    wanted = landing_report(spark, landing, kind).where(F.col("direction").isin(list(directions)))
+    if years is not None:
+        wanted = wanted.where(F.col("year").isin(list(years)))
+    bad = wanted.where("bad_rows > 0").orderBy("file", "null_cells").take(20)  # enough to name; any at all fails
+    if bad:
+        raise ValueError("unreadable rows in " + ", ".join(f"{r['file']} ({r['bad_rows']})" for r in bad))
+    raw = read_ncm_raw(spark, landing) if kind == "ncm" else read_hs4_raw(spark, landing)
     if years is not None:
         raw = raw.where(F.col("year").isin(list(years)))
     raw = raw.where(F.col("direction").isin(list(directions)))
     if control is not None:
-        report = reconcile(raw, control, strict=True, years=years, directions=directions)
-        report.where(F.col("status") == "mismatch").count()  # action: raises on a mismatch
+        check_totals(raw, control, years, directions)
     return publish_lake(raw, lake, sort_by=("ncm", "month") if kind == "ncm" else ("hs4", "month"))

@@ -1,40 +1,42 @@
 """Rounding of floating report columns whose last bits depend on evaluation order.
 
-Sums of doubles, averages and running products differ in the last bits
-between engines and partitionings. Report outputs are rounded by column
-name: ratios and indices to 9 decimals, growth and balance figures to 6,
-money converted or deflated through such factors to whole hundreds of cents.
-Exact columns (sums of integers, even when rolled into doubles) are kept.
+Averages, running products and sums of doubles differ in the last bits
+between engines and partitionings. Columns that pass through one are rounded
+to ``DIGITS`` significant digits; all others are compared exactly.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-RATIO_COLS = {"ipca", "ipca_i", "brlusd", "cpi", "cpi_r", "ipca_r", "p", "ii_prop", "ii_prop_12",
-              "imp_pct_pib_12", "ii_ipi_pct_pib_12", "pct_pib"}
-MONEY_MARKS = ("deflated", "_brl", "pib", "imposto")
-MONEY_NAMES = {"total", "last", "current", "d", "s"}
+DIGITS = 9
+OFF_TIES = 1 + 1e-12
+INEXACT = {"ipca_i", "brlusd", "cpi_r", "ipca_r", "p", "ii_prop", "ii_prop_12", "imp_pct_pib_12",
+           "ii_ipi_pct_pib_12", "pct_pib", "value", "total", "last", "current", "d", "s"}
+INEXACT_MARKS = ("deflated", "_brl", "balance_", "imposto")
 
 
-def round_rule(name: str) -> int | None:
-    """Decimals a floating output column is rounded to (None: kept as is)."""
-    if name in RATIO_COLS:
-        return 9
-    if name.startswith("balance_") or name == "value":
-        return 6
-    if name in MONEY_NAMES or any(m in name for m in MONEY_MARKS):
-        return -2
-    return None
+def inexact(name: str) -> bool:
+    """True for a floating output column that goes through an average, a running product or a sum of doubles."""
+    return name in INEXACT or any(m in name for m in INEXACT_MARKS)
+
+
+def significant(name: str) -> str:
+    """SQL for the column rounded to DIGITS significant digits (Spark).
+
+    The factor moves exact ties, which engines round differently, off the
+    middle; + 0.0 turns -0.0 into 0.0.
+    """
+    text = f"format_string('%.{DIGITS - 1}e', {name} * {OFF_TIES!r}D)"
+    return f"CASE WHEN {name} IS NOT NULL THEN CAST({text} AS DOUBLE) + 0.0D END"
 
 
 def stable(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
-        r = round_rule(f.name) if isinstance(f.dataType, T.DoubleType) else None
         n = "`" + f.name.replace("`", "``") + "`"
-        # + 0.0 turns a rounded -0.0 into 0.0 (engines differ on the sign of a rounded zero)
-        cols.append(f"round({n}, {r}) + 0.0D AS {n}" if r is not None else n)
+        rounded = isinstance(f.dataType, T.DoubleType) and inexact(f.name)
+        cols.append(f"{significant(n)} AS {n}" if rounded else n)
     return df.selectExpr(*cols)
 
 

@@ -1,7 +1,7 @@
 """Report queries composed from the operators.
 
 Each function takes DataFrames (facts, lookups, deflators) and parameters and
-returns a lazy DataFrame. Grouping is always explicit. Facts are scanned once
+returns a lazy DataFrame; building one starts no job. Grouping is always explicit. Facts are scanned once
 per report where the reference scans twice: series and rankings are derived
 from one aggregate, which Spark reuses.
 """
@@ -15,12 +15,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tradelake.functions.nulls import nsum, ratio
 from tradelake.operators.aggregate import share_of_sums, sum_prefixed
 from tradelake.operators.deflate import deflate
-from tradelake.operators.lookups import broadcast_if_small, partner_labels
+from tradelake.operators.lookups import partner_labels
 from tradelake.operators.ranking import first_per_group, top_k
 from tradelake.operators.reshape import longer, wider
 from tradelake.operators.rolling import roll_months, roll_rows
 from tradelake.schemas import DEFAULT_PREFIXES, MONTH_LABELS
-from tradelake.session import materialize
 
 
 def _null_safe_filter(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
@@ -59,7 +58,7 @@ def top_partners(facts: DataFrame, countries: DataFrame, blocks: DataFrame, coll
     """Top-k partners (listed blocks collapsed to one partner) and their yearly series."""
     facts = _year_range(facts, years)
     pb = partner_labels(countries, blocks, collapse)
-    f = facts.join(F.broadcast(pb), "country_code", "left")
+    f = facts.join(pb, "country_code", "left")
     return top_members_series(f, "partner", ["year", "direction"], k)
 
 
@@ -74,10 +73,9 @@ def partner_real_rolling(facts: DataFrame, countries: DataFrame, deflators: Data
     s = sum_prefixed(facts.where(F.col("country_code").isin(list(codes))),
                      by=["direction", "date", "country_code"])
     d = deflate(s, deflators)
-    d = d.join(F.broadcast(countries), "country_code", "left").where(F.col("fob_usd").isNotNull())
-    # small (countries x directions x months); rolled and joined back, so written once
-    d = materialize(d)
-    return roll_months(d, by=["direction", "country_name"], prefixes=["fob_usd_deflated"], k=k)
+    d = d.join(countries, "country_code", "left").where(F.col("fob_usd").isNotNull())
+    # one row per (direction, date, country) already; countries of one name share the frame
+    return roll_months(d, by=["direction", "country_name"], prefixes=["fob_usd_deflated"], k=k, one_row_per_date=True)
 
 
 # R4
@@ -100,8 +98,10 @@ def peak_month(df: DataFrame, value: str = "fob_usd_deflated", by: str = "direct
 
 # R6
 def same_month_as_latest(df: DataFrame, date: str = "date") -> DataFrame:
-    latest = df.agg(F.max(date)).scalar()
-    return df.where(F.month(date) == F.month(latest))
+    # one row per (direction, month): the window over all of it is bounded by the calendar
+    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (df.withColumn("__latest", F.max(date).over(everything))
+            .where(F.month(date) == F.month("__latest")).drop("__latest"))
 
 
 # R7
@@ -119,13 +119,15 @@ def category_change_top(facts: DataFrame, products: DataFrame, deflators: DataFr
                         since: str, direction: str = "imp", k: int = 10, window: int = 12) -> DataFrame:
     """Categories with the largest change of 12-month real value, same month, last two years."""
     v = f"fob_usd_deflated_{window}"
-    cat = broadcast_if_small(products.selectExpr("co_ncm AS ncm", "no_cgce_n3_ing AS name", "co_cgce_n3 AS code"))
-    f = facts.where(f"date >= DATE '{since}' AND country_code = {int(country)}").join(cat, "ncm", "left")
-    s = sum_prefixed(f, by=["name", "code", "direction", "date"])
-    d = deflate(s, deflators).where(f"fob_brl_deflated IS NOT NULL AND direction = '{direction}'")
-    r = roll_months(d, by=["name", "code", "direction"], k=window, one_row_per_date=True)
-    # small (categories x months) and used twice below: written once
-    r = materialize(r.select("name", "code", "direction", "date", v))
+    cat = products.selectExpr("co_ncm AS ncm", "no_cgce_n3_ing AS name", "co_cgce_n3 AS code")
+    start = F.to_date(F.lit(str(since)))
+    # the year bound prunes the lake's directories, the date bound does the rest
+    f = facts.where((F.col("year") >= F.year(start)) & (F.col("date") >= start)
+                    & (F.col("country_code") == int(country)) & (F.col("direction") == direction))
+    s = sum_prefixed(f.join(cat, "ncm", "left"), by=["name", "code", "direction", "date"])
+    d = deflate(s, deflators).where(F.col("fob_brl_deflated").isNotNull())
+    r = roll_months(d, by=["name", "code", "direction"], prefixes=["fob_usd_deflated"], k=window, one_row_per_date=True)
+    r = r.select("name", "code", "direction", "date", v)
     # rows in the latest row's month of the last two years: the latest date and
     # the same month one year earlier (dates are month starts)
     latest = r.agg(F.max("date")).scalar()
@@ -138,14 +140,16 @@ def category_change_top(facts: DataFrame, products: DataFrame, deflators: DataFr
                      "try_divide(current, last) AS p")
     totals = w.groupBy("code").agg(F.expr("sum(abs(current - last)) AS total"))
     top = top_k(totals, k, desc="total", tiebreak="code")
-    return F.broadcast(top).join(w, "code", "inner")
+    # the NULL category (products without a class) ranks like any other
+    keys = F.broadcast(top.select(F.col("code").alias("__key"), "total"))
+    return w.join(keys, w["code"].eqNullSafe(keys["__key"]), "inner").drop("__key")
 
 
 # R9
 def partner_vs_rest(facts: DataFrame, products: DataFrame, category: str, partner: int,
                     deflators: DataFrame | None = None, window: int = 12) -> DataFrame:
     """Monthly sums for one category, split partner / rest, rolled per (direction, flag)."""
-    cat = broadcast_if_small(products.selectExpr("co_ncm AS ncm", "co_cgce_n3"))
+    cat = products.selectExpr("co_ncm AS ncm", "co_cgce_n3")
     f = facts.join(cat, "ncm", "left").where(F.col("co_cgce_n3") == category)
     s = sum_prefixed(f, by=["direction", "date", (F.col("country_code") == partner).alias("is_partner")])
     if deflators is not None:
@@ -154,9 +158,10 @@ def partner_vs_rest(facts: DataFrame, products: DataFrame, category: str, partne
 
 
 # R10
-def monthly_real(facts: DataFrame, deflators: DataFrame, since_year: int | None = None) -> DataFrame:
+def monthly_real(facts: DataFrame, deflators: DataFrame, since_year: int | None = None,
+                 prefixes: Sequence[str] = DEFAULT_PREFIXES) -> DataFrame:
     f = facts if since_year is None else facts.where(F.col("year") >= since_year)
-    return deflate(sum_prefixed(f, by=["year", "date"]), deflators)
+    return deflate(sum_prefixed(f, by=["year", "date"], prefixes=prefixes), deflators)
 
 
 # R11

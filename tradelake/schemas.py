@@ -36,6 +36,8 @@ LONG_MEASURES = ("qt_stat", "kg_net", "fob_usd", "freight_usd", "insurance_usd")
 CHECK_MEASURES = ("qt_stat", "kg_net", "fob_usd", "freight_usd", "insurance_usd", "number_of_lines")
 DEFLATOR_START = "1997-01-01"
 MONTH_LABELS = ("JAN", "FEV", "MAR", "ABR", "MAIO", "JUN", "JUL", "AGO", "SET", "OUT", "NOV", "DEZ")
+# official fact files: imp_YYYY.csv, exp_YYYY.csv (municipality: _mun), as a file or a folder of part files
+OFFICIAL_PATH = r"(?i)/(?:file=)?(imp|exp)_([0-9]+)((?:_mun)?)\.csv(?:/part-[^/]*)?$"
 CSV_OPTIONS = {"sep": ";", "header": "true", "encoding": "ISO-8859-1"}
 # -----------------------------------------------------------------------------
 
@@ -62,8 +64,8 @@ HS4_RAW_SCHEMA = _struct([
     ("CO_MUN", _I), ("KG_LIQUIDO", _L), ("VL_FOB", _L),
 ])
 
-# Control-total files: file name as string, every other column a double.
-# Read as decimal first so a decimal comma parses, then cast to double.
+# Control-total files: file name as string, every other column a number,
+# read as decimal so that a decimal comma parses and no digit is lost.
 _CTRL_IMP = ["ARQUIVO", "CO_ANO", "QT_ESTAT", "KG_LIQUIDO", "VL_FOB", "VL_FRETE", "VL_SEGURO", "NUMERO_LINHAS"]
 _CTRL_EXP = ["ARQUIVO", "CO_ANO", "QT_ESTAT", "KG_LIQUIDO", "VL_FOB", "NUMERO_LINHAS"]
 _CTRL_MUN = ["ARQUIVO", "CO_ANO", "KG_LIQUIDO", "VL_FOB", "NUMERO_LINHAS"]

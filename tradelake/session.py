@@ -7,6 +7,7 @@ partitions are left to the cluster's configuration; tests pass a small number.
 
 from __future__ import annotations
 
+import atexit
 import math
 import os
 import uuid
@@ -47,14 +48,14 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
     The shuffle partition count is an upper bound sized so that a full
     shuffle of the input (the lake write, a join back on raw facts) keeps
     partitions near ``partition_bytes``; adaptive execution coalesces the
-    small partitions of the aggregates and splits skewed ones. About 100 TB
-    gives the cap of 100k partitions.
+    small partitions of the aggregates and splits skewed ones. The count
+    follows the input at every size; ``partition_bytes`` is the parameter.
     """
-    n = max(200, min(100_000, math.ceil(input_bytes / partition_bytes)))
+    n = max(1, math.ceil(input_bytes / partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, 512 << 20)),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     }
@@ -63,8 +64,8 @@ def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only where it is unset
-    (local tests) a folder under the warehouse directory is configured.
+    Reads ``spark.checkpoint.dir`` from the session. Only a local session
+    may leave it unset; a folder under the warehouse directory serves then.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -75,6 +76,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         wh = spark.conf.get("spark.sql.warehouse.dir")
         d = wh.rstrip("/") + "/_tradelake_checkpoints"
     if sc is not None and sc.getCheckpointDir() is None:
@@ -83,17 +86,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder (never a machine-local temp dir)."""
-    base = shared_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path below the shared folder, removed when the process ends."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    if not _SCRATCH:
+        atexit.register(remove_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def remove_scratch() -> None:
+    """Delete the scratch paths given out by this process; write results elsewhere first."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session has ended: nothing left to ask
+            return
 
 
 def materialize(df):
-    """Write a small, reused intermediate to the shared checkpoint folder.
+    """Write an intermediate that is read more than once as Parquet in the shared folder.
 
-    A reliable checkpoint (never a local one): the lineage is cut, later uses
-    scan the written copy instead of recomputing the facts, and the data
-    survives the loss of executors.
+    Later uses scan the copy with column pruning, pushdown and known size,
+    and it survives the loss of executors.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

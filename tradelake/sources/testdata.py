@@ -29,19 +29,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradelake.functions.dates import month_start
 
 
-_READS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table; the DataFrame (not its data) is reused per session,
-    which saves the file listing and footer reads on the driver."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    hit = _READS.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, spark.read.parquet(path))
-        _READS[key] = hit
-    return hit[1]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _FACT_EXPRS = [
@@ -174,24 +163,23 @@ def control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     their own (straight from lineitem, without the fact derivation).
 
     Columns follow the renamed control schema: file, year, qt_stat, kg_net,
-    fob_usd, freight_usd, insurance_usd, number_of_lines (all double); exports
+    fob_usd, freight_usd, insurance_usd (bigint), number_of_lines (double); exports
     carry NULL freight and insurance, as their files lack those columns.
     """
     return _control_per_year(spark, sf_dir).selectExpr(
         "concat(CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END, CAST(year AS STRING), '.csv') AS file",
-        "CAST(year AS DOUBLE) AS year", "CAST(q AS DOUBLE) AS qt_stat", "CAST(kg AS DOUBLE) AS kg_net",
-        "CAST(fob AS DOUBLE) AS fob_usd",
-        "CASE WHEN l_linestatus = 'F' THEN CAST(fr AS DOUBLE) END AS freight_usd",
-        "CASE WHEN l_linestatus = 'F' THEN CAST(ins AS DOUBLE) END AS insurance_usd",
+        "CAST(year AS DOUBLE) AS year", "q AS qt_stat", "kg AS kg_net", "fob AS fob_usd",
+        "CASE WHEN l_linestatus = 'F' THEN fr END AS freight_usd",
+        "CASE WHEN l_linestatus = 'F' THEN ins END AS insurance_usd",
         "CAST(n AS DOUBLE) AS number_of_lines")
 
 
 def control_totals_mun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control rows of the municipality (HS4) files: file, year, kg_net,
-    fob_usd, number_of_lines (doubles)."""
+    fob_usd (bigint), number_of_lines (double)."""
     return _control_per_year(spark, sf_dir).selectExpr(
         "concat(CASE WHEN l_linestatus = 'F' THEN 'IMP_' ELSE 'EXP_' END, CAST(year AS STRING), '_MUN.csv') AS file",
-        "CAST(year AS DOUBLE) AS year", "CAST(kg AS DOUBLE) AS kg_net", "CAST(fob AS DOUBLE) AS fob_usd",
+        "CAST(year AS DOUBLE) AS year", "kg AS kg_net", "fob AS fob_usd",
         "CAST(n AS DOUBLE) AS number_of_lines")
 
 

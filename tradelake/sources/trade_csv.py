@@ -3,7 +3,7 @@
 Format of the official files: ';' separated, header line, latin1, decimal
 comma. Code columns are read as strings (type inference would drop leading
 zeros), control totals as decimals (which accept a decimal comma under a
-pt-BR locale) and then cast to double. Fact files are read with a positional
+pt-BR locale). Fact files are read with a positional
 schema: the header line is skipped by name, columns are taken by position.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradelake.functions.names import clean_names
-from tradelake.schemas import (CSV_OPTIONS, HS4_RAW_SCHEMA, LONG_MEASURES, NCM_EXP_SCHEMA, NCM_IMP_SCHEMA,
+from tradelake.schemas import (CSV_OPTIONS, HS4_RAW_SCHEMA, OFFICIAL_PATH, LONG_MEASURES, NCM_EXP_SCHEMA, NCM_IMP_SCHEMA,
                                RENAME, control_schema)
 
 
@@ -42,10 +42,13 @@ def read_table(spark: SparkSession, table: str, directory: str, extension: str =
     path = f"{directory.rstrip('/')}/{table}{extension}"
     schema = control_schema(table, decimal=True)
     df = _reader(spark, schema).csv(path)
-    if schema is not None:
-        df = df.select(*[F.col(c).cast("double").alias(c) if c != "ARQUIVO" else F.col(c) for c in df.columns])
     df = df.toDF(*clean_names(df.columns))
-    return rename_standard(df)
+    if schema is None:
+        return rename_standard(df)
+    # measures go from decimal to 64-bit integers directly, as doubles would lose digits beyond 2^53
+    df = rename_standard(df)
+    return df.select(*[F.col(c).cast("double").alias(c) if c in ("year", "number_of_lines") else F.col(c)
+                       for c in df.columns])
 
 
 def read_control(spark: SparkSession, directory: str, mun: bool = False) -> DataFrame:
@@ -56,46 +59,62 @@ def read_control(spark: SparkSession, directory: str, mun: bool = False) -> Data
     return imp.unionByName(exp, allowMissingColumns=True)
 
 
-def read_ncm_raw(spark: SparkSession, base: str, glob: str = "*.csv") -> DataFrame:
-    """NCM facts from ``base/direction=imp|exp`` with positional schemas.
+def _official(df: DataFrame, columns) -> DataFrame:
+    """Rows of files (or folders of part files) with an official name; others in the folder are not read as facts."""
+    return df.where(F.col("_metadata.file_path").rlike(OFFICIAL_PATH)).select(*columns)
+
+
+def landed_files(spark: SparkSession, base: str) -> DataFrame:
+    """(direction, year, file) of the official files below ``base``: a listing, no file is read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base).select("path"))
+    hit = lambda k: F.regexp_extract("path", OFFICIAL_PATH, k)
+    return (files.where(F.col("path").rlike(OFFICIAL_PATH))
+            .select(F.lower(hit(1)).alias("direction"), hit(2).cast("int").alias("year"),
+                    F.concat(F.upper(hit(1)), F.lit("_"), hit(2), hit(3), F.lit(".csv")).alias("file")).distinct())
+
+
+def read_ncm_raw(spark: SparkSession, base: str) -> DataFrame:
+    """NCM facts from the official files in ``base/direction=imp|exp``, with positional schemas.
 
     Direction comes from the directory; date and cif_usd are derived.
     """
     from tradelake.plans.ingest import standardize_union
     b = base.rstrip("/")
-    imp = _reader(spark, NCM_IMP_SCHEMA).option("pathGlobFilter", glob).csv(f"{b}/direction=imp") \
+    imp = _official(_reader(spark, NCM_IMP_SCHEMA).csv(f"{b}/direction=imp"), NCM_IMP_SCHEMA.names) \
         .withColumn("direction", F.lit("imp"))
-    exp = _reader(spark, NCM_EXP_SCHEMA).option("pathGlobFilter", glob).csv(f"{b}/direction=exp") \
+    exp = _official(_reader(spark, NCM_EXP_SCHEMA).csv(f"{b}/direction=exp"), NCM_EXP_SCHEMA.names) \
         .withColumn("direction", F.lit("exp"))
     return standardize_union([imp, exp])
 
 
 def read_hs4_raw(spark: SparkSession, base: str) -> DataFrame:
     """HS4 facts; ``direction`` discovered from the Hive-style path."""
-    df = _reader(spark, HS4_RAW_SCHEMA).csv(base)
+    df = _official(_reader(spark, HS4_RAW_SCHEMA).csv(base), [*HS4_RAW_SCHEMA.names, "direction"])
     df = rename_standard(df)
     return df.withColumn("date", F.make_date("year", "month", F.lit(1)))
 
 
 def file_counts(spark: SparkSession, base: str, schema=NCM_IMP_SCHEMA, year: str = "year",
-                strict: bool = False) -> DataFrame:
+                strict: bool = False, official: bool = False) -> DataFrame:
     """Rows, unreadable rows and empty cells per landed file and year (the landing probe).
 
     Columns: file_path, file_name, year, rows, bad_rows, null_cells. Every
     column is referenced (through ``null_cells``), so the CSV reader parses
     all values and a malformed one marks its row as bad. Input files are
-    never deleted; ``strict=True`` fails the job instead.
+    never deleted; ``strict=True`` fails the job instead. ``official`` skips
+    files without an official name.
     """
     from pyspark.sql.types import StructType
     s = StructType(list(schema.fields)).add("_corrupt_record", "string")
     df = (_reader(spark, s).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(base))
     empty = " + ".join(f"CASE WHEN `{f.name}` IS NULL THEN 1 ELSE 0 END" for f in schema.fields)
+    df = df.where(F.col("_metadata.file_path").rlike(OFFICIAL_PATH)) if official else df
     out = df.groupBy(F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.file_name").alias("file_name"), F.col(year)).agg(
         F.count(F.lit(1)).alias("rows"), F.count("_corrupt_record").alias("bad_rows"),
         F.expr(f"sum({empty}) AS null_cells"))
     if strict:
         out = out.withColumn("bad_rows", F.when(F.col("bad_rows") > 0,
-                                                F.raise_error(F.lit("Problem in landed data."))).otherwise(F.col("bad_rows")))
+                                                F.raise_error(F.lit("Landed files hold unreadable rows."))).otherwise(F.col("bad_rows")))
     return out
