@@ -217,8 +217,9 @@ def _reader(with_payload: bool):
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    f = pd.DataFrame(rows, columns=names)
-    return f.astype({"page_id": "Int64", "refers_to": "Int64"})
+    # ids are made integers before a NULL beside them can turn them into doubles
+    columns = dict(zip(names, zip(*rows)))
+    return pd.DataFrame({n: pd.array(c, "Int64") if n in ("page_id", "refers_to") else list(c) for n, c in columns.items()})
 
 
 def read_archives(spark: SparkSession, archives: DataFrame, with_payload: bool = True) -> DataFrame:
