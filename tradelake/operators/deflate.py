@@ -6,8 +6,8 @@ projection:
   * every ``*_usd`` column -> ``*_brl`` = value x brlusd
   * every ``*_brl`` column, including ones already in the input,
     -> ``*_brl_deflated`` = value x ipca_r
-The deflator side has one row per month (checked in the plan); an empty
-deflator table fails the job through a filter on the facts.
+The deflator side has one row per month and is broadcast; its checks hang on
+the join key, so they run whatever columns are read, also for an empty table.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradelake.functions.names import match_suffix
 from tradelake.functions.nulls import q
-from tradelake.operators.deflators import INCOMPLETE, with_ratios
+from tradelake.operators.deflators import with_ratios
 
 DEFLATOR_COLUMNS = ("ipca", "ipca_i", "brlusd", "cpi", "cpi_r", "cpi_basedate", "ipca_r", "ipca_basedate")
 
@@ -29,7 +29,7 @@ def deflate(data: DataFrame, deflators: DataFrame, basedate=None, date: str = "d
     otherwise such facts are kept with NULLs. A ``*_brl`` column of the input
     that a ``*_usd`` column would be converted into is an error.
     """
-    d1 = with_ratios(deflators, basedate)
+    d1 = with_ratios(deflators, basedate, for_join=True)
     if date != "date":
         d1 = d1.withColumnRenamed("date", date)
     extra = [c for c in d1.columns if c != date]
@@ -40,10 +40,7 @@ def deflate(data: DataFrame, deflators: DataFrame, basedate=None, date: str = "d
     taken = [c for c in taken if c in data.columns]
     if taken:
         raise ValueError(f"deflate: input already has the converted columns {taken}")
-    filled = deflators.agg((F.count(F.lit(1)) > 0).alias("filled")).scalar()
-    # a filter, so that it holds whatever columns are read later
-    checked = data.where(F.when(filled, F.lit(True)).otherwise(F.raise_error(F.lit(INCOMPLETE)).cast("boolean")))
-    j = checked.join(F.broadcast(d1), on=date, how="left")
+    j = data.join(F.broadcast(d1), on=date, how="left")
     if strict:
         found = F.col("cpi_r").isNotNull() & F.col("ipca_r").isNotNull() & F.col("brlusd").isNotNull()
         j = j.withColumn(date, F.when(found, F.col(date)).otherwise(

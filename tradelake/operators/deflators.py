@@ -59,7 +59,7 @@ def build_deflators(ipca: DataFrame, quotes: DataFrame, cpi: DataFrame, start=DE
     return res.na.drop("any") if na_omit else res
 
 
-def with_ratios(deflators: DataFrame, basedate=None) -> DataFrame:
+def with_ratios(deflators: DataFrame, basedate=None, for_join: bool = False) -> DataFrame:
     """Adds cpi_r, cpi_basedate, ipca_r, ipca_basedate (base value / value).
 
     The base date of a series is ``basedate`` or its latest date with a value.
@@ -67,11 +67,19 @@ def with_ratios(deflators: DataFrame, basedate=None) -> DataFrame:
     later join would fan out); both checks are tied to the date, the key of
     the later join, so no choice of output columns prunes them. The base values are window
     aggregates over the whole deflator table, which holds one row per month:
-    its size is bounded by the calendar, not by the facts.
+    its size is bounded by the calendar, not by the facts. ``for_join`` adds
+    one row without a date, which matches nothing but carries the checks
+    into the join even where the table is empty.
     """
+    rest = [c for c in deflators.columns if c != "date"]
+    real = deflators.selectExpr("*", "true AS __real")
+    if for_join:
+        blank = deflators.sparkSession.range(1).selectExpr(
+            *[f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in deflators.schema.fields], "false AS __real")
+        real = real.unionByName(blank)
     if basedate is not None:
         bd = f"DATE '{str(basedate)}'"
-    k = "count(1) OVER (PARTITION BY date) AS __k"
+    k = "count_if(__real) OVER (PARTITION BY date) AS __k"
     level2 = ["*", "max(__k) OVER () AS __max_k"]
     for c in ("cpi", "ipca_i"):
         if basedate is None:
@@ -82,8 +90,7 @@ def with_ratios(deflators: DataFrame, basedate=None) -> DataFrame:
             level2 += [f"{bd} AS __{c}_bd", f"sum(CASE WHEN date = {bd} THEN 1 ELSE 0 END) OVER () AS __{c}_n",
                        f"max(CASE WHEN date = {bd} THEN {c} END) OVER () AS __{c}_v"]
 
-    rest = [c for c in deflators.columns if c != "date"]
-    return deflators.selectExpr("*", k).selectExpr(*level2).selectExpr(
+    return real.selectExpr("*", k).selectExpr(*level2).selectExpr(
         f"CASE WHEN __max_k > 1 THEN raise_error('{DUPLICATED}') "
         f"WHEN coalesce(__cpi_n, 0) != 1 OR coalesce(__ipca_i_n, 0) != 1 THEN raise_error('{INCOMPLETE}') "
         "ELSE date END AS date",

@@ -130,9 +130,11 @@ def category_change_top(facts: DataFrame, products: DataFrame, deflators: DataFr
     r = r.select("name", "code", "direction", "date", v)
     # rows in the latest row's month of the last two years: the latest date and
     # the same month one year earlier (dates are month starts)
-    latest = r.agg(F.max("date")).scalar()
-    r = r.where((F.col("date") == latest) | (F.col("date") == F.add_months(latest, -12))) \
-         .withColumn("year", F.when(F.col("date") == latest, F.lit("current")).otherwise(F.lit("last")))
+    # (the table is bounded by the code list and the calendar)
+    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    r = r.withColumn("latest", F.max("date").over(everything))
+    r = r.where("date = latest OR date = add_months(latest, -12)") \
+         .withColumn("year", F.expr("CASE WHEN date = latest THEN 'current' ELSE 'last' END"))
     w = wider(r.select("name", "code", "direction", v, "year"), ["name", "code", "direction"], "year", v,
               ["last", "current"])
     w = w.selectExpr("name", "code", "direction", "coalesce(last, 0.0D) AS last", "coalesce(current, 0.0D) AS current")
