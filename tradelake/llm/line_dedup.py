@@ -15,7 +15,8 @@ The join stays linear in a group of copies:
   line; a variant has at most one distinct line that it can equal.
 
 Two lines within one edit share their first or last ``min_words // 2`` words,
-so a line whose two ends no other distinct line has emits no variants.
+and also the first or second half of their words, so a line that shares neither with
+another distinct line emits no variants.
 
 A line goes if an earlier line of the corpus is equal or within one edit,
 whether or not that one goes too; the first of a family always stays. Earlier
@@ -63,7 +64,18 @@ def _hashes() -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")]
 
 
-PLACE = F.expr("struct(id is null as u, id, th, no)")
+def _halves() -> list[Column]:
+    """Keys of which two lines within one edit share one: if the shorter has m words, either
+    the first m // 2 words or the last m - m // 2 words are the same in both."""
+    keys = []
+    for m in ("size(w)", "(size(w) - 1)"):
+        h = f"cast(floor({m} / 2) as int)"
+        for side, cut in (("first", f"slice(w, 1, {h})"), ("last", f"slice(w, -({m} - {h}), {m} - {h})")):
+            keys.append(F.expr(f"xxhash64('{side}', {m}, array_join({cut}, ' '))"))
+    return keys
+
+
+PLACE = "struct(id is null as u, id, th, no)"
 
 
 def find_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -78,7 +90,7 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.xxhash64(F.lit("last"), F.array_join(F.expr(f"slice(w, -{ends}, {ends})"), " ")).alias("k2")), "line-places")
 
     # distinct lines, each with its earliest place
-    line = staged(occ.groupBy("h1", "h2").agg(F.min(PLACE).alias("place"), F.count("*").alias("n"),
+    line = staged(occ.groupBy("h1", "h2").agg(F.min(F.expr(PLACE)).alias("place"), F.count("*").alias("n"),
                                               F.first("k1").alias("k1"), F.first("k2").alias("k2")), "lines")
 
     # lines that share an end with another line, and their words
@@ -88,17 +100,28 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     at = staged(line.select("h1", "h2", "place").join(alike, ["h1", "h2"], "left_semi")
                 .selectExpr("place.id as id", "place.th as th", "place.no as no")
                 .groupBy("id", "th").agg(F.collect_set("no").alias("nos")), "lines-at")
-    holders = (docs.alias("d").join(at.alias("a"), F.expr("d.id <=> a.id and d.th = a.th"))
+    # texts are always joined by sorting, at every size alike: what they meet grows with the corpus
+    holders = (docs.alias("d").hint("merge").join(at.alias("a"), F.expr("d.id <=> a.id and d.th = a.th"))
                .select("d.id", "d.th", "text", "nos"))
     texts = staged(
         holders.select("id", "th", "nos", F.expr(r"posexplode(split(text, '\n', -1)) as (no, line)"))
         .where(F.expr("array_contains(nos, no)")).select("id", "th", "no", words(F.col("line")).alias("w"))
-        .select(PLACE.alias("place"), *_hashes(), "w").dropDuplicates(["h1", "h2"]), "line-texts")
-
-    # the deletion neighbourhood: the line itself (p = 0) and the line without word p
+        .select(F.expr(PLACE).alias("place"), *_hashes(), "w").dropDuplicates(["h1", "h2"]), "line-ended")
+
+    # of those, the lines that share half of their words with a line of the same length or one word off
+    half = staged(texts.select("h1", "h2", F.posexplode(F.array(*_halves())).alias("side", "k")), "line-halves")
+    shared = staged(half.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "line-half-keys")
+    alike = staged(half.join(shared, "k", "left_semi").groupBy("h1", "h2").agg(
+        F.max(F.expr("side % 2 = 0")).alias("first"), F.max(F.expr("side % 2 = 1")).alias("last")), "lines-half-alike")
+    texts = staged(texts.join(alike, ["h1", "h2"]), "line-texts")
+
+    # the deletion neighbourhood: the line without word p, for all p at which a line that
+    # shares the first (last) half can differ; the line itself is added below
+    start = "case when last then 1 else cast(floor((size(w) - 1) / 2) as int) + 1 end"
+    end = "case when first then size(w) else cast(floor(size(w) / 2) as int) + 1 end"
     without = "array_join(concat(slice(w, 1, p - 1), slice(w, p + 1, size(w))), ' ')"
     variants = staged(
-        texts.select("place", "h1", "h2", F.size("w").alias("n"), "w", F.expr("explode(sequence(1, size(w))) as p"))
+        texts.select("place", "h1", "h2", F.size("w").alias("n"), "w", F.expr(f"explode(sequence({start}, {end})) as p"))
         .select("place", "h1", "h2", "n", "p", F.expr(f"xxhash64({without})").alias("key")), "line-variants")
     leads = staged(variants.groupBy("key", "n", "p").agg(F.min(F.struct("place", "h1", "h2")).alias("lead"),
                                                          F.count("*").alias("c")).where("c > 1").drop("c"), "line-leads")
@@ -121,7 +144,7 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     known = staged(line.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
                    .where("n > 1 or near").selectExpr("h1", "h2", "place", "coalesce(near, false) as near"), "lines-copied")
     gone = (occ.select("id", "th", "no", "h1", "h2").join(known, ["h1", "h2"])
-            .where(F.col("near") | (PLACE != F.col("place"))))
+            .where(F.col("near") | (F.expr(PLACE) != F.col("place"))))
     return staged(gone.groupBy("id", "th").agg(F.collect_set("no").alias("gone")), "lines-gone")
 
 
@@ -136,14 +159,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     th = F.xxhash64(F.col(f"`{text_col}`"))
     ids = docs.select(F.col(f"`{id_col}`").alias("id"), th.alias("th"), F.col(f"`{text_col}`").alias("text"))
     gone = find_copies(ids, min_words)
-    cols = [F.col(f"d.`{c}`") for c in docs.columns]
-    d = docs.alias("d").join(gone.alias("g"), F.expr(
+    d = docs.alias("d").hint("merge").join(gone.alias("g"), F.expr(
         f"d.`{id_col}` <=> g.id and xxhash64(d.`{text_col}`) = g.th"), "left")
     kept = F.expr(f"case when g.gone is null then d.`{text_col}` else array_join(filter("
                   rf"split(d.`{text_col}`, '\n', -1), (l, i) -> not array_contains(g.gone, i)), '\n') end")
     out = [kept.alias(c) if c == text_col else F.col(f"d.`{c}`") for c in docs.columns]
     if counts:
         lines = F.expr(rf"cast(coalesce(size(split(d.`{text_col}`, '\n', -1)), 0) as bigint)")
+        out = [o for o, c in zip(out, docs.columns) if c.lower() not in ("n_lines", "n_removed")]
         return d.select(*out, lines.alias("n_lines"),
                         F.coalesce(F.size("g.gone"), F.lit(0)).cast("long").alias("n_removed"))
     return d.where(F.col("g.gone").isNull() | kept.rlike(f"[^{SPACE_CLASS[1:-1]}]")).select(*out)
