@@ -96,7 +96,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     plan = mix_plan(numbered, rid_col=rid, **options)
     copies = F.explode(F.expr("sequence(1, copies)"))
     plan = staged(plan.where("copies > 0").select(F.col("rid").alias(rid), copies.alias(f"{rid}_copy")), "mix-plan")
-    return numbered.join(plan, rid).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # texts are joined by sorting at every size alike: the plan grows with the corpus
+    return numbered.hint("merge").join(plan, rid).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixing_sql(table: str = "documents", seed: str = "mix") -> str:

@@ -198,4 +198,5 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     key = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")]
     first = F.min(F.struct(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(rid)))
     winners = staged(classes.groupBy(*key).agg(first.alias("w")).select(F.col(f"w.{rid}").alias(rid)), "simhash-kept")
-    return numbered.join(winners, rid, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # texts are joined by sorting at every size alike: the winners grow with the corpus
+    return numbered.hint("merge").join(winners, rid, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
