@@ -80,3 +80,33 @@ def test_large_family_makes_no_pairs(make_docs):
 def test_rejects_a_bound_without_halves(make_docs):
     with pytest.raises(ValueError):
         line_dedup(make_docs([]), min_words=1)
+
+
+def test_short_lines_lose_exact_copies_only(make_docs):
+    rng = random.Random(11)
+    vocab = [f"w{k}" for k in range(4)]
+    rows = [(i, "\n".join(" ".join(rng.choice(vocab) for _ in range(rng.randint(0, 3))) for _ in range(4))) for i in range(40)]
+    seen, want = set(), {}
+    for i, t in rows:
+        kept = [l for l in t.split("\n") if not l.split() or (tuple(l.split()) not in seen and not seen.add(tuple(l.split())))]
+        want[i] = "\n".join(kept)
+    got = {r.doc_id: r.text for r in line_dedup(make_docs(rows), counts=True, short=True).collect()}
+    assert got == want and got != dict(rows)
+
+
+def test_lines_without_spaces(make_docs):
+    zh, th, url = "这是一个没有空格的长句子用来测试", "นี่คือประโยคยาวที่ไม่มีช่องว่าง", "https://example.org/" + "a" * 80
+    rows = [(1, "\n".join([zh, th, url])), (2, zh + "\nx"), (3, th + "\n" + url + "\ny"), (4, zh.replace("长", "短") + "\nz"),
+            (5, url + "b")]
+    got = {r.doc_id: r.text for r in line_dedup(make_docs(rows), short=True).collect()}
+    assert got == {1: rows[0][1], 2: "x", 3: "y", 4: "z", 5: url + "b"}
+
+
+def test_query_and_pipeline_remove_short_copies(spark, make_docs, monkeypatch):
+    import corpus_pipeline
+    from tradelake.llm import queries
+    docs = make_docs([(1, "one two\nthree"), (2, "one two\nfour"), (3, "three")])
+    monkeypatch.setattr(queries, "_table", lambda *a: docs)
+    assert {r.doc_id: (r.text, r.n_removed) for r in queries.op1_line_dedup(spark, "").collect()} == {
+        1: ("one two\nthree", 0), 2: ("four", 1), 3: ("", 1)}
+    assert {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, docs, "").collect()} == {1: "one two\nthree", 2: "four"}

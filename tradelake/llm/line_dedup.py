@@ -1,6 +1,7 @@
 """Line dedup by a deletion-neighbourhood join.
 
-A line is its sequence of words. Each distinct line is written once with its
+A line is its sequence of words; in scripts written without spaces every
+character counts as a word. Each distinct line is written once with its
 earliest place; a line emits the hashes of itself and of every variant with
 one word deleted; equal hashes meet in a join, the word edit distance of the
 pair is verified, and the line that occurs first stays.
@@ -23,8 +24,11 @@ whether or not that one goes too; the first of a family always stays. Earlier
 means the smaller doc_id (NULL last), then the smaller text hash, then the
 smaller line number. Only DataFrame operations.
 
-Defined cases: lines under ``min_words`` words stay (too short to tell a copy
-from chance); a NULL text stays NULL; a document whose every line went, words
+With ``short``, exact copies go whatever the length of the line, and only the
+variants need ``min_words`` words (one word more or less says nothing about two
+short lines). Without it, lines under ``min_words`` words stay.
+
+Defined cases: blank lines stay; a NULL text stays NULL; a document whose every line went, words
 and all, is dropped, and one that had no words before stays; rows with equal doc_id
 and text are treated alike; an empty table gives an empty result; helper
 columns take names that the input does not use.
@@ -37,6 +41,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradelake.llm.common import SPACE_CLASS, staged, words
 
 MIN_WORDS = 8
+#: Characters of scripts that put no spaces between words (Thai, Lao, Tibetan, Myanmar, Khmer, Han, kana).
+UNSPACED = (r"[฀-࿿က-႟ក-៿⺀-⿟々-〇〡-〩〱-ヿㇰ-ㇿ"
+            r"㐀-䶿一-鿿豈-﫿ｦ-ﾟ\x{20000}-\x{3ffff}]")
 
 
 def within_one_edit(a: str, b: str) -> str:
@@ -52,11 +59,18 @@ def within_one_edit(a: str, b: str) -> str:
             f"when size({b}) = size({a}) + 1 then {inserted(b, a)} else false end")
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(id, th, no, w): the lines of at least ``min_words`` words."""
-    return (docs.select("id", "th", F.expr(r"posexplode(split(text, '\n', -1)) as (no, line)"))
-            .select("id", "th", "no", words(F.col("line")).alias("w"))
-            .where(F.size("w") >= min_words))
+def _text_lines(text: str = "text") -> str:
+    """SQL: the lines of a text, with spaces around the characters that are words of their own."""
+    # such characters take three bytes or more: plain texts need no search for them
+    return (f"split(case when octet_length({text}) > length({text}) + 1 and {text} rlike r'{UNSPACED}' "
+            rf"then regexp_replace({text}, r'({UNSPACED})', ' $1 ') else {text} end, '\n', -1)")
+
+
+def _lines(docs: DataFrame, least: int) -> DataFrame:
+    """(id, th, no, w): the lines of at least ``least`` words."""
+    # the words are split inside the array, or they would be split once more for each use
+    return (docs.select("id", "th", F.posexplode(F.transform(F.expr(_text_lines()), words)).alias("no", "w"))
+            .where(F.size("w") >= least))
 
 
 def _hashes() -> list[Column]:
@@ -78,23 +92,24 @@ def _halves() -> list[Column]:
 PLACE = "struct(id is null as u, id, th, no)"
 
 
-def find_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def find_copies(docs: DataFrame, min_words: int = MIN_WORDS, short: bool = False) -> DataFrame:
     """(id, th, gone): per document the numbers of its lines that go.
 
     ``docs`` has id, th and text.
     """
     ends = min_words // 2
-    occ = staged(_lines(docs, min_words).select(
-        "id", "th", "no", *_hashes(),
-        F.xxhash64(F.lit("first"), F.array_join(F.expr(f"slice(w, 1, {ends})"), " ")).alias("k1"),
-        F.xxhash64(F.lit("last"), F.array_join(F.expr(f"slice(w, -{ends}, {ends})"), " ")).alias("k2")), "line-places")
+    # lines too short for variants have no ends
+    end = lambda side, cut: F.when(F.size("w") >= min_words, F.xxhash64(F.lit(side), F.array_join(F.expr(cut), " ")))
+    occ = staged(_lines(docs, 1 if short else min_words).select(
+        "id", "th", "no", *_hashes(), end("first", f"slice(w, 1, {ends})").alias("k1"),
+        end("last", f"slice(w, -{ends}, {ends})").alias("k2")), "line-places")
 
     # distinct lines, each with its earliest place
     line = staged(occ.groupBy("h1", "h2").agg(F.min(F.expr(PLACE)).alias("place"), F.count("*").alias("n"),
                                               F.first("k1").alias("k1"), F.first("k2").alias("k2")), "lines")
 
     # lines that share an end with another line, and their words
-    ends_of = line.select("h1", "h2", F.explode(F.array("k1", "k2")).alias("k"))
+    ends_of = line.where("k1 is not null").select("h1", "h2", F.explode(F.array("k1", "k2")).alias("k"))
     shared = staged(ends_of.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "line-ends")
     alike = staged(ends_of.join(shared, "k", "left_semi").select("h1", "h2").distinct(), "lines-alike")
     at = staged(line.select("h1", "h2", "place").join(alike, ["h1", "h2"], "left_semi")
@@ -104,7 +119,7 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     holders = (docs.alias("d").hint("merge").join(at.alias("a"), F.expr("d.id <=> a.id and d.th = a.th"))
                .select("d.id", "d.th", "text", "nos"))
     texts = staged(
-        holders.select("id", "th", "nos", F.expr(r"posexplode(split(text, '\n', -1)) as (no, line)"))
+        holders.select("id", "th", "nos", F.expr(f"posexplode({_text_lines()}) as (no, line)"))
         .where(F.expr("array_contains(nos, no)")).select("id", "th", "no", words(F.col("line")).alias("w"))
         .select(F.expr(PLACE).alias("place"), *_hashes(), "w").dropDuplicates(["h1", "h2"]), "line-ended")
 
@@ -149,16 +164,17 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-               counts: bool = False) -> DataFrame:
+               counts: bool = False, short: bool = False) -> DataFrame:
     """``docs`` with copied lines removed from the text; documents left without words go.
 
+    ``short`` removes exact copies of lines under ``min_words`` words as well.
     ``counts`` adds n_lines and n_removed and keeps the emptied documents.
     """
     if min_words < 2:
         raise ValueError("min_words must be at least 2")
     th = F.xxhash64(F.col(f"`{text_col}`"))
     ids = docs.select(F.col(f"`{id_col}`").alias("id"), th.alias("th"), F.col(f"`{text_col}`").alias("text"))
-    gone = find_copies(ids, min_words)
+    gone = find_copies(ids, min_words, short)
     d = docs.alias("d").hint("merge").join(gone.alias("g"), F.expr(
         f"d.`{id_col}` <=> g.id and xxhash64(d.`{text_col}`) = g.th"), "left")
     kept = F.expr(f"case when g.gone is null then d.`{text_col}` else array_join(filter("

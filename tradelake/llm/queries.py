@@ -18,7 +18,7 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark, d):
-    out = line_dedup.line_dedup(_table(spark, d, "documents").select("doc_id", "text"), counts=True)
+    out = line_dedup.line_dedup(_table(spark, d, "documents").select("doc_id", "text"), counts=True, short=True)
     return out.select("doc_id", "text", "n_lines", "n_removed")
 
 
