@@ -1,5 +1,6 @@
 """Embedding classes against all pairs; recall of the graph against brute force."""
 import numpy as np
+import pytest
 
 from tradelake.llm.embedding_dedup import embedding_classes, linked_pairs
 from tradelake.llm.hnsw import Graph
@@ -85,3 +86,41 @@ def test_recall_of_the_graph():
     near = v @ v.T >= 0.98
     q, n = linked_pairs(Graph(v), v, v, 0.98, 0.995)
     assert near[q, n].all() and len(set(zip(q.tolist(), n.tolist()))) >= 0.99 * near.sum()
+
+
+def _unit(v):
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def _lost(n, family, groups, seed=9, dim=24):
+    """Vectors, queries and a graph that cannot reach the nodes of small groups; ``family`` of the vectors are near copies."""
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, dim))
+    v[:family] = v[0] + rng.normal(scale=0.02, size=(family, dim))
+    other = rng.normal(size=(n, dim))
+    other[:family] = v[0] + rng.normal(scale=0.02, size=(family, dim))
+    at = np.arange(n - groups, n)
+    other[rng.permutation(np.arange(family, n))[:groups]] = v[at] + rng.normal(scale=0.01, size=(groups, dim))
+    v, other = _unit(v), _unit(other)
+    g = Graph(v)
+    assert g.entry not in at
+    for links in g.links:
+        links[np.isin(links, at)] = -1
+    return v, other, g
+
+
+@pytest.mark.parametrize("n,family,groups", [
+    (40, 0, 5),        # a shard no larger than the first beam
+    (1500, 0, 15),     # 1 % of the vectors link
+    (2000, 0, 600),    # no beam reaches the lost nodes
+    (2000, 1000, 150)  # nearly all links are those of one family
+])
+def test_lost_links_are_found(n, family, groups):
+    v, other, g = _lost(n, family, groups)
+    near = other @ v.T >= 0.98
+    q, k = linked_pairs(g, v, other, 0.98, 0.995)
+    got = set(zip(q.tolist(), k.tolist()))
+    small = set(zip(*(x.tolist() for x in np.nonzero(near)))) if not family else {
+        (a, b) for a, b in zip(*(x.tolist() for x in np.nonzero(near))) if b >= n - groups}
+    assert near[q, k].all() and len(q) == len(got) and len(small) >= groups
+    assert small <= got

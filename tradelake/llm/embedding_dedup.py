@@ -4,7 +4,10 @@ Vectors that may link (equal label) are dealt into shards of bounded size;
 exact copies are one node with a count. Each shard's graph is built once and
 stored as a row. Every shard of a label is queried with the vectors of every
 shard of it, each pair of shards once, by beams that widen until a recall
-audit against brute force on a part of the queries passes. Pairs found are
+audit against brute force passes: queries are drawn until enough of them have
+neighbours of their own, each weighs the same, and members of one family count once.
+Where links are so few that all queries are drawn, or where no beam passes, the
+pair of shards is answered exactly, in tiles. Pairs found are
 verified by cosine in double precision; a pair of shards returns, for each
 linked vector, its number of links and the smallest node it reaches there,
 never the pairs, and the components of the whole are found by Spark jobs.
@@ -31,7 +34,8 @@ LEAST = 0.98
 SHARD_ROWS = 4096
 BEAM = 48
 RECALL = 0.995
-AUDIT = 64          # queries per pair of shards that are also answered by brute force
+AUDIT = 64          # queries with neighbours of their own, per pair of shards, that the audit judges
+TILE = 512          # queries multiplied with a whole shard at once
 SLACK = 1e-5        # single-precision search keeps this much below the threshold for verification
 GRAPH = ("label long, dim int, shard int, nodes binary, copies binary, vectors binary, entry int, "
          "widths array<int>, links binary")
@@ -64,29 +68,67 @@ def _load(vectors: np.ndarray, entry: int, widths: list[int], links: bytes) -> G
     return g
 
 
+def _exact(queries: np.ndarray, asked: np.ndarray, index: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, node) pairs of the queries numbered ``asked``, by brute force in tiles."""
+    found = [(asked[:0], asked[:0])]
+    for s in range(0, len(asked), TILE):
+        part = asked[s:s + TILE]
+        q, n = np.nonzero(queries[part] @ index.T >= least)
+        found.append((part[q], n))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _draw(queries: np.ndarray, index: np.ndarray, least: float, audit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Queries answered by brute force, in chance order, until ``audit`` of them have neighbours apart
+    from those of the others: (drawn, q, n, judged). Where there are fewer, all queries are drawn."""
+    order = np.random.default_rng(0).permutation(len(queries))
+    covered, judged, found, at = np.zeros(len(index), bool), [], [(order[:0], order[:0])], 0
+    while at < len(order) and len(judged) < audit:
+        q, n = _exact(queries, order[at:at + TILE // 4], index, least)
+        found.append((q, n))
+        at += TILE // 4
+        starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else []
+        for own in np.split(np.arange(len(q)), starts[1:]) if len(q) else []:
+            near = n[own]
+            alone = queries is index and len(near) == 1  # a vector finds itself
+            if not alone and not covered[near].any():
+                judged.append(int(q[own[0]]))
+            covered[near] = True
+    return order[:at], *(np.concatenate(x) for x in zip(*found)), judged
+
+
 def linked_pairs(graph: Graph, index: np.ndarray, queries: np.ndarray, least: float, recall: float,
                  beam: int = BEAM, audit: int = AUDIT) -> tuple[np.ndarray, np.ndarray]:
     """(query, node) pairs with cosine of ``least`` or more; beams widen until the audit passes.
 
-    ``index`` and ``queries`` are unit vectors in double precision.
+    ``index`` and ``queries`` are unit vectors in double precision; a shard that is searched
+    with its own vectors is given as both.
     """
-    probe = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int))
-    near = queries[probe] @ index.T >= least
+    drawn, known_q, known_n, judged = _draw(queries, index, least, audit)
+    if len(drawn) == len(queries):
+        return known_q, known_n
+    rest = np.ones(len(queries), bool)
+    rest[drawn] = False
+    other = known_q != known_n if queries is index else np.ones(len(known_q), bool)
+    true_q = known_q[other]
+    true = true_q * len(index) + known_n[other]
     while True:
         q, n = graph.within(queries, least - SLACK, beam)
-        if beam >= len(index):
-            break
-        asked = np.isin(q, probe)
-        found = np.zeros(near.shape, bool)
-        found[np.searchsorted(probe, q[asked]), n[asked]] = True
-        if (found & near).sum() >= recall * near.sum():
+        asked = ~rest[q]
+        hit = np.isin(true, q[asked] * len(index) + n[asked])
+        each = np.bincount(true_q[hit], minlength=len(queries))[judged] / np.bincount(true_q, minlength=len(queries))[judged]
+        if each.mean() >= recall and hit.sum() >= recall * len(true):
             break
         beam *= 2
+        if 8 * beam >= len(index):  # such beams cost more than the whole product
+            q, n = _exact(queries, np.flatnonzero(rest), index, least)
+            return np.concatenate([known_q, q]), np.concatenate([known_n, n])
+    q, n = q[rest[q]], n[rest[q]]
     keep = np.zeros(len(q), bool)
     for s in range(0, len(q), 1 << 16):
         a, b = q[s:s + (1 << 16)], n[s:s + (1 << 16)]
         keep[s:s + (1 << 16)] = np.einsum("ij,ij->i", queries[a], index[b]) >= least
-    return q[keep], n[keep]
+    return np.concatenate([known_q, q[keep]]), np.concatenate([known_n, n[keep]])
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
