@@ -9,7 +9,9 @@ Tokens of a clause are read by small transducers and composed left to right:
 * reported speech: a verb of saying, or an open quotation, scales the rest of the clause.
 
 A document's raw score is the sum over its matched clauses, calibrated to a
-probability. Isolated words outside a matching clause pattern count nothing.
+probability. A lexicon term is a pattern by itself and scores its full weight wherever it
+stands, an isolated word too; a target raises it, negation and reported speech lower
+it. A verb of harm alone counts nothing: a threat needs an agent before it.
 
 The lexicon is the fixed seed list plus terms learned from labelled rows: words
 and word beginnings that follow many different words in toxic documents and
