@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradelake.llm import embedding_dedup, line_dedup, mixing, packing, pii, quality, sharding, simhash, toxicity, warc
+from tradelake.llm import (conversations, decontaminate, embedding_dedup, line_dedup, mixing, packing, pii, quality, runs,
+                           sharding, simhash, toxicity, warc)
+from tradelake.llm.common import words
 
 N_SHARDS = 64
 
@@ -78,6 +80,39 @@ def op10_embedding_dedup(spark, d):
     return embedding_dedup.embedding_classes(_table(spark, d, "embeddings"))
 
 
+def op11_periodic_runs(spark, d):
+    # a periodic tail is planted in every tenth document (by the checksum of its id)
+    planted = """case when h % 10 = 0 then transform(array(w), v -> transform(v, (x, i) -> if(i < g % size(v), x,
+        v[cast(g % size(v) + (i - g % size(v)) % (1 + (size(v) - g % size(v)) div (3 + g % 8)) as int)])))[0] end"""
+    docs = _table(spark, d, "documents").select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    docs = docs.withColumn("g", F.expr("h div 10")).withColumn("w", F.when(F.expr("h % 10 = 0"), words(F.col("text"))))
+    docs = docs.withColumn("w", F.expr(planted))
+    docs = docs.selectExpr("doc_id", "coalesce(array_join(w, ' '), text) as text")
+    found = runs.find_runs(docs)
+    # the longest run; of equal ones the first, then the least period
+    best = """array_min(transform(runs, r -> struct(-r.length as n, r.start as start, r.period as period)))"""
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, chr(10))), '')"
+    found = found.select("doc_id", F.expr("cast(size(runs) as bigint)").alias("n_runs"), F.expr(best).alias("b"),
+                         F.sha2(F.expr(listed), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.selectExpr("doc_id", "n_runs", "b.start as start", "-b.n as length", "b.period as period",
+                            "cast(-1000 * b.n div b.period as bigint) as exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op12_decontaminate(spark, d):
+    found = decontaminate.contamination(_table(spark, d, "documents").select("doc_id", "text"), _table(spark, d, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op13_conversations(spark, d):
+    rows = _table(spark, d, "conversations")
+    found = conversations.repair_conversations(conversations.damage(rows)).withColumnRenamed("conv_id", "cid")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("cid")), "left")
+    return every.select("conv_id", *[F.coalesce(m, F.lit(0)).alias(m) for m in conversations.METRICS],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -89,9 +124,13 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_mixing": op9_mixing,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLE_SQL = {
     "op4_quality_rules": quality.quality_sql(),
     "op9_mixing": mixing.mixing_sql(),
+    "op12_decontaminate": decontaminate.contamination_sql(),
 }
