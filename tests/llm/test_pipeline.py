@@ -20,7 +20,7 @@ def steps(spark):
 def test_registered():
     assert [n for n, _ in cp.STAGES] == ["toxicity", "line_dedup", "simhash_dedup", "mixing", "packing"]
     names = [q for q in E.queries() if q.startswith("op") and q[2].isdigit()]
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)] and "pipeline" in E.queries()
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)] and "pipeline" in E.queries()
 
 
 def test_columns_and_shrinking(steps):
