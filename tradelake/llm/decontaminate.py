@@ -109,8 +109,9 @@ def find_hits(docs: DataFrame, windows: DataFrame, text_col: str = "text", max_w
         scan = (hashed.selectExpr("key", "__ws", f"inline(array({sides})) as (n, hs)")
                 .selectExpr("key", "__ws", "n", "posexplode_outer(hs) as (pos, hash)"))
     # outer explodes, as inner ones would be preceded by a filter that computes the arrays once more; and a word test
-    # that can't serve as a join key, so that it is made for windows with an equal hash only
-    same = "array_contains(array(words), array_join(transform(slice(__ws, pos + 1, n), w -> " + _lowered("w") + "), ' '))"
+    # that can't serve as a join key, so that it is made for windows with an equal hash only, and that has no lambda,
+    # so that explode and join are one compiled loop in which a window's row never holds a copy of the words
+    same = f"array_contains(array(words), {_lowered("array_join(slice(__ws, pos + 1, n), ' ')")})"
     found = None
     for b in range(blocks):
         block = windows if blocks == 1 else windows.where(f"pmod(xxhash64(words), {blocks}) = {b}")
