@@ -66,26 +66,32 @@ def _text_lines(text: str = "text") -> str:
             rf"then regexp_replace({text}, r'({UNSPACED})', ' $1 ') else {text} end, '\n', -1)")
 
 
-def _lines(docs: DataFrame, least: int) -> DataFrame:
-    """(id, th, no, w): the lines of at least ``least`` words."""
-    # the words are split inside the array, or they would be split once more for each use
-    return (docs.select("id", "th", F.posexplode(F.transform(F.expr(_text_lines()), words)).alias("no", "w"))
-            .where(F.size("w") >= least))
+def _joined(line: str) -> Column:
+    """The words of a line joined by one space each; most lines already are that, but for spaces around them."""
+    c = F.col(line)
+    odd = [F.contains(c, F.lit(x)) for x in ("  ", "\t", "\x0b", "\x0c", "\r")]
+    return F.when(odd[0] | odd[1] | odd[2] | odd[3] | odd[4], F.array_join(words(c), " ")).otherwise(F.trim(c))
+
+
+def _lines(docs: DataFrame, *carry: str, where: str = "true") -> DataFrame:
+    """(carry, no, l, n): the lines that have words, as words joined by a space, and how many words."""
+    # an outer explode, as an inner one would be preceded by a filter that splits every text once more
+    rows = docs.select(*carry, F.expr(f"posexplode_outer({_text_lines()}) as (no, line)")).where(where)
+    rows = rows.select(*carry, "no", _joined("line").alias("l")).where("l <> ''")
+    return rows.selectExpr(*carry, "no", "l", "octet_length(l) - octet_length(replace(l, ' ', '')) + 1 as n")
 
 
 def _hashes() -> list[Column]:
-    line = F.array_join("w", " ")
-    return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")]
+    return [F.expr("xxhash64(l) as h1"), F.expr("xxhash64(1, l) as h2")]
 
 
 def _halves() -> list[Column]:
     """Keys of which two lines within one edit share one: if the shorter has m words, either
     the first m // 2 words or the last m - m // 2 words are the same in both."""
     keys = []
-    for m in ("size(w)", "(size(w) - 1)"):
-        h = f"cast(floor({m} / 2) as int)"
-        for side, cut in (("first", f"slice(w, 1, {h})"), ("last", f"slice(w, -({m} - {h}), {m} - {h})")):
-            keys.append(F.expr(f"xxhash64('{side}', {m}, array_join({cut}, ' '))"))
+    for m in ("n", "(n - 1)"):
+        for side, cut in (("first", f"{m} div 2"), ("last", f"{m} div 2 - {m}")):
+            keys.append(F.expr(f"xxhash64('{side}', {m}, substring_index(l, ' ', cast({cut} as int)))"))
     return keys
 
 
@@ -99,10 +105,9 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS, short: bool = False
     """
     ends = min_words // 2
     # lines too short for variants have no ends
-    end = lambda side, cut: F.when(F.size("w") >= min_words, F.xxhash64(F.lit(side), F.array_join(F.expr(cut), " ")))
-    occ = staged(_lines(docs, 1 if short else min_words).select(
-        "id", "th", "no", *_hashes(), end("first", f"slice(w, 1, {ends})").alias("k1"),
-        end("last", f"slice(w, -{ends}, {ends})").alias("k2")), "line-places")
+    end = lambda side, k: F.expr(f"case when n >= {min_words} then xxhash64('{side}', substring_index(l, ' ', {k})) end")
+    occ = staged(_lines(docs, "id", "th").where(f"n >= {1 if short else min_words}").select(
+        "id", "th", "no", *_hashes(), end("first", ends).alias("k1"), end("last", -ends).alias("k2")), "line-places")
 
     # distinct lines, each with its earliest place
     line = staged(occ.groupBy("h1", "h2").agg(F.min(F.expr(PLACE)).alias("place"), F.count("*").alias("n"),
@@ -118,42 +123,39 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS, short: bool = False
     # texts are always joined by sorting, at every size alike: what they meet grows with the corpus
     holders = (docs.alias("d").hint("merge").join(at.alias("a"), F.expr("d.id <=> a.id and d.th = a.th"))
                .select("d.id", "d.th", "text", "nos"))
-    texts = staged(
-        holders.select("id", "th", "nos", F.expr(f"posexplode({_text_lines()}) as (no, line)"))
-        .where(F.expr("array_contains(nos, no)")).select("id", "th", "no", words(F.col("line")).alias("w"))
-        .select(F.expr(PLACE).alias("place"), *_hashes(), "w").dropDuplicates(["h1", "h2"]), "line-ended")
+    texts = staged(_lines(holders, "id", "th", "nos", where="array_contains(nos, no)")
+                   .select(F.expr(PLACE).alias("place"), *_hashes(), "l", "n").dropDuplicates(["h1", "h2"]), "line-ended")
 
     # of those, the lines that share half of their words with a line of the same length or one word off
     half = staged(texts.select("h1", "h2", F.posexplode(F.array(*_halves())).alias("side", "k")), "line-halves")
     shared = staged(half.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"), "line-half-keys")
     alike = staged(half.join(shared, "k", "left_semi").groupBy("h1", "h2").agg(
         F.max(F.expr("side % 2 = 0")).alias("first"), F.max(F.expr("side % 2 = 1")).alias("last")), "lines-half-alike")
-    texts = staged(texts.join(alike, ["h1", "h2"]), "line-texts")
+    # from here on a line is its number, which grows with its place
+    texts = staged(texts.join(alike, ["h1", "h2"]).orderBy("place").drop("place")
+                   .withColumn("seq", F.monotonically_increasing_id()), "line-texts")
 
     # the deletion neighbourhood: the line without word p, for all p at which a line that
     # shares the first (last) half can differ; the line itself is added below
-    start = "case when last then 1 else cast(floor((size(w) - 1) / 2) as int) + 1 end"
-    end = "case when first then size(w) else cast(floor(size(w) / 2) as int) + 1 end"
-    without = "array_join(concat(slice(w, 1, p - 1), slice(w, p + 1, size(w))), ' ')"
+    start = "case when last then 1 else (n - 1) div 2 + 1 end"
+    stop = "case when first then n else n div 2 + 1 end"
+    without = ("case when p = 1 then substring_index(l, ' ', 1 - n) when p = n then substring_index(l, ' ', n - 1) "
+               "else concat(substring_index(l, ' ', p - 1), ' ', substring_index(l, ' ', p - n)) end")
     variants = staged(
-        texts.select("place", "h1", "h2", F.size("w").alias("n"), "w", F.expr(f"explode(sequence({start}, {end})) as p"))
-        .select("place", "h1", "h2", "n", "p", F.expr(f"xxhash64({without})").alias("key")), "line-variants")
-    leads = staged(variants.groupBy("key", "n", "p").agg(F.min(F.struct("place", "h1", "h2")).alias("lead"),
-                                                         F.count("*").alias("c")).where("c > 1").drop("c"), "line-leads")
-    replaced = (variants.join(leads, ["key", "n", "p"]).where("lead.place < place")
-                .selectExpr("h1", "h2", "lead.h1 as l1", "lead.h2 as l2"))
-    whole = texts.select(F.col("h1").alias("key"), F.col("place").alias("other"), F.size("w").alias("size"),
-                         F.col("h1").alias("o1"), F.col("h2").alias("o2"))
-    inserted = variants.join(whole, "key").where("size = n - 1")
-    later = F.expr("other < place")
-    pick = [F.when(later, F.col(x)).otherwise(F.col(y)).alias(z)
-            for x, y, z in (("h1", "o1", "h1"), ("h2", "o2", "h2"), ("o1", "h1", "l1"), ("o2", "h2", "l2"))]
-    pairs = replaced.union(inserted.select(*pick)).distinct()
+        texts.selectExpr("seq", "n", "l", f"explode(sequence(cast({start} as int), cast({stop} as int))) as p")
+        .selectExpr("seq", "n", "p", f"xxhash64({without}) as key"), "line-variants")
+    leads = staged(variants.groupBy("key", "n", "p").agg(F.min("seq").alias("lead"), F.count("*").alias("c"))
+                   .where("c > 1").drop("c"), "line-leads")
+    replaced = variants.join(leads, ["key", "n", "p"]).where("lead < seq").select("seq", "lead")
+    whole = texts.selectExpr("h1 as key", "seq as other", "n as size")
+    inserted = (variants.join(whole, "key").where("size = n - 1")
+                .selectExpr("greatest(seq, other) as seq", "least(seq, other) as lead"))
+    pairs = replaced.union(inserted).distinct()
 
     # verify, then mark the later line
-    own = texts.select("h1", "h2", F.col("w").alias("a"))
-    lead = texts.select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("w").alias("b"))
-    near = staged(pairs.join(own, ["h1", "h2"]).join(lead, ["l1", "l2"]).where(F.expr(within_one_edit("a", "b")))
+    own = texts.select("seq", "h1", "h2", F.split("l", " ").alias("a"))
+    lead = texts.select(F.col("seq").alias("lead"), F.split("l", " ").alias("b"))
+    near = staged(pairs.join(own, "seq").join(lead, "lead").where(F.expr(within_one_edit("a", "b")))
                   .select("h1", "h2").distinct(), "lines-near")
 
     known = staged(line.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
