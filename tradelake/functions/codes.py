@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-INVALID_CODES = "Not all NCMs valid or NA!"
+from tradelake.schemas import INVALID_CODES
 
 
 def clean_code(x, nchar: int | None = None) -> Column:

@@ -4,26 +4,28 @@
 only the partitions present in the new data (dynamic overwrite). The write
 is rebalanced on the partition keys: adaptive execution splits a hot
 (year, direction) into several tasks and merges small ones, so one huge
-partition never lands on a single writer. ``ingest`` and ``rewrite`` check
-their input before anything is published.
+partition never lands on a single writer. ``ingest`` and ``rewrite`` publish
+through ``plans.publish``: staged, checked, then visible as a whole.
 """
 
 from __future__ import annotations
 
+import re
+import warnings
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradelake.operators.checks import MISMATCH, coverage_grid, missing_partitions, reconcile
-from tradelake.schemas import (CSV_OPTIONS, HS4_RAW_SCHEMA, NCM_EXP_FIELDS, NCM_EXP_SCHEMA, NCM_IMP_FIELDS,
+from tradelake.plans import publish
+from tradelake.schemas import (CSV_OPTIONS, HS4_RAW_SCHEMA, NCM_EXP_FIELDS, NCM_EXP_SCHEMA, NCM_HEADER, NCM_IMP_FIELDS,
                                NCM_IMP_SCHEMA, OFFICIAL_PATH)
 from tradelake.session import scratch_path
-from tradelake.sources.trade_csv import file_counts, landed_files, read_hs4_raw, read_ncm_raw
+from tradelake.sources.manifest import as_table, landing_manifest
+from tradelake.sources.trade_csv import PROBE, file_counts, landed_files, read_landed
 
-# official header names of the NCM fact files, in file order (fixed values)
-NCM_HEADER = ("CO_ANO", "CO_MES", "CO_NCM", "CO_UNID", "CO_PAIS", "SG_UF_NCM", "CO_VIA", "CO_URF",
-              "QT_ESTAT", "KG_LIQUIDO", "VL_FOB", "VL_FRETE", "VL_SEGURO")
+SORT = {"ncm": ("ncm", "month"), "hs4": ("hs4", "month")}
 
 
 def standardize_union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -73,48 +75,55 @@ def rewrite(data: DataFrame, base: str, control: DataFrame | None = None) -> tup
     if control is not None:
         check_totals(data, control)
     kind = "ncm" if "ncm" in data.columns else "hs4"
-    path = publish_lake(data, f"{base.rstrip('/')}/{kind}",
-                        sort_by=("ncm", "month") if kind == "ncm" else ("hs4", "month"))
+    path = f"{base.rstrip('/')}/{kind}"
+    publish.publish(data, path, sort_by=SORT[kind])
     report = None
     if control is not None:
-        report = reconcile(data.sparkSession.read.parquet(path), control)
+        report = reconcile(publish.read_version(data.sparkSession, path, publish.manifest(data.sparkSession, path)), control)
     return path, report
 
 
 def check_totals(data: DataFrame, control: DataFrame, years: Sequence[int] | None = None,
                  directions: Sequence[str] | None = None) -> None:
-    """Raise if a control row that the facts cover does not match.
+    """Raise if a control row that the facts cover does not match; warn of control rows that they don't cover.
 
-    The report is filtered and the first few files named; an error raised
+    The report is filtered and its findings named; an error raised
     inside the plan could be pushed below the join, to facts without a control row.
     """
     report = reconcile(data, control, years=years, directions=directions)
-    bad = report.where(F.col("status") == "mismatch").select("file", "measure", "expected", "actual").take(5)
+    # one row per control file and measure at most
+    found = report.where(F.col("status") != "ok").select("file", "status", "measure", "expected", "actual").collect()
+    bad = sorted((r for r in found if r["status"] == "mismatch"), key=lambda r: (r["file"] or "", r["measure"]))
     if bad:
         raise ValueError(MISMATCH + " " + "; ".join(
-            f"{r['file']}: {r['measure']} {r['actual']} for {r['expected']}" for r in bad))
+            f"{r['file']}: {r['measure']} {r['actual']} for {r['expected']}" for r in bad[:5]))
+    uncovered = sorted({r["file"] or "" for r in found})
+    if uncovered:
+        warnings.warn("control rows without facts: " + ", ".join(uncovered), stacklevel=2)
 
 
-def land_as_csv(facts: DataFrame, path: str | None = None) -> str:
+def land_as_csv(facts: DataFrame, path: str | None = None, file_year: str = "year",
+                header: dict[str, str] | None = None) -> str:
     """Write facts in the official landing layout (for tests and benchmarks).
 
     ``path/direction=imp`` holds import files with 13 columns,
     ``path/direction=exp`` export files with 11, ';' separated with header;
     each official file is a folder ``file=IMP_YYYY.csv`` of part files.
+    ``file_year`` names the file a row goes to, ``header`` renames columns of the header line.
     """
     spark = facts.sparkSession
     path = path or scratch_path(spark, "landing")
     for d, fields in (("imp", NCM_IMP_FIELDS), ("exp", NCM_EXP_FIELDS)):
         names = [n for n, _ in fields]
-        header = NCM_HEADER[: len(names)]
+        heads = [(header or {}).get(h, h) for h in NCM_HEADER[: len(names)]]
         out = facts.where(F.col("direction") == d).select(
-            *[F.col(n).alias(h) for n, h in zip(names, header)],
-            F.format_string(f"{d.upper()}_%d.csv", F.col("year")).alias("file"))
+            *[F.col(n).alias(h) for n, h in zip(names, heads)],
+            F.format_string(f"{d.upper()}_%d.csv", F.col(file_year)).alias("file"))
         out.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("file").csv(f"{path}/direction={d}")
     return path
 
 
-def land_hs4_as_csv(facts: DataFrame, path: str | None = None) -> str:
+def land_hs4_as_csv(facts: DataFrame, path: str | None = None, mode: str = "overwrite") -> str:
     """Write HS4 facts as official CSVs under ``path/direction=imp|exp``."""
     spark = facts.sparkSession
     path = path or scratch_path(spark, "landing-hs4")
@@ -122,7 +131,7 @@ def land_hs4_as_csv(facts: DataFrame, path: str | None = None) -> str:
              "state_abb": "SG_UF_MUN", "mun_code": "CO_MUN", "kg_net": "KG_LIQUIDO", "fob_usd": "VL_FOB"}
     out = facts.select(*[F.col(k).alias(v) for k, v in names.items()], "direction",
                        F.format_string("%s_%d_MUN.csv", F.upper("direction"), F.col("year")).alias("file"))
-    out.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("direction", "file").csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS).partitionBy("direction", "file").csv(path)
     return path
 
 
@@ -147,12 +156,16 @@ def landing_report(spark: SparkSession, landing: str, kind: str = "ncm") -> Data
     The empty cells stay in the report: without them the reader would skip
     columns, and with them the values that make a row unreadable.
     """
-    if kind == "ncm":
-        b = landing.rstrip("/")
-        counts = file_counts(spark, f"{b}/direction=imp", schema=NCM_IMP_SCHEMA, official=True).unionByName(
-            file_counts(spark, f"{b}/direction=exp", schema=NCM_EXP_SCHEMA, official=True))
-    else:
-        counts = file_counts(spark, landing, schema=HS4_RAW_SCHEMA, year="CO_ANO", official=True)
+    files = landing_manifest(spark, landing, kind)
+    frames = []
+    for direction, schema in (("imp", NCM_IMP_SCHEMA), ("exp", NCM_EXP_SCHEMA)):
+        paths = [f.path for f in files if f.direction == direction]
+        if paths:
+            frames.append(file_counts(spark, paths, schema=schema if kind == "ncm" else HS4_RAW_SCHEMA,
+                                      year="year" if kind == "ncm" else "CO_ANO"))
+    if not frames:
+        return spark.createDataFrame([], "direction string, year int, file string, rows bigint, bad_rows bigint, null_cells bigint")
+    counts = reduce(DataFrame.unionByName, frames)
     hit = lambda k: F.regexp_extract("file_path", OFFICIAL_PATH, k)
     return counts.groupBy(
         F.lower(hit(1)).alias("direction"), hit(2).cast("int").alias("year"),
@@ -164,36 +177,64 @@ def missing_files(spark: SparkSession, landing: str, years: Sequence[int], direc
                   kind: str = "ncm") -> DataFrame:
     """Requested (year, direction, type) without an official landed file, by file name."""
     grid = coverage_grid(spark, years, directions, [kind])
-    return missing_partitions(grid, landed_files(spark, landing).withColumn("type", F.lit(kind)))
+    return missing_partitions(grid, landed_files(spark, landing, kind).withColumn("type", F.lit(kind)))
+
+
+def landing_table(spark: SparkSession, landing: str) -> DataFrame:
+    """The landed official files of every kind: kind, direction, year, file, path, bytes, modified."""
+    return as_table(spark, landing_manifest(spark, landing))
 
 
 def ingest(spark: SparkSession, landing: str, lake: str, years: Sequence[int] | None = None,
            directions: Sequence[str] = ("imp", "exp"), control: DataFrame | None = None,
            kind: str = "ncm") -> str:
-    """Landing CSVs -> checks -> publish; a failed check raises and nothing is written.
-
-    ``kind`` is ``ncm`` (per-direction folders with positional schemas) or
-    ``hs4`` (municipality files, direction from the folder name). Checked in
-    this order: every requested year and direction has a landed file, by file
-    name; no file holds an unreadable row; the totals match ``control``, if
-    given (one aggregate over the measure columns).
+    """Landing CSVs -> staged version -> checks -> manifest switch; a failed check raises and the lake reads as before.
+
+    ``kind`` is ``ncm`` or ``hs4`` (municipality files); files of the other
+    kind in the same folders are not read. The partitions to publish are named
+    by the files: every requested year and direction must have one (all landed
+    files, if no years are given), and every row must have the year of its
+    file's name. The files are parsed once, by a scan that also counts
+    unreadable rows and rows of another year and checks the headers; the totals are
+    compared with ``control``, if given, on the staged Parquet.
     """
     if kind not in ("ncm", "hs4"):
         raise ValueError("kind must be 'ncm' or 'hs4'")
-    if years is not None:
-        absent = missing_files(spark, landing, years, directions, kind).collect()  # at most the requested grid
-        if absent:
-            raise ValueError("no landed file for " + ", ".join(sorted(f"{r['direction']} {r['year']}" for r in absent)))
-    wanted = landing_report(spark, landing, kind).where(F.col("direction").isin(list(directions)))
-    if years is not None:
-        wanted = wanted.where(F.col("year").isin(list(years)))
-    bad = wanted.where("bad_rows > 0").orderBy("file", "null_cells").take(20)  # enough to name; any at all fails
-    if bad:
-        raise ValueError("unreadable rows in " + ", ".join(f"{r['file']} ({r['bad_rows']})" for r in bad))
-    raw = read_ncm_raw(spark, landing) if kind == "ncm" else read_hs4_raw(spark, landing)
-    if years is not None:
-        raw = raw.where(F.col("year").isin(list(years)))
-    raw = raw.where(F.col("direction").isin(list(directions)))
-    if control is not None:
-        check_totals(raw, control, years, directions)
-    return publish_lake(raw, lake, sort_by=("ncm", "month") if kind == "ncm" else ("hs4", "month"))
+    files = landing_manifest(spark, landing, kind, years, directions)
+    named = {(f.year, f.direction) for f in files}
+    wanted = named if years is None else {(y, d) for y in years for d in directions}
+    if wanted - named or not wanted:
+        absent = sorted(f"{d} {y}" for y, d in wanted - named)
+        raise ValueError("no landed file" + (" for " + ", ".join(absent) if absent else f" of kind {kind} in {landing}"))
+    rows = read_landed(spark, files, kind, probe=True)
+    corrupt, path = F.col(PROBE[0]), F.col(PROBE[1])
+    label = F.concat(F.lit("/"), F.upper("direction"), F.lit("_"), F.col("year").cast("string"),
+                     F.lit("_MUN.CSV" if kind == "hs4" else ".CSV"))
+    # a folder of part files may be called file=IMP_2024.csv
+    name = F.regexp_replace(F.upper(path), "/FILE=", "/")
+    stray = corrupt.isNull() & ~F.coalesce(F.contains(name, label), F.lit(False))
+    observe = {"rows": F.count(F.lit(1)), "bad_rows": F.count(corrupt), "stray_rows": F.count_if(stray)}
+    try:
+        staged = publish.stage(rows, lake, SORT[kind], observe, drop=PROBE)
+    except Exception as e:
+        header = re.search(r"CSV file: (\S+)", str(e))
+        if header and "header" in str(e):
+            raise ValueError(f"the header is not the official one in {header[1]}") from e
+        raise
+    try:
+        if staged.metrics["bad_rows"]:
+            report = landing_report(spark, landing, kind).where("bad_rows > 0")
+            names = [f.file for f in files]
+            bad = report.where(F.col("file").isin(names)).orderBy("file", "null_cells").take(20)  # enough to name
+            raise ValueError("unreadable rows in " + ", ".join(f"{r['file']} ({r['bad_rows']})" for r in bad))
+        if staged.metrics["stray_rows"]:
+            there = rows.where(stray).groupBy(path.alias("path"), "year").count().orderBy("path", "year").take(20)
+            raise ValueError("rows of another year than their file's: " + ", ".join(
+                f"{r['path'].rsplit('direction=', 1)[-1]} holds {r['count']} of {r['year']}" for r in there))
+        if control is not None:
+            check_totals(publish.staged_facts(spark, staged), control, years, directions)
+        publish.commit(spark, staged, wanted)
+    except Exception:
+        publish.discard(spark, lake, staged.version)
+        raise
+    return lake

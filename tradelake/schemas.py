@@ -38,6 +38,13 @@ DEFLATOR_START = "1997-01-01"
 MONTH_LABELS = ("JAN", "FEV", "MAR", "ABR", "MAIO", "JUN", "JUL", "AGO", "SET", "OUT", "NOV", "DEZ")
 # official fact files: imp_YYYY.csv, exp_YYYY.csv (municipality: _mun), as a file or a folder of part files
 OFFICIAL_PATH = r"(?i)/(?:file=)?(imp|exp)_([0-9]+)((?:_mun)?)\.csv(?:/part-[^/]*)?$"
+# the same by kind of file: NCM facts, and municipality facts by HS4 heading
+OFFICIAL_NAMES = {"ncm": r"(?:file=)?(imp|exp)_([0-9]+)\.csv", "hs4": r"(?:file=)?(imp|exp)_([0-9]+)_mun\.csv"}
+# header of the NCM files, in file order (exports end before freight and insurance)
+NCM_HEADER = ("CO_ANO", "CO_MES", "CO_NCM", "CO_UNID", "CO_PAIS", "SG_UF_NCM", "CO_VIA", "CO_URF",
+              "QT_ESTAT", "KG_LIQUIDO", "VL_FOB", "VL_FRETE", "VL_SEGURO")
+# message of the code check
+INVALID_CODES = "Not all NCMs valid or NA!"
 CSV_OPTIONS = {"sep": ";", "header": "true", "encoding": "ISO-8859-1"}
 # -----------------------------------------------------------------------------
 

@@ -102,18 +102,41 @@ def remove_scratch() -> None:
     while _SCRATCH:
         spark, path = _SCRATCH.pop()
         try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            delete_path(spark, path)
         except Exception:  # the session has ended: nothing left to ask
             return
 
 
-def materialize(df):
+def scratch_mark() -> int:
+    """How many scratch paths this process holds; see ``release_scratch``."""
+    return len(_SCRATCH)
+
+
+def release_scratch(since: int) -> None:
+    """Delete the scratch paths given out after a mark: intermediates of a result that is written elsewhere."""
+    while len(_SCRATCH) > since:
+        spark, path = _SCRATCH.pop()
+        delete_path(spark, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a path or pattern; for names and small control files only."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of this library's own making."""
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def materialize(df, name: str = "table", compression: str = "snappy"):
     """Write an intermediate that is read more than once as Parquet in the shared folder.
 
     Later uses scan the copy with column pruning, pushdown and known size,
     and it survives the loss of executors.
     """
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
