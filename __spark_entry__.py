@@ -13,7 +13,9 @@ all others are compared exactly. The DuckDB oracles live in ``oracles.py``.
 
 from __future__ import annotations
 
+import datetime
 import os
+import re
 import sys
 from collections.abc import Callable
 
@@ -24,13 +26,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tradelake.functions.codes import clean_code, code_label
 from tradelake.operators.aggregate import sum_prefixed
 from tradelake.operators.checks import coverage_grid, covered_partitions, missing_partitions, reconcile
-from tradelake.operators.deflators import build_deflators, deflator_report, price_index
+from tradelake.operators.deflate import deflate
+from tradelake.operators.deflators import build_deflators, deflator_report, monthly_mid_rate, price_index
+from tradelake.operators.deflator_store import persist_deflators, series_state, stored_deflators
 from tradelake.operators.lookups import merge_lookups
 from tradelake.operators.rolling import roll_months, roll_rows
-from tradelake.plans import ingest, reports
+from tradelake.plans import ingest, publish, reports, states
 from tradelake.plans.presentation import ordered, stable
 from tradelake.session import scratch_path
-from tradelake.sources.lake import open_hs4, open_ncm
+from tradelake.sources.lake import lake_years, open_hs4, open_ncm
+from tradelake.sources.lines import read_raw_sheet
 from tradelake.sources.series import read_cpi, read_ipca, read_quotes, read_sheet
 from tradelake.sources.trade_csv import landed_files, read_control, read_hs4_raw, read_ncm_raw, read_table
 from tradelake.sources import testdata as td
@@ -57,8 +62,25 @@ def _facts(spark, d):
     return td.trade_facts(spark, d)
 
 
+_DEFLATOR_STORES: dict[str, str] = {}
+
+
+def _series_state(spark, d):
+    # quotes, CPI and IPCA all come from the orders; the last month that counts is the one before this
+    return series_state(spark, [f"{d.rstrip('/')}/orders.parquet"], datetime.date.today().replace(day=1).isoformat())
+
+
+def persist_series(spark, d):
+    """Write the deflators of ``d`` once; reports over ``d`` read that table while its series stay as they are."""
+    store = _DEFLATOR_STORES.setdefault(d, scratch_path(spark, "deflators"))
+    return persist_deflators(spark, store, _series_state(spark, d), lambda: _deflators(spark, d, na_omit=False))
+
+
 def _deflators(spark, d, na_omit=True):
-    # one row per month
+    # one row per month; built from the series where no table of their present state was written
+    stored = stored_deflators(spark, _DEFLATOR_STORES[d], _series_state(spark, d)) if d in _DEFLATOR_STORES else None
+    if stored is not None:
+        return stored.na.drop("any") if na_omit else stored
     return build_deflators(td.ipca_source(spark, d), td.fx_quotes(spark, d), td.cpi_source(spark, d), na_omit=na_omit)
 
 
@@ -156,7 +178,6 @@ def q_deflated_monthly(spark, d):
 
 def q_deflate_basedate(spark, d):
     s = sum_prefixed(_facts(spark, d), by=["direction", "date"])
-    from tradelake.operators.deflate import deflate
     return _stable(deflate(s, _deflators(spark, d), basedate=BASEDATE))
 
 
@@ -271,11 +292,11 @@ def q_uncovered_control(spark, d):
 
 
 def _landed(spark, d):
-    """(direction, year, type) of official files, listed by name; facts of one column are enough to land."""
+    """(direction, year, type) of official files, listed by name."""
     ncm = ingest.land_as_csv(_facts(spark, d))
     hs4 = ingest.land_hs4_as_csv(td.hs4_facts(spark, d))
-    return landed_files(spark, ncm).withColumn("type", F.lit("ncm")).unionByName(
-        landed_files(spark, hs4).withColumn("type", F.lit("hs4"))), ncm
+    return landed_files(spark, ncm, "ncm").withColumn("type", F.lit("ncm")).unionByName(
+        landed_files(spark, hs4, "hs4").withColumn("type", F.lit("hs4"))), ncm
 
 
 def q_missing_partitions(spark, d):
@@ -459,6 +480,158 @@ def q_csv_ingest_roundtrip(spark, d):
     return sum_prefixed(raw, by=["direction", "year"])
 
 
+def _refused(publication) -> str:
+    """The message of a publication that has to fail."""
+    try:
+        publication()
+    except (ValueError, publish.PublishConflict) as e:
+        return str(e)
+    raise AssertionError("a publication that had to fail went through")
+
+
+def q_publish_half_failed(spark, d):
+    # a second publication writes all its rows, then fails its check: the lake reads as before
+    lake, facts = scratch_path(spark, "lake"), _facts(spark, d)
+    publish.publish(facts, lake)
+    control = _control(spark, d)
+    _refused(lambda: publish.publish(facts.withColumn("fob_usd", F.col("fob_usd") * 2), lake,
+                                     verify=lambda staged: ingest.check_totals(staged, control)))
+    return sum_prefixed(open_ncm(spark, lake), by=["direction", "year"])
+
+
+def q_publish_one_partition(spark, d):
+    # one partition is replaced; the first manifest still reads what it read
+    lake, facts = scratch_path(spark, "lake"), _facts(spark, d)
+    first = publish.publish(facts, lake).number
+    publish.publish(facts.where("year = 1997 AND direction = 'imp'").withColumn("fob_usd", F.col("fob_usd") * 2), lake,
+                    partitions=[(1997, "imp")])
+    sums = lambda f, name: sum_prefixed(f, by=["direction", "year"], prefixes="fob_usd").withColumn("manifest", F.lit(name))
+    return sums(open_ncm(spark, lake, manifest=first), "first").unionByName(sums(open_ncm(spark, lake), "newest"))
+
+
+def q_publish_conflict(spark, d):
+    # two writers start from one manifest: the second to finish is refused, and publishes on top when it starts again
+    lake, facts = scratch_path(spark, "lake"), _facts(spark, d)
+    publish.publish(facts, lake)
+    slow = publish.stage(facts.where("year = 1998").withColumn("fob_usd", F.col("fob_usd") * 3), lake)
+    publish.publish(facts.where("year = 1997").withColumn("fob_usd", F.col("fob_usd") * 2), lake)
+    _refused(lambda: publish.commit(spark, slow))
+    publish.discard(spark, lake, slow.version)
+    publish.publish(facts.where("year = 1998").withColumn("fob_usd", F.col("fob_usd") * 3), lake)
+    publish.vacuum(spark, lake)
+    # after the vacuum even a reader that knows nothing of manifests sees the newest versions only
+    return sum_prefixed(spark.read.parquet(lake), by=["direction", "year"], prefixes="fob_usd")
+
+
+def q_ingest_mixed_kinds(spark, d):
+    # municipality files lie in the same folders as the NCM files: each kind is published as what it is
+    landing = ingest.land_as_csv(_facts(spark, d), scratch_path(spark, "landing"))
+    ingest.land_hs4_as_csv(td.hs4_facts(spark, d), landing, mode="append")
+    years = list(range(1995, 2002))
+    ncm = ingest.ingest(spark, landing, scratch_path(spark, "lake"), years=years, control=_control(spark, d))
+    hs4 = ingest.ingest(spark, landing, scratch_path(spark, "lake"), years=years, kind="hs4",
+                        control=td.control_totals_mun(spark, d))
+    sums = lambda f, kind: sum_prefixed(f, by=["direction", "year"], prefixes=["kg_net", "fob_usd"]).withColumn("kind", F.lit(kind))
+    return sums(open_ncm(spark, ncm), "ncm").unionByName(sums(open_hs4(spark, hs4), "hs4"))
+
+
+def q_landing_manifest(spark, d):
+    landing = scratch_path(spark, "landing")
+    ingest.land_hs4_as_csv(td.hs4_facts(spark, d).where("year < 1998"), landing)
+    return ingest.landing_table(spark, landing).select("kind", "direction", "year", "file")
+
+
+def q_ingest_stray_year(spark, d):
+    # one year's file holds rows of another year: nothing is published, the message names the file, the lake stays
+    lake, facts = scratch_path(spark, "lake"), _facts(spark, d)
+    ingest.ingest(spark, ingest.land_as_csv(facts), lake)
+    moved = facts.where("year = 1998").withColumn("year", F.expr("CASE WHEN month = 12 THEN 1997 ELSE year END"))
+    landing = scratch_path(spark, "landing")
+    ingest.land_as_csv(moved.withColumn("file_year", F.lit(1998)), landing, file_year="file_year")
+    said = _refused(lambda: ingest.ingest(spark, landing, lake))
+    named = sorted(set(re.findall(r"(?:IMP|EXP)_[0-9]+[.]csv", said)))
+    return sum_prefixed(open_ncm(spark, lake), by=["direction", "year"]).withColumn("refused", F.lit(",".join(named)))
+
+
+def q_ingest_swapped_header(spark, d):
+    # freight and insurance change places in one year's files: the header check names the file, the lake stays
+    lake, facts = scratch_path(spark, "lake"), _facts(spark, d)
+    ingest.ingest(spark, ingest.land_as_csv(facts), lake)
+    landing = scratch_path(spark, "landing")
+    ingest.land_as_csv(facts.where("year = 1999 AND direction = 'imp'"), landing, header={"VL_FRETE": "VL_SEGURO", "VL_SEGURO": "VL_FRETE"})
+    said = _refused(lambda: ingest.ingest(spark, landing, lake))
+    named = sorted(set(re.findall(r"(?:IMP|EXP)_[0-9]+[.]csv", said)))
+    return sum_prefixed(open_ncm(spark, lake), by=["direction", "year"]).withColumn("refused", F.lit(",".join(named)))
+
+
+def q_states_after_replace(spark, d):
+    # the aggregates are refreshed for the replaced partitions only, and equal a full run
+    lake, store, facts = scratch_path(spark, "lake"), scratch_path(spark, "states"), _facts(spark, d)
+    publish.publish(facts, lake)
+    states.refresh_states(spark, lake, store)
+    publish.publish(facts.where("year = 1997").withColumn("fob_usd", F.col("fob_usd") * 2), lake)
+    anew = states.refresh_states(spark, lake, store)
+    merged = states.merge_states(states.read_states(spark, store), by=["year", "date"])
+    return merged.withColumn("refreshed", F.lit(",".join(f"{p}/{y}" for y, p in anew)))
+
+
+def q_yearly_growth_from_states(spark, d):
+    # R13 from the kept aggregates: no fact is read
+    lake, store = scratch_path(spark, "lake"), scratch_path(spark, "states")
+    publish.publish(_facts(spark, d), lake)
+    states.refresh_states(spark, lake, store, prefixes=["fob_usd"])
+    monthly = deflate(states.merge_states(states.read_states(spark, store), by=["year", "date"]), _deflators(spark, d))
+    return _stable(reports.yearly_growth_long(reports.yearly_complete(monthly)))
+
+
+def q_deflators_persisted(spark, d):
+    # written once per state of the series; a state that was never written is not served
+    store = scratch_path(spark, "deflators")
+    persist_deflators(spark, store, _series_state(spark, d),
+                      lambda: build_deflators(td.ipca_source(spark, d), td.fx_quotes(spark, d), td.cpi_source(spark, d)))
+    if stored_deflators(spark, store, "another state") is not None:
+        raise AssertionError("a table of another state was served")
+    s = sum_prefixed(_facts(spark, d), by=["direction", "date"])
+    return _stable(deflate(s, stored_deflators(spark, store, _series_state(spark, d)).na.drop("any"), basedate=BASEDATE))
+
+
+def q_category_change_latest(spark, d):
+    # the lake's own latest three years bound the scan: no date is given
+    lake = scratch_path(spark, "lake")
+    publish.publish(_facts(spark, d), lake)
+    since = f"{lake_years(spark, lake)[-1] - 2}-01-01"
+    return _stable(reports.category_change_top(open_ncm(spark, lake, last_years=3), _products(spark, d), _deflators(spark, d),
+                                               CATEGORY_PARTNER, since))
+
+
+def q_fiscal_from_raw_sheet(spark, d):
+    # the sheet as exported: six lines of preamble, a header, rows without numbers, read in several splits
+    path = f"{scratch_path(spark, 'sheet')}/sheet.csv"
+    first = td.first_order_year(spark, d)
+    sheet = td.fiscal_sheet(spark, d, first)
+    names = [c for c in sheet.columns if c != "line"]
+    text = sheet.select("line", F.concat_ws(";", *[F.col(c).cast("string") for c in names]).alias("value"))
+    head = ["TABELA;Arrecadação", "", "Fonte;;", "Unidade: milhões;", "", "notas", ";".join(names)]
+    top = spark.range(len(head)).select((F.col("id") - len(head)).cast("int").alias("line"), F.element_at(
+        F.array(*[F.lit(h) for h in head]), (F.col("id") + 1).cast("int")).alias("value"))
+    ordered_lines = top.unionByName(text).repartition(1).sortWithinPartitions("line").select(F.col("value"))
+    ordered_lines.write.text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512b")
+    try:
+        raw = read_raw_sheet(spark, path, encoding="UTF-8")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return _stable(reports.fiscal_long(raw, first))
+
+
+def q_quotes_until_last_month(spark, d):
+    # quotes that run past today: the default bound, the last day of the previous month, cuts them
+    o = td.fx_quotes(spark, d)
+    ahead = o.agg(F.datediff(F.current_date(), F.max("date")) + 45).scalar()
+    return _stable(monthly_mid_rate(o.withColumn("date", F.date_add("date", ahead))))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sum_by_direction_year": q_sum_by_direction_year,
     "sum_na_rm": q_sum_na_rm,
@@ -524,6 +697,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hs4_lake_roundtrip": q_hs4_lake_roundtrip,
     "lake_roundtrip": q_lake_roundtrip,
     "csv_ingest_roundtrip": q_csv_ingest_roundtrip,
+    "publish_half_failed": q_publish_half_failed,
+    "publish_one_partition": q_publish_one_partition,
+    "publish_conflict": q_publish_conflict,
+    "ingest_mixed_kinds": q_ingest_mixed_kinds,
+    "landing_manifest": q_landing_manifest,
+    "ingest_stray_year": q_ingest_stray_year,
+    "ingest_swapped_header": q_ingest_swapped_header,
+    "states_after_replace": q_states_after_replace,
+    "yearly_growth_from_states": q_yearly_growth_from_states,
+    "deflators_persisted": q_deflators_persisted,
+    "category_change_latest": q_category_change_latest,
+    "fiscal_from_raw_sheet": q_fiscal_from_raw_sheet,
+    "quotes_until_last_month": q_quotes_until_last_month,
 }
 
 

@@ -407,9 +407,9 @@ FROM p_ncm a LEFT JOIN p_cgce b ON nullif(a.co_cgce_n3, 'LAR') IS NOT DISTINCT F
 LEFT JOIN p_unid c ON a.co_unid = c.co_unid"""
 
 
-def _q_category_change(products: str = "products"):
+def _q_category_change(products: str = "products", since: str = "DATE '1998-01-01'"):
     f = ("cf AS (SELECT f.*, p.no_cgce_n3_ing AS name, p.co_cgce_n3 AS code FROM facts f "
-         f"LEFT JOIN {products} p ON f.ncm = p.co_ncm WHERE f.date >= DATE '1998-01-01' AND f.country_code = 9)")
+         f"LEFT JOIN {products} p ON f.ncm = p.co_ncm WHERE f.date >= {since} AND f.country_code = 9)")
     s = f"cs AS (SELECT name, code, direction, date, {SUMS6} FROM cf GROUP BY name, code, direction, date)"
     dcte, cols = deflate_cte("cd0", "cs", ["name", "code", "direction", "date"] + list(MEASURES))
     d = "cd AS (SELECT * FROM cd0 WHERE fob_brl_deflated IS NOT NULL AND direction = 'imp')"
@@ -690,4 +690,46 @@ Q["hs4_lake_roundtrip"] = Q["format_hs4"]
 Q["lake_roundtrip"] = Q["sum_by_direction_year"]
 Q["csv_ingest_roundtrip"] = Q["sum_by_direction_year"]
 
+Q["publish_half_failed"] = Q["sum_by_direction_year"]
+Q["publish_one_partition"] = with_(FACTS) + """
+SELECT direction, year, CAST(sum(fob_usd) AS BIGINT) AS fob_usd, 'first' AS manifest FROM facts GROUP BY direction, year
+UNION ALL
+SELECT direction, year, CAST(sum(CASE WHEN year = 1997 AND direction = 'imp' THEN 2 ELSE 1 END * fob_usd) AS BIGINT) AS fob_usd,
+       'newest' AS manifest FROM facts GROUP BY direction, year"""
+Q["publish_conflict"] = with_(FACTS) + """
+SELECT direction, year, CAST(sum(CASE year WHEN 1997 THEN 2 WHEN 1998 THEN 3 ELSE 1 END * fob_usd) AS BIGINT) AS fob_usd
+FROM facts GROUP BY direction, year"""
+Q["ingest_mixed_kinds"] = with_(FACTS, HS4) + """
+SELECT direction, year, CAST(sum(kg_net) AS BIGINT) AS kg_net, CAST(sum(fob_usd) AS BIGINT) AS fob_usd, 'ncm' AS kind
+FROM facts GROUP BY direction, year
+UNION ALL
+SELECT direction, year, CAST(sum(kg_net) AS BIGINT) AS kg_net, CAST(sum(fob_usd) AS BIGINT) AS fob_usd, 'hs4' AS kind
+FROM hs4 GROUP BY direction, year"""
+Q["landing_manifest"] = with_(HS4) + """
+SELECT DISTINCT 'hs4' AS kind, direction, year, upper(direction) || '_' || CAST(year AS VARCHAR) || '_MUN.csv' AS file
+FROM hs4 WHERE year < 1998"""
+
+
+def _with_refused(files: str) -> str:
+    return f"SELECT q.*, '{files}' AS refused FROM ({Q['sum_by_direction_year']}) q"
+
+
+Q["ingest_stray_year"] = _with_refused("EXP_1998.csv,IMP_1998.csv")
+Q["ingest_swapped_header"] = _with_refused("IMP_1999.csv")
+Q["states_after_replace"] = with_(FACTS) + (
+    "SELECT year, date, " + ", ".join(
+        ("CAST(sum(CASE WHEN year = 1997 THEN 2 ELSE 1 END * fob_usd) AS BIGINT) AS fob_usd" if m == "fob_usd"
+         else f"{nsum(m, 'BIGINT')} AS {m}") for m in MEASURES) +
+    ", 'exp/1997,imp/1997' AS refreshed FROM facts GROUP BY year, date")
+Q["yearly_growth_from_states"] = Q["yearly_growth_long"]
+Q["deflators_persisted"] = Q["deflate_basedate"]
+Q["category_change_latest"] = _q_category_change(since="make_date((SELECT max(year) FROM facts) - 2, 1, 1)")
+Q["fiscal_from_raw_sheet"] = Q["fiscal_long"]
+Q["quotes_until_last_month"] = (
+    "SELECT date, " + significant("brlusd") + " AS brlusd FROM ("
+    "SELECT CAST(date_trunc('month', d) AS DATE) AS date, (avg(bid) + avg(ask)) / 2 AS brlusd FROM ("
+    "SELECT CAST(o_orderdate AS DATE) + CAST(datediff('day', (SELECT max(CAST(o_orderdate AS DATE)) FROM orders), current_date) "
+    "AS INTEGER) + 45 AS d, o_totalprice / 1e5 AS bid, o_totalprice / 1e5 * 1.01 AS ask FROM orders) q "
+    "WHERE d >= DATE '1997-01-01' AND d < date_trunc('month', current_date) GROUP BY 1) r")
+
 ORACLE_SQL = Q
