@@ -3,6 +3,7 @@
 Each stage gets (spark, docs, sf_dir) and returns a DataFrame; run() writes a
 stage's result as Parquet in the shared folder and reads it back as the next
 stage's documents. All stages but the last return the columns of documents.
+Once a stage's result is written, the copies that the stage made on its way go.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradelake.llm import line_dedup as lines, mixing, packing, simhash, toxicity
-from tradelake.llm.common import staged
+from tradelake.session import release_scratch, scratch_mark, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,5 +58,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        made = scratch_mark()
+        out = stage(spark, docs, sf_dir)
+        out.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        release_scratch(made)
     return docs
