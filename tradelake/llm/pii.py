@@ -5,12 +5,15 @@ recall propose further, overlapping spans. Each candidate is described by small
 features of its format and its context; boosted trees score it, and a candidate is
 redacted if its score reaches the threshold.
 
-There are no labels of personal data, so the trees learn from a strict teacher: a
-candidate counts as positive if a base rule accepts it, or if its format is
-complete and a cue word or an assignment stands before it. All rows take part:
-the training table is the count of candidates by feature values, whose size is bounded by
-the feature grid, not by the data. The threshold is the lowest one that
-reaches ``PRECISION`` on the fold of documents the trees did not see.
+There are no labels of personal data, so weak labellers vote on the added candidates: a cue
+word or an assignment before it, clean edges, and a check of its content that the trees are
+not shown (checksum, impossible numbers, variety of characters). Three votes of the four
+make a positive. The trees see format and context, also what the labellers don't look at (length,
+alphabet, the company of other candidates in the text), and have to infer the hidden check from it. All
+rows take part: the training table is the count of candidates by feature values, whose size is
+bounded by the feature grid, not by the data. Every kind has its own threshold, the lowest one that
+reaches ``PRECISION`` on the fold of documents the trees did not see; a kind that never
+does adds nothing. What a base rule rejected never comes back as a span of its kind.
 
 Only DataFrame and SQL operations on the data; positions are code points.
 
@@ -61,13 +64,27 @@ CUES = ("(?i)tel|phone|fon|call|fax|mobil|mail|contact|correo|courriel",
 FEATURES = (
     ("length", "least(9, length(x) div 5)", 10, "<="),
     ("digits", "cast(floor(4 * length(translate(x, translate(x, '0123456789', ''), '')) / length(x)) as int)", 5, "<="),
-    ("separators", "least(4, length(x) - length(translate(x, ' .-():/', '')))", 5, "<="),
+    # separators, and how many different characters there are
+    ("shape", "least(2, length(x) - length(translate(x, ' .-():/', ''))) * 4 + least(3, size(array_distinct(split(x, ''))) div 6)",
+     12, "="),
     ("alphabet", "case when x rlike '^[0-9a-f]+$' or x rlike '^[0-9A-F]+$' then 1 when x rlike '[a-z]' and x rlike '[A-Z]' "
                  "and x rlike '[0-9]' then 2 when x rlike '[0-9]' then 3 else 0 end", 4, "="),
     ("cue", "case " + " ".join(f"when c rlike r'{p}' then {k + 1}" for k, p in enumerate(CUES)) + " else 0 end", 4, "="),
-    ("assigned", """cast(c rlike r'[:=]\\s*["\\x27]?$' as int)""", 2, "="),
+    # behind an assignment, and how many other candidates the text has
+    ("place", """cast(c rlike r'[:=]\\s*["\\x27]?$' as int) * 3 + least(2, company)""", 6, "="),
     ("glued", "cast(c rlike '[A-Za-z0-9]$' as int) + cast(r rlike '^[A-Za-z0-9]' as int)", 3, "<="),
 )
+#: Check of a candidate's content by generator, for the labellers only.
+CHECKS = {
+    "phone_local": r"x rlike r'^\(?[2-9][0-9]{2}\)?[ .-][2-9]'",
+    "national_id": "not x rlike '^(000|666|9)' and not x rlike '-00-' and not x rlike '-0000$'",
+    "email_spelled": r"x rlike r'(?i)([\[(]dot[\])]|\.)\x20?[a-z]{2,}$'",
+    "ip6": "size(array_distinct(split(x, ':'))) > 2",
+    "iban": "aggregate(split(concat(substr(replace(x, ' ', ''), 5), left(x, 4)), ''), 0, (acc, v) -> case when v = '' then acc "
+            "when v between '0' and '9' then (acc * 10 + cast(v as int)) % 97 else (acc * 100 + ascii(v) - 55) % 97 end) = 1",
+    "secret": "x rlike '[0-9]' and x rlike '[A-Za-z]' and size(array_distinct(split(x, ''))) >= 8",
+}
+VOTES = 3
 GENERATORS = tuple(PATTERNS)
 
 
@@ -115,12 +132,14 @@ def _rule(generator: str) -> str:
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``row`` (the other columns of ``docs``), ``base`` spans and ``cand``: all candidates with features and the teacher's label."""
+    """``row`` (the other columns of ``docs``), ``unseen`` (the text is in the calibration fold), ``base`` spans and ``cand``:
+    all candidates with features and the labellers' verdict."""
     # the input's columns travel in one struct, so that no name of theirs meets a helper's
     own = [f"`{c}`" for c in docs.columns if c != text_col]
     d = docs.selectExpr(f"struct({', '.join(own)}) as row" if own else "named_struct('none', null) as row",
                         f"coalesce(`{text_col}`, '') as __t")
-    d = d.selectExpr("row", *[f"{_matches(g)} as m_{g}" for g in GENERATORS])
+    # copies of a text fall into one fold
+    d = d.selectExpr("row", "pmod(xxhash64(__t), 4) = 0 as unseen", *[f"{_matches(g)} as m_{g}" for g in GENERATORS])
     base, cand = [], []
     for k, g in enumerate(GENERATORS):
         kind = KINDS.index(PATTERNS[g][0])
@@ -130,13 +149,13 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         def of_match(sql):
             return ("transform(array(z), z -> transform(array(z.x), x -> transform(array(z.c), c -> "
                     f"transform(array(z.r), r -> {sql})[0])[0])[0])[0]")
-        feats = ", ".join(f"{of_match(sql)} as {name}" for name, sql, _, _ in FEATURES)
-        whole = ("z.x rlike '[0-9]' and z.x rlike '[A-Za-z]'" if g == "secret" else "true")
-        cue = of_match(f"{FEATURES[4][1]} > 0 or {FEATURES[5][1]} = 1")
-        glued = of_match(FEATURES[6][1])
-        teacher = accepted if g in BASE else f"({whole} and {glued} = 0 and {cue})"
+        company = " + ".join(f"size(m_{o})" for o in GENERATORS) + " - 1"
+        feats = ", ".join(f"{of_match(sql.replace('company', company))} as {name}" for name, sql, _, _ in FEATURES)
+        votes = [f"cast({of_match(sql)} as int)" for sql in (
+            f"{FEATURES[4][1]} > 0", f"{FEATURES[5][1].replace('company', '0')} >= 3", f"{FEATURES[6][1]} = 0", CHECKS.get(g, "false"))]
+        teacher = accepted if g in BASE else f"{' + '.join(votes)} >= {VOTES}"
         cand.append(f"transform(m_{g}, z -> struct({kind} as k, z.s as s, z.e as e, {k} as gen, {feats}, {teacher} as label))")
-    return d.selectExpr("row", f"concat({', '.join(base)}) as base", f"concat({', '.join(cand)}) as cand")
+    return d.selectExpr("row", "unseen", f"concat({', '.join(base)}) as base", f"concat({', '.join(cand)}) as cand")
 
 
 # --- boosted trees on the table of feature counts ---------------------------------
@@ -181,14 +200,20 @@ def _tree_sql(tree) -> str:
 
 
 class Model:
-    """Boosted trees, compiled to SQL, and the threshold on their summed score."""
+    """Boosted trees, compiled to SQL, and the threshold on their summed score: one, or one per kind."""
 
-    def __init__(self, start: float, trees: list, threshold: float):
-        self.start, self.trees, self.threshold = start, trees, threshold
+    def __init__(self, start: float, trees: list, threshold: float | dict[str, float], precision: dict[str, float] | None = None):
+        self.start, self.trees, self.precision = start, trees, precision or {}
+        self.thresholds = threshold if isinstance(threshold, dict) else dict.fromkeys(KINDS, threshold)
 
     def sql(self) -> str:
         return f"({self.start!r}D + " + " + ".join(f"({_tree_sql(t)})" for t in self.trees or [0.0]) + ")"
 
+    def accepts(self) -> str:
+        """SQL condition on a candidate z: one of an added generator whose score reaches its kind's threshold."""
+        cuts = " ".join(f"when z.k = {KINDS.index(k)} then {t!r}D" for k, t in self.thresholds.items() if np.isfinite(t))
+        return f"(z.gen >= {len(BASE)} and coalesce({self.sql()} >= case {cuts} end, false))" if cuts else "false"
+
 
 def boost(x: np.ndarray, n: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, depth: int = DEPTH, rate: float = RATE):
     """(start, trees) for rows of feature values with ``n`` candidates, ``y`` of them positive."""
@@ -211,24 +236,31 @@ def _scaled(tree, rate: float):
 
 
 def fit(found: DataFrame, precision: float = PRECISION) -> Model | None:
-    """Fit trees and threshold on the candidates of ``candidates()``; the fold of unseen
-    documents (a quarter, by hash of their spans) calibrates the threshold."""
+    """Fit trees and thresholds on the added candidates of ``candidates()``; the fold of unseen documents
+    (a quarter, by hash of the text) calibrates a threshold per kind and measures its precision."""
     names = [c for c, _, _ in COLUMNS]
-    fold = F.pmod(F.xxhash64("base", F.transform("cand", lambda z: z["s"])), F.lit(4)) == 0
-    table = (found.select(fold.alias("unseen"), F.explode("cand").alias("z"))
-             .groupBy("unseen", *[F.col(f"z.{c}").alias(c) for c in names])
+    table = (found.select("unseen", F.explode("cand").alias("z")).where(F.col("z.gen") >= len(BASE))
+             .groupBy("unseen", F.col("z.k").alias("kind"), *[F.col(f"z.{c}").alias(c) for c in names])
              .agg(F.count("*").alias("n"), F.sum(F.col("z.label").cast("long")).alias("y"))).toPandas()
     train, test = table[~table["unseen"]], table[table["unseen"]]
     if not len(train):
         return None
     x, n, y = train[names].to_numpy(), train["n"].to_numpy(float), train["y"].to_numpy(float)
     start, trees = boost(x, n, y)
-    judged = test if len(test) else train
-    score = start + sum(_value(t, judged[names].to_numpy()) for t in trees)
-    order = np.argsort(-score, kind="stable")
-    hits, size, s = np.cumsum(judged["y"].to_numpy()[order]), np.cumsum(judged["n"].to_numpy()[order]), score[order]
-    good = [k for k in range(len(s)) if hits[k] >= precision * size[k] and (k + 1 == len(s) or s[k + 1] < s[k])]
-    return Model(start, trees, float(s[good[-1]]) - 1e-9 if good else float("inf"))
+    cuts, reached = {}, {}
+    for k, kind in enumerate(KINDS):
+        judged = test[test["kind"] == k]
+        judged = judged if len(judged) else train[train["kind"] == k]
+        if not len(judged):
+            continue
+        score = start + sum(_value(t, judged[names].to_numpy()) for t in trees)
+        order = np.argsort(-score, kind="stable")
+        hits, size, s = np.cumsum(judged["y"].to_numpy()[order]), np.cumsum(judged["n"].to_numpy()[order]), score[order]
+        good = [j for j in range(len(s)) if hits[j] >= precision * size[j] and (j + 1 == len(s) or s[j + 1] < s[j])]
+        cuts[kind] = float(s[good[-1]]) - 1e-9 if good else float("inf")
+        if good:
+            reached[kind] = float(hits[good[-1]] / size[good[-1]])
+    return Model(start, trees, cuts, reached)
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", precision: float = PRECISION) -> DataFrame:
@@ -237,9 +269,9 @@ def find_pii(docs: DataFrame, text_col: str = "text", precision: float = PRECISI
     model = fit(found, precision)
     keep = [f"row.`{c}` as `{c}`" for c in docs.columns if c != text_col and c.lower() not in ("base", "spans")]
     ordered = "array_sort(base)"
-    if model is None or np.isinf(model.threshold):
+    if model is None or model.accepts() == "false":
         return found.selectExpr(*keep, f"{ordered} as base", f"{ordered} as spans")
-    likely = (f"filter(cand, z -> not exists(base, b -> b.s < z.e and z.s < b.e) and {model.sql()} >= {model.threshold!r}D)")
+    likely = f"filter(cand, z -> not exists(base, b -> b.s < z.e and z.s < b.e) and {model.accepts()})"
     # of overlapping additions the one that starts first stays, the longer of two that start together
     first = (f"aggregate(array_sort(transform({likely}, z -> struct(z.s as s, -z.e as o, z.k as k))), "
              "cast(array() as array<struct<k:int,s:int,e:int>>), (acc, z) -> case when size(acc) > 0 and element_at(acc, -1).e > z.s "
