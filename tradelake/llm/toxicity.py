@@ -1,17 +1,22 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
-Tokens of a clause are read by small transducers and composed left to right:
-
-* insult: a lexicon term, with its weight;
-* threat: first person or modal, then a verb of harm;
-* target: a second or third person near a match raises its weight;
-* negation: scales a match that follows within a few tokens;
-* reported speech: a verb of saying, or an open quotation, scales the rest of the clause.
-
-A document's raw score is the sum over its matched clauses, calibrated to a
-probability. A lexicon term is a pattern by itself and scores its full weight wherever it
-stands, an isolated word too; a target raises it, negation and reported speech lower
-it. A verb of harm alone counts nothing: a threat needs an agent before it.
+The tokens of a clause are read as symbols (term, verb of harm, agent, target,
+negation, verb of saying, quotation mark, other) by small transducers, each a
+table of states:
+
+* threat: how far the last first person or modal reaches; a verb of harm within it is a threat;
+* target: how far the last second or third person reaches, read from the left and from the
+  right; the subject of a verb of saying is no target;
+* negation: how far the last negation reaches;
+* reported speech: whether a verb of saying came, and whether a quotation is open;
+* insult: a lexicon term, with its weight.
+
+The tables are composed into one, whose states carry the outputs of all; a
+clause is run through it once per direction. What scores is a composed
+pattern: a threat, a term with a target, or several terms in a clause. Negation
+and reported speech scale it down. A term by itself is evidence, but no insult
+to anybody: it counts ``BARE`` of its weight. A document's raw score is the sum over its
+matched clauses, calibrated to a probability.
 
 The lexicon is the fixed seed list plus terms learned from labelled rows: words
 and word beginnings that follow many different words in toxic documents and
@@ -19,9 +24,8 @@ hardly any in clean ones. Counting different left neighbours, not occurrences,
 keeps a copied document from turning its own words into terms. Labels are
 only used in fit(); score() sees the text alone.
 
-Fitting uses at most about ``TRAIN_ROWS`` labelled rows, picked by a hash of
-the text, and gathers at most ``MAX_TERMS`` terms; everything else runs over
-all rows.
+Fitting uses ``TRAIN_ROWS`` labelled rows, the first by a hash of their id;
+all terms that they support are gathered. Everything else runs over all rows.
 
 Defined cases: NULL, empty and blank texts match nothing and get the score of
 a text without matches; NULL labels are not used, of several labels for one
@@ -44,7 +48,6 @@ from pyspark.sql import DataFrame, functions as F
 from tradelake.llm.common import free_name, staged
 
 TRAIN_ROWS = 5000
-MAX_TERMS = 3000
 MIN_NEIGHBOURS = 4    # different left neighbours in toxic texts that a term needs
 MIN_LOG_ODDS = 3.0
 PREFIXES = (4, 5, 6)  # lengths of word beginnings that can become terms
@@ -65,6 +68,7 @@ REPORTING = ("said says say claimed claims wrote reported called quoted sagte sc
 SEED_WEIGHT = 3.0
 THREAT_WEIGHT = 4.0
 TARGET_GAIN = 1.25
+BARE = 0.5
 NEGATED = 0.5
 REPORTED = 0.5
 NEGATION_REACH = 3
@@ -74,12 +78,68 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”«»]")
 _CLAUSE_END = re.compile(r"[.!?;\n]")
 
 
+# Symbols that the transducers read.
+OTHER, TERM, HARM_VERB, AGENT, TARGET, NEGATION, REPORT, QUOTE = range(8)
+Table = list[list[int]]  # next state by state and symbol; state 0 is the start
+
+
+def reaching(symbol: int, reach: int, stop: int | None = None) -> Table:
+    """State k: a ``symbol`` was read and reaches k tokens more (0: none); ``stop`` ends it, quotation marks don't count."""
+    def step(state: int, read: int) -> int:
+        if read == symbol:
+            return reach
+        return 0 if read == stop else state if read == QUOTE else max(0, state - 1)
+    return [[step(k, s) for s in range(8)] for k in range(reach + 1)]
+
+
+def staying(symbol: int) -> Table:
+    """State 1 from the first ``symbol`` on."""
+    return [[int(s == symbol) for s in range(8)], [1] * 8]
+
+
+def switching(symbol: int) -> Table:
+    """Every ``symbol`` changes between the states 0 and 1."""
+    return [[int(s == symbol) for s in range(8)], [int(s != symbol) for s in range(8)]]
+
+
+def compose(*tables: Table) -> tuple[Table, list[tuple[bool, ...]]]:
+    """The product of the tables: (its table, per state whether each component is away from its start)."""
+    states, table = [(0,) * len(tables)], []
+    number = {states[0]: 0}
+    for state in states:  # grows while new states are met
+        row = []
+        for s in range(8):
+            then = tuple(t[k][s] for t, k in zip(tables, state))
+            if then not in number:
+                number[then] = len(states)
+                states.append(then)
+            row.append(number[then])
+        table.append(row)
+    return table, [tuple(k > 0 for k in state) for state in states]
+
+
+# outputs: negated, agent before, target before, reported, quoted; and from the right: target behind
+FORWARD = compose(reaching(NEGATION, NEGATION_REACH), reaching(AGENT, TARGET_REACH),
+                  reaching(TARGET, TARGET_REACH, stop=REPORT), staying(REPORT), switching(QUOTE))
+BACKWARD = compose(reaching(TARGET, TARGET_REACH))
+
+
+def outputs(machine: tuple[Table, list[tuple[bool, ...]]], symbols: list[int]) -> list[tuple[bool, ...]]:
+    """The machine's outputs before each symbol."""
+    (table, flags), state, out = machine, 0, []
+    for s in symbols:
+        out.append(flags[state])
+        state = table[state][s]
+    return out
+
+
 @dataclass(frozen=True)
 class Model:
     """Term weights (a term that ends in ``*`` is a word beginning) and the calibration."""
     terms: dict[str, float] = field(default_factory=dict)
     offset: float = -3.0
     slope: float = 3.0
+    bare: float = BARE
 
     def probability(self, raw: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-(self.offset + self.slope * np.log1p(raw))))
@@ -89,6 +149,7 @@ class Grammar:
     """The composed transducers for one model."""
 
     def __init__(self, model: Model):
+        self.bare = model.bare
         self.exact = {t: w for t, w in model.terms.items() if not t.endswith("*")}
         self.starts = {t[:-1]: w for t, w in model.terms.items() if t.endswith("*")}
         self.lengths = sorted({len(t) for t in self.starts}, reverse=True)
@@ -104,23 +165,20 @@ class Grammar:
 
     def clause(self, tokens: list[str]) -> float:
         """Weight of the patterns that one clause matches."""
-        total, negated, reported, quoted, agent = 0.0, 0, False, False, 0
-        for k, t in enumerate(tokens):
-            if t in '"“”«»':
-                quoted = not quoted
-                continue
-            w = self.weight(t)
-            if not w and t in _HARM and agent:
-                w = THREAT_WEIGHT
-            if w:
-                near = tokens[max(0, k - TARGET_REACH):k] + tokens[k + 1:k + 1 + TARGET_REACH]
-                w *= TARGET_GAIN if _TARGETS.intersection(near) else 1.0
-                w *= NEGATED if negated else 1.0
-                w *= REPORTED if reported or quoted else 1.0
-                total += w
-            negated = NEGATION_REACH if t in _NEGATIONS else max(0, negated - 1)
-            agent = TARGET_REACH if t in _AGENTS else max(0, agent - 1)
-            reported = reported or t in _REPORTING
+        weights = [self.weight(t) for t in tokens]
+        symbols = [TERM if w else _SYMBOLS.get(t, OTHER) for t, w in zip(tokens, weights)]
+        before = outputs(FORWARD, symbols)
+        behind = outputs(BACKWARD, symbols[::-1])[::-1]
+        hits = [k for k, s in enumerate(symbols) if s == TERM or s == HARM_VERB and before[k][1]]
+        total = 0.0
+        for k in hits:
+            negated, _, target, reported, quoted = before[k]
+            target = target or behind[k][0]
+            w = weights[k] if symbols[k] == TERM else THREAT_WEIGHT
+            w *= TARGET_GAIN if target else self.bare if symbols[k] == TERM and len(hits) == 1 else 1.0
+            w *= NEGATED if negated else 1.0
+            w *= REPORTED if reported or quoted else 1.0
+            total += w
         return total
 
     def text(self, text: str) -> tuple[float, int]:
@@ -140,7 +198,8 @@ class Grammar:
         return total, matched
 
 
-_HARM, _AGENTS, _TARGETS, _NEGATIONS, _REPORTING = map(frozenset, (HARM, AGENTS, TARGETS, NEGATIONS, REPORTING))
+_SYMBOLS = {t: s for s, tokens in ((REPORT, REPORTING), (NEGATION, NEGATIONS), (TARGET, TARGETS), (AGENT, AGENTS),
+                                   (HARM_VERB, HARM), (QUOTE, '"“”«»')) for t in tokens}
 
 
 def training_labels(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -151,15 +210,13 @@ def training_labels(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def _training_texts(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    n = labels.count()
-    share = F.lit(min(1.0, 0.9 * rows / max(n, 1)))
-    picked = labels.where(F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1_000_000)) < share * 1_000_000).limit(rows)
+    picked = labels.orderBy(F.xxhash64(F.lit("train"), "doc_id"), "doc_id").limit(rows)
     picked = staged(picked, "toxic-labels")  # at most ``rows`` rows: safe to broadcast
     return staged(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
                   .where(F.col("text").isNotNull()), "toxic-train")
 
 
-def learn_terms(train: DataFrame, max_terms: int = MAX_TERMS, min_neighbours: int = MIN_NEIGHBOURS,
+def learn_terms(train: DataFrame, min_neighbours: int = MIN_NEIGHBOURS,
                 min_log_odds: float = MIN_LOG_ODDS) -> dict[str, float]:
     """Terms and weights (log odds of their left neighbours in toxic against clean texts)."""
     pairs = (train.select("toxic", F.expr(r"regexp_extract_all(lower(text), '[\\p{L}\']+', 0)").alias("w"))
@@ -182,11 +239,10 @@ def learn_terms(train: DataFrame, max_terms: int = MAX_TERMS, min_neighbours: in
     gain = (hits * F.log(hits / n / share)
             + F.when(n > hits, (n - hits) * F.log((n - hits) / n / (1.0 - share))).otherwise(0.0))
     odds = (F.log((F.col("pos") + 0.5) / (pos + 1.0)) - F.log((F.col("n") - F.col("pos") + 0.5) / (neg + 1.0)))
-    # best first; at most max_terms rows come to the driver
-    # best first; at most max_terms rows come to the driver
+    # terms of at most train_rows texts that are significant among all that were tried
     top = (counts.withColumn("odds", odds)
            .where((hits >= min_neighbours) & (F.col("odds") >= min_log_odds) & (gain >= F.lit(np.log(100.0 * terms_tried))))
-           .orderBy(F.desc("pos"), "term").limit(max_terms).collect())
+           .collect())
     found = {r["term"]: (r["pos"], r["n"], float(r["odds"])) for r in top}
     return _choose(found, pos, neg, min_neighbours, min_log_odds)
 
@@ -225,17 +281,17 @@ def _calibrate(raw: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return float(b[0]), float(b[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, max_terms: int = MAX_TERMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, bare: float = BARE) -> Model:
     """Learn the lexicon and the calibration from labelled rows (columns doc_id and toxic)."""
     train = _training_texts(docs, labels, train_rows)
-    terms = {t: SEED_WEIGHT for t in INSULTS} | learn_terms(train, max_terms)
-    model = Model(terms)
+    terms = {t: SEED_WEIGHT for t in INSULTS} | learn_terms(train)
+    model = Model(terms, bare=bare)
     seen = score(train, model).select("raw", "toxic").toPandas()  # at most train_rows rows
     toxic = (seen["toxic"].to_numpy() > 0).astype(float)
     if 0 < toxic.sum() < len(toxic):
         offset, slope = _calibrate(seen["raw"].to_numpy(), toxic)
         if slope > 0:
-            return Model(terms, offset, slope)
+            return Model(terms, offset, slope, bare)
     return model
 
 
