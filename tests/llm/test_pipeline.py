@@ -51,3 +51,48 @@ def test_packing_holds_the_mixed_documents(steps):
               .groupBy("doc_id").agg({"share": "sum"}).toDF("doc_id", "n").collect()}
     assert {r.doc_id for r in mixed} == set(pieces)
     assert all(abs(pieces[r.doc_id] - r["count"]) < 1e-6 for r in mixed)
+
+
+def _folder(spark, tmp_path, docs, labels):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_empty_tables_go_through(spark, make_docs, tmp_path):
+    assert cp.run(spark, _folder(spark, tmp_path, make_docs([]), [])).count() == 0
+
+
+def test_nulls_ties_and_clashing_columns_go_through(spark, make_docs, tmp_path):
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, words, "a"), (1, words, "a"), (2, words + " more", None), (None, "no id here " + words[::-1], "b"),
+            (None, "no id here " + words[::-1], "b"), (3, None, "a"), (4, "", None), (5, " \n\t", "b"), (6, "line one\nline two", "c"),
+            (7, "long " * 50_000, "c")]
+    clash = ("id", "th", "gone", "fp", "root", "size", "target", "raw", "score", "n_words", "ids", "sequence_id", "__rid")
+    docs = make_docs(rows, clash=clash)
+    df = cp.run(spark, _folder(spark, tmp_path, docs, [(1, None, None), (None, 1, 1), (2, 0, 0)]))
+    out = df.collect()
+    assert df.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    assert {r.doc_id for r in out} <= {1, 2, 3, 4, 5, 6, 7, None} and {6, 7, None} <= {r.doc_id for r in out}
+    by_sequence = {}
+    for r in out:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    # of the rows without an id that are copies of each other, one stays
+    stage = dict(cp.STAGES)["simhash_dedup"]
+    kept = stage(spark, docs, str(tmp_path)).where("doc_id is null and text like 'no id%'").count()
+    assert kept == 1
+
+
+def test_run_is_its_stages_and_keeps_no_intermediates(spark, steps):
+    from tradelake.session import scratch_mark
+    before = scratch_mark()
+    out = cp.run(spark, SF)
+    assert scratch_mark() == before + len(cp.STAGES)
+    key = lambda df: sorted(map(str, df.select("doc_id", "start", "length", "ids_crc32").collect()))
+    assert key(out) == key(steps[-1][1])

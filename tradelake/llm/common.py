@@ -2,50 +2,34 @@
 
 from __future__ import annotations
 
-import atexit
+import sys
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tradelake.session import scratch_path
+from tradelake.session import materialize, scratch_path
 
 #: ASCII white space between words, as a Java and Python character class.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
-_STAGED: list[tuple[SparkSession, str]] = []
+# functions of this package travel to the workers by value, so that these need not have it installed
+cloudpickle.register_pickle_by_value(sys.modules["tradelake"])
 
 
-def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
     Cuts the lineage with a copy that survives lost executors; later steps
     read only the columns they need and the planner knows the true size. The
-    copies of a process are removed when it ends.
+    copies of a process are removed when it ends, or by ``release_scratch``.
     """
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialize(df, f"llm-{name}", "zstd")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, removed when the process ends."""
-    path = scratch_path(spark, f"llm-{name}")
-    if not _STAGED:
-        atexit.register(remove_staged)
-    _STAGED.append((spark, path))
-    return path
-
-
-def remove_staged() -> None:
-    """Delete the staged copies made by this process (results must be written first)."""
-    while _STAGED:
-        spark, path = _STAGED.pop()
-        try:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the session has ended: nothing left to ask
-            return
+    """A fresh path below the shared folder, removed as staged copies are."""
+    return scratch_path(spark, f"llm-{name}")
 
 
 def words(text: Column) -> Column:

@@ -1,6 +1,6 @@
 """Conversation structure repair: the cheapest edits, as a persistent audit.
 
-A conversation's rows, in order of turn (NULL first, then role and text), are
+A conversation's rows, in order of turn (NULL first; ties by role, then a hash of the text), are
 repaired to the role pattern ``(s?(ua)+)?`` by Keep, Rerole, Delete and
 Insert; of the cheapest edits the one whose initials are least in ASCII is
 the audit. A dynamic program runs over rows and pattern states; the best

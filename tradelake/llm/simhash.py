@@ -175,7 +175,8 @@ def link_fingerprints(prints: DataFrame, radius: int = RADIUS, parts: int = PART
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     radius: int = RADIUS, carry: list[str] | None = None) -> DataFrame:
-    """Per row: ``carry`` columns (the id by default), fp and component_id (smallest id reachable)."""
+    """Per row: ``carry`` columns (the id by default), fp, root (smallest fingerprint of the component, as a
+    signed long) and component_id (smallest id reachable)."""
     carry = carry or [id_col]
     prints = staged(docs.select(*[F.col(f"`{c}`") for c in carry], fingerprints(F.col(f"`{text_col}`"), shingle).alias("fp")),
                     "simhash-prints")
@@ -185,7 +186,7 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = staged(rooted.select("fp", "root", "least"), "simhash-rooted")
     least = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
-    named = staged(rooted.join(least, "root").select("fp", "component_id"), "simhash-named")
+    named = staged(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-named")
     return prints.join(named, "fp")
 
 
@@ -194,9 +195,8 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rid = free_name(docs, "__rid")
     numbered = staged(docs.withColumn(rid, F.monotonically_increasing_id()), "simhash-docs")
     classes = simhash_classes(numbered, id_col, text_col, carry=[id_col, rid], **options)
-    # a component without any id has no component_id: its fingerprint's own rows stand for it
-    key = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")]
+    # by root, not by component_id: a component without any id is one component too
     first = F.min(F.struct(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(rid)))
-    winners = staged(classes.groupBy(*key).agg(first.alias("w")).select(F.col(f"w.{rid}").alias(rid)), "simhash-kept")
+    winners = staged(classes.groupBy("root").agg(first.alias("w")).select(F.col(f"w.{rid}").alias(rid)), "simhash-kept")
     # texts are joined by sorting at every size alike: the winners grow with the corpus
     return numbered.hint("merge").join(winners, rid, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -110,7 +110,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     firsts = staged(rows.where(F.octet_length("payload") >= MIN_REVISIT_BYTES).groupBy("digest")
                     .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"), "warc-firsts")
-    rows = rows.join(firsts, "digest", "left")
+    # joined by sorting at every size alike: the list of repeated payloads grows with the pages
+    rows = rows.hint("merge").join(firsts, "digest", "left")
     rows = rows.withColumn("revisit", F.expr("first_id is not null and not (page_id <=> first_id)"))
     # ids travel as text: pandas would turn a long column with NULLs into doubles
     return staged(rows.select(F.col("page_id").cast("string"), "url", "payload", "digest",
