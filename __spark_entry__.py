@@ -31,7 +31,7 @@ from tradelake.operators.deflators import build_deflators, deflator_report, mont
 from tradelake.operators.deflator_store import persist_deflators, series_state, stored_deflators
 from tradelake.operators.lookups import merge_lookups
 from tradelake.operators.rolling import roll_months, roll_rows
-from tradelake.plans import ingest, publish, reports, states
+from tradelake.plans import ingest, layout, publish, reports, states
 from tradelake.plans.presentation import ordered, stable
 from tradelake.session import scratch_path
 from tradelake.sources.lake import lake_years, open_hs4, open_ncm
@@ -584,6 +584,22 @@ def q_yearly_growth_from_states(spark, d):
     return _stable(reports.yearly_growth_long(reports.yearly_complete(monthly)))
 
 
+def q_country_scan_clustered(spark, d):
+    # the lake clustered over product and country: a country filter skips row groups
+    lake = scratch_path(spark, "lake")
+    layout.cluster(_facts(spark, d), lake, row_group_bytes=1 << 18, distinct={"ncm": 2000, "country_code": 25})
+    return sum_prefixed(open_ncm(spark, lake).where(F.col("country_code").isin(list(PARTNERS))),
+                        by=["country_code", "direction", "year"], prefixes="fob_usd")
+
+
+def q_partner_vs_rest_colocated(spark, d):
+    # facts and product table bucketed alike on the product code: their join moves neither
+    tag = os.path.basename(scratch_path(spark, "bucketed")).replace("-", "_")
+    facts = layout.colocate(_facts(spark, d), f"facts_{tag}", "ncm", 8)
+    products = layout.colocate(_products(spark, d), f"products_{tag}", "co_ncm", 8)
+    return reports.partner_vs_rest(facts, products, CATEGORY, CATEGORY_PARTNER)
+
+
 def q_deflators_persisted(spark, d):
     # written once per state of the series; a state that was never written is not served
     store = scratch_path(spark, "deflators")
@@ -706,6 +722,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_swapped_header": q_ingest_swapped_header,
     "states_after_replace": q_states_after_replace,
     "yearly_growth_from_states": q_yearly_growth_from_states,
+    "country_scan_clustered": q_country_scan_clustered,
+    "partner_vs_rest_colocated": q_partner_vs_rest_colocated,
     "deflators_persisted": q_deflators_persisted,
     "category_change_latest": q_category_change_latest,
     "fiscal_from_raw_sheet": q_fiscal_from_raw_sheet,

@@ -722,6 +722,10 @@ Q["states_after_replace"] = with_(FACTS) + (
          else f"{nsum(m, 'BIGINT')} AS {m}") for m in MEASURES) +
     ", 'exp/1997,imp/1997' AS refreshed FROM facts GROUP BY year, date")
 Q["yearly_growth_from_states"] = Q["yearly_growth_long"]
+Q["country_scan_clustered"] = with_(FACTS) + (
+    "SELECT country_code, direction, year, CAST(sum(fob_usd) AS BIGINT) AS fob_usd FROM facts "
+    "WHERE country_code IN (7, 14, 21) GROUP BY country_code, direction, year")
+Q["partner_vs_rest_colocated"] = Q["partner_vs_rest"]
 Q["deflators_persisted"] = Q["deflate_basedate"]
 Q["category_change_latest"] = _q_category_change(since="make_date((SELECT max(year) FROM facts) - 2, 1, 1)")
 Q["fiscal_from_raw_sheet"] = Q["fiscal_long"]

@@ -19,7 +19,7 @@ import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tradelake.session import delete_path, file_system
 
@@ -97,13 +97,13 @@ def read_version(spark: SparkSession, lake: str, state: Manifest, partitions: It
     return spark.read.schema(schema).option("basePath", lake).parquet(*paths).drop("version")
 
 
-def stage(facts: DataFrame, lake: str, sort_by: Sequence[str] = ("ncm", "month"), observe: dict | None = None,
-          drop: Sequence[str] = (), version: str | None = None) -> Staged:
-    """Write ``facts`` under a fresh version. ``observe`` names aggregates taken while writing
-    (over the columns of ``facts``, also those in ``drop``, which are not stored)."""
+def stage(facts: DataFrame, lake: str, sort_by: Sequence[str | Column] = ("ncm", "month"), observe: dict | None = None,
+          drop: Sequence[str] = (), options: dict | None = None) -> Staged:
+    """Write ``facts`` under a fresh version, sorted within files. ``observe`` names aggregates taken while
+    writing (over the columns of ``facts``, also those in ``drop``, which are not stored); ``options`` go to the writer."""
     spark = facts.sparkSession
     base = manifest(spark, lake) or Manifest(0)
-    version = version or uuid.uuid4().hex
+    version = uuid.uuid4().hex
     seen = None
     if observe:
         seen = Observation(f"stage-{version}")
@@ -114,8 +114,8 @@ def stage(facts: DataFrame, lake: str, sort_by: Sequence[str] = ("ncm", "month")
     body = facts.select(*cols, *keys)
     try:
         (body.hint("rebalance", *KEYS)
-             .sortWithinPartitions(*KEYS, *[c for c in sort_by if c in cols])
-             .write.mode("append").partitionBy(*keys).parquet(lake))
+             .sortWithinPartitions(*KEYS, *[c for c in sort_by if isinstance(c, Column) or c in cols])
+             .write.mode("append").options(**(options or {})).partitionBy(*keys).parquet(lake))
     except Exception:
         discard(spark, lake, version)
         raise
