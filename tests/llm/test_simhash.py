@@ -5,7 +5,7 @@ import re
 import xxhash
 
 from tradelake.llm.queries import op7_simhash
-from tradelake.llm.simhash import fingerprint, link_fingerprints, simhash_classes, simhash_dedup
+from tradelake.llm.simhash import fingerprint, link_fingerprints, parts_for, simhash_classes, simhash_dedup
 
 
 def slow(text):
@@ -64,6 +64,31 @@ def test_components_match_all_pairs(spark):
         assert {f: find(f) for f in fps} == roots(fps, 2)
 
 
+def test_finer_tiles_find_the_same_links(spark):
+    rng = random.Random(6)
+    fps = [rng.getrandbits(64) for _ in range(30)]
+    for _ in range(120):
+        f = rng.choice(fps)
+        for _ in range(rng.randint(1, 2)):
+            f ^= 1 << rng.randrange(64)
+        fps.append(f)
+    fps = sorted(set(fps))
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp bigint")
+    want = roots(fps, 2)
+    for parts, block_rows in ((8, 4096), (8, 3), (4, 5)):
+        root = {f: f for f in fps}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        for a, b in link_fingerprints(df, parts=parts, block_rows=block_rows).collect():
+            x, y = find(a % (1 << 64)), find(b % (1 << 64))
+            root[max(x, y)] = min(x, y)
+        assert {f: find(f) for f in fps} == want
+    assert [parts_for(n) for n in (0, 10 ** 6, 10 ** 7, 10 ** 12)] == [4, 4, 8, 8]
+
+
 def test_query_matches_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()

@@ -2,12 +2,13 @@
 
 Every text gets a 64-bit fingerprint; distinct fingerprints are compared
 exactly, exclusive-or and bit count in numpy, tile against tile. A tile holds
-fingerprints with the same population counts of the four 16-bit quarters.
+fingerprints with the same population counts of their parts (four of 16 bits, or eight of
+8 bits where there are so many fingerprints that the former would fill several blocks).
 Flipping a bit changes one of these counts by one, so two tiles whose counts differ
 by more than the radius in sum hold no link and are skipped. Large tiles
-are cut into blocks of at most about ``block_rows`` rows, and a task sees one
-pair of blocks at a time, so neither a popular tile nor a large group of
-copies gathers in one task. A pair of blocks returns a spanning forest of its
+are cut into blocks of at most about ``block_rows`` rows; a block travels as one
+row, once to each block it is compared with, and a task sees one pair of blocks at a time, so
+neither a popular tile nor a large group of copies gathers in one task. A pair of blocks returns a spanning forest of its
 links (each row and the local component's smallest fingerprint), never all
 pairs; the components of the whole are found by Spark jobs.
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import product
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,7 @@ from tradelake.llm.components import connected_components
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-PARTS = 4          # quarters of the fingerprint whose population counts name a tile
+PARTS = (4, 8)     # into how many parts a fingerprint may be cut, whose population counts name a tile
 BLOCK_ROWS = 4096
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -112,63 +114,72 @@ def _compare(radius: int):
     def forests(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         if not len(rows):
             return
-        pair, fp, guest = rows["pair"].to_numpy(), rows["fp"].to_numpy().view(np.uint64), rows["guest"].to_numpy()
+        pair, guest, fps = rows["pair"].to_numpy(), rows["guest"].to_numpy(), rows["fps"].to_numpy()
         cut = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1], True])
         found = []
         for i, j in zip(cut[:-1], cut[1:]):
-            g = guest[i:j]
-            home, other = fp[i:j][g == 0], fp[i:j][g == 1]
-            if (g == 2).all():
-                home = other = fp[i:j]
-            if len(home) and len(other) and not (len(home) == 1 and other is home):
-                found.append(_forest(home, other, radius))
+            side = {int(g): np.asarray(f, np.int64).view(np.uint64) for g, f in zip(guest[i:j], fps[i:j])}
+            if 2 in side and len(side[2]) > 1:
+                found.append(_forest(side[2], side[2], radius))
+            if 0 in side and 1 in side:
+                found.append(_forest(side[0], side[1], radius))
         if found:
             yield pd.DataFrame({"a": np.concatenate([x for x, _ in found]).view(np.int64),
                                 "b": np.concatenate([y for _, y in found]).view(np.int64)})
     return run
 
 
+def parts_for(n: int, block_rows: int = BLOCK_ROWS) -> int:
+    """The fewest parts with which the fullest tile of ``n`` random fingerprints fits a block; at most the last of ``PARTS``."""
+    for parts in PARTS:
+        width = 64 // parts
+        if n * (comb(width, width // 2) / 2 ** width) ** parts <= block_rows:
+            return parts
+    return PARTS[-1]
+
+
 def _neighbours(parts: int, radius: int) -> list[tuple[int, ...]]:
     """Differences of population counts within the radius, one of each opposite two, without zero."""
     steps = [s for s in product(range(-radius, radius + 1), repeat=parts) if 0 < sum(map(abs, s)) <= radius]
     return [s for s in steps if s > tuple(-x for x in s)]
 
 
-def link_fingerprints(prints: DataFrame, radius: int = RADIUS, parts: int = PARTS,
+def link_fingerprints(prints: DataFrame, radius: int = RADIUS, parts: int | None = None,
                       block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Spanning links (a, b) among the distinct longs in column ``fp``."""
+    parts = parts or parts_for(prints.count(), block_rows)
     width = 64 // parts
     mask = (1 << width) - 1
-    counts = [f"bit_count(shiftrightunsigned(fp, {64 - width * (k + 1)}) & {mask}L)" for k in range(parts)]
-    tile = " + ".join(f"{c} * {(width + 1) ** (parts - 1 - k)}L" for k, c in enumerate(counts))
-    tiled = staged(prints.selectExpr("fp", f"array({', '.join(counts)}) as pc", f"{tile} as tile"), "simhash-tiles")
-    # one row per tile: at most (width + 1) ** parts rows, whatever the data
-    sizes = (tiled.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks")))
-    sizes = staged(sizes, "simhash-sizes")
-    rows = (tiled.join(F.broadcast(sizes), "tile")
-            .withColumn("block", F.expr("cast(pmod(xxhash64(fp), blocks) as int)")))
-    # inside a tile: a row meets its own block (role 2) and the other blocks of the tile
-    own = rows.selectExpr("fp", "tile as t1", "tile as t2", "block", "blocks",
-                          "explode(sequence(0, blocks - 1)) as other")
-    own = own.selectExpr("fp", "t1", "t2", "least(block, other) as b1", "greatest(block, other) as b2",
-                         "case when block = other then 2 when block < other then 0 else 1 end as guest")
-    # tiles within the radius: home rows go to every block of the guest tile and the other way round
     place = [(width + 1) ** (parts - 1 - k) for k in range(parts)]
+    tile = " + ".join(f"bit_count(shiftrightunsigned(fp, {64 - width * (k + 1)}) & {mask}L) * {place[k]}L" for k in range(parts))
+    tiled = staged(prints.selectExpr("fp", f"{tile} as tile"), "simhash-tiles")
+    sizes = staged(tiled.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks")), "simhash-sizes")
+    # a block is one row from here on
+    units = staged(tiled.join(sizes, "tile").withColumn("block", F.expr("cast(pmod(xxhash64(fp), blocks) as int)"))
+                   .groupBy("tile", "block", "blocks").agg(F.collect_list("fp").alias("fps")), "simhash-blocks")
+    # inside a tile: a block meets itself (role 2) and the other blocks of the tile
+    own = units.selectExpr("fps", "tile as t1", "tile as t2", "block", "explode(sequence(0, blocks - 1)) as other")
+    own = own.selectExpr("fps", "t1", "t2", "least(block, other) as b1", "greatest(block, other) as b2",
+                         "case when block = other then 2 when block < other then 0 else 1 end as guest")
+    # tiles within the radius: a block goes as home to every block of the guest tile, and the other way round
     steps = _neighbours(parts, radius)
-    inside = lambda s, sign: " and ".join(f"pc[{k}] + {sign * x} between 0 and {width}" for k, x in enumerate(s) if x)
+    count = lambda k: f"tile div {place[k]}L % {width + 1}"
+    inside = lambda s, sign: " and ".join(f"{count(k)} + {sign * x} between 0 and {width}" for k, x in enumerate(s) if x)
     far = lambda s: sum(x * p for x, p in zip(s, place))
     as_home = ", ".join(f"case when {inside(s, 1)} then tile + {far(s)}L end" for s in steps)
     as_guest = ", ".join(f"case when {inside(s, -1)} then tile - {far(s)}L end" for s in steps)
-    there = F.broadcast(sizes.selectExpr("tile as o", "blocks as n"))
-    home = (rows.selectExpr("fp", "tile", "block", f"explode(filter(array({as_home}), x -> x is not null)) as o")
-            .join(there, "o").selectExpr("fp", "tile as t1", "o as t2", "block as b1",
+    there = sizes.selectExpr("tile as o", "blocks as n")
+    home = (units.selectExpr("tile", "block", f"explode(filter(array({as_home}), x -> x is not null)) as o")
+            .join(there, "o").selectExpr("tile", "block", "tile as t1", "o as t2", "block as b1",
                                          "explode(sequence(0, n - 1)) as b2", "0 as guest"))
-    guest = (rows.selectExpr("fp", "tile", "block", f"explode(filter(array({as_guest}), x -> x is not null)) as o")
-             .join(there, "o").selectExpr("fp", "o as t1", "tile as t2",
+    guest = (units.selectExpr("tile", "block", f"explode(filter(array({as_guest}), x -> x is not null)) as o")
+             .join(there, "o").selectExpr("tile", "block", "o as t1", "tile as t2",
                                           "explode(sequence(0, n - 1)) as b1", "block as b2", "1 as guest"))
-    cols = ["fp", "t1", "t2", "b1", "b2", "guest"]
-    pairs = own.select(*cols).union(home.select(*cols)).union(guest.select(*cols))
-    pairs = pairs.selectExpr("fp", "guest", "concat_ws(':', t1, t2, b1, b2) as pair")
+    # the blocks themselves join the list of their meetings last
+    met = home.union(guest.select(*home.columns)).join(units.select("tile", "block", "fps"), ["tile", "block"])
+    cols = ["fps", "t1", "t2", "b1", "b2", "guest"]
+    pairs = own.select(*cols).union(met.select(*cols))
+    pairs = pairs.selectExpr("fps", "guest", "concat_ws(':', t1, t2, b1, b2) as pair")
     return (pairs.repartition("pair").sortWithinPartitions("pair")
             .mapInPandas(_compare(radius), "a long, b long"))
 
