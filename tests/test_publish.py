@@ -20,8 +20,8 @@ WHOLE = {(2023, "imp"): 1000, (2023, "exp"): 1000, (2024, "imp"): 2000}
 
 
 def _names(spark, lake):
-    fs, path = file_system(spark, f"{lake}/year=*/direction=*/version=*")
-    return {s.getPath().getName() for s in fs.globStatus(path) or []}
+    fs, path = file_system(spark, f"{lake}/version=*/year=*/direction=*")
+    return {s.getPath().toString() for s in fs.globStatus(path) or []}
 
 
 def test_staged_rows_are_invisible_until_the_switch(spark):
@@ -84,6 +84,8 @@ def test_vacuum_keeps_what_the_newest_manifests_name(spark):
     assert _sums(open_ncm(spark, lake, manifest=2)) == {**WHOLE, (2024, "imp"): 4000}
     assert publish.vacuum(spark, lake) == 1
     assert _sums(spark.read.parquet(lake)) == {**WHOLE, (2024, "imp"): 6000}
+    fs, path = file_system(spark, f"{lake}/version=*")
+    assert len(fs.globStatus(path)) == 2  # of the first and of the third publication
     with pytest.raises(ValueError):
         open_ncm(spark, lake, manifest=2)
     with pytest.raises(ValueError):

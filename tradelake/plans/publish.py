@@ -1,7 +1,7 @@
 """Atomic publication of the lake: staged versions and a manifest switch.
 
-Data lie in ``year=/direction=/version=`` folders. A publication writes its
-partitions under a fresh version, which no reader sees; after the checks a
+Data lie in ``version=/year=/direction=`` folders. A publication writes its
+partitions into a version folder of its own, which no reader sees and no other writer touches; after the checks a
 manifest names, for every partition, the version that counts. Manifests are
 numbered files, created under their final name only if nobody else has taken
 the number, so a publication becomes visible as a whole or not at all, two
@@ -25,7 +25,7 @@ from tradelake.session import delete_path, file_system
 
 KEYS = ("year", "direction")
 _MANIFEST = re.compile(r"([0-9]{20})\.json$")
-_FOLDER = re.compile(r"/year=([^/]+)/direction=([^/]+)/version=([^/]+)/?$")
+_FOLDER = re.compile(r"/version=([^/]+)/year=([^/]+)/direction=([^/]+)/?$")
 Partition = tuple[int, str]
 
 
@@ -56,7 +56,11 @@ class Staged:
 
 
 def folder(lake: str, partition: Partition, version: str) -> str:
-    return f"{lake.rstrip('/')}/year={partition[0]}/direction={partition[1]}/version={version}"
+    return f"{version_folder(lake, version)}/year={partition[0]}/direction={partition[1]}"
+
+
+def version_folder(lake: str, version: str) -> str:
+    return f"{lake.rstrip('/')}/version={version}"
 
 
 def _manifests(spark: SparkSession, lake: str) -> list[tuple[int, object]]:
@@ -108,14 +112,13 @@ def stage(facts: DataFrame, lake: str, sort_by: Sequence[str | Column] = ("ncm",
     if observe:
         seen = Observation(f"stage-{version}")
         facts = facts.observe(seen, *[e.alias(n) for n, e in observe.items()])
-    facts = facts.drop(*drop).withColumn("version", F.lit(version))
-    keys = [*KEYS, "version"]
-    cols = [c for c in facts.columns if c not in keys]
-    body = facts.select(*cols, *keys)
+    facts = facts.drop(*drop)
+    cols = [c for c in facts.columns if c not in KEYS]
+    body = facts.select(*cols, *KEYS)
     try:
         (body.hint("rebalance", *KEYS)
              .sortWithinPartitions(*KEYS, *[c for c in sort_by if isinstance(c, Column) or c in cols])
-             .write.mode("append").options(**(options or {})).partitionBy(*keys).parquet(lake))
+             .write.options(**(options or {})).partitionBy(*KEYS).parquet(version_folder(lake, version)))
     except Exception:
         discard(spark, lake, version)
         raise
@@ -171,22 +174,25 @@ def commit(spark: SparkSession, staged: Staged, partitions: Iterable[Partition]
 
 
 def _folders(spark: SparkSession, lake: str) -> list[tuple[Partition, str]]:
-    fs, path = file_system(spark, f"{lake.rstrip('/')}/year=*/direction=*/version=*")
+    fs, path = file_system(spark, f"{lake.rstrip('/')}/version=*/year=*/direction=*")
     hits = [_FOLDER.search(s.getPath().toString()) for s in fs.globStatus(path) or []]
-    return [((int(h[1]) if h[1].isdigit() else h[1], h[2]), h[3]) for h in hits if h]
+    return [((int(h[2]) if h[2].isdigit() else h[2], h[3]), h[1]) for h in hits if h]
+
+
+def _versions(spark: SparkSession, lake: str) -> list[str]:
+    fs, path = file_system(spark, f"{lake.rstrip('/')}/version=*")
+    return [s.getPath().getName().split("=", 1)[1] for s in fs.globStatus(path) or []]
 
 
 def discard(spark: SparkSession, lake: str, version: str) -> None:
-    """Delete a version that was not committed, and the lake itself if nothing else was ever published there."""
-    for p, v in _folders(spark, lake):
-        if v == version:
-            delete_path(spark, folder(lake, p, v))
-    if not _manifests(spark, lake) and not _folders(spark, lake):
+    """Delete a version that was not committed, and the lake itself if nothing else was ever published or staged there."""
+    delete_path(spark, version_folder(lake, version))
+    if not _manifests(spark, lake) and not _versions(spark, lake):
         delete_path(spark, lake)
 
 
 def vacuum(spark: SparkSession, lake: str, keep: int = 1) -> int:
-    """Delete the versions that none of the newest ``keep`` manifests names, then older manifests; returns how many versions.
+    """Delete the partitions that none of the newest ``keep`` manifests names, and older manifests; returns how many partitions.
 
     Run it while nobody publishes: a version being staged is not named yet.
     """
@@ -200,6 +206,8 @@ def vacuum(spark: SparkSession, lake: str, keep: int = 1) -> int:
     gone = [x for x in _folders(spark, lake) if x not in named]
     for p, v in gone:
         delete_path(spark, folder(lake, p, v))
+    for v in set(_versions(spark, lake)) - {v for _, v in named}:
+        delete_path(spark, version_folder(lake, v))
     return len(gone)
 
 
