@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 
 from tradelake.llm.queries import N_SHARDS, op6_sharding
-from tradelake.llm.sharding import _number, assign_shards, fill_table
+from tradelake.llm.sharding import _number, assign_shards, fill_table, write_shards
 
 
 def brute_table(shards, m):
@@ -62,3 +62,13 @@ def test_defined_cases(make_docs):
     assert len({r.shard for r in rows if r.doc_id is None}) == 3  # rows without a key spread
     assert len({r.shard for r in rows if r.doc_id == 1}) == 1
     assert out.columns.count("slot") == 1 and assign_shards(make_docs([]), ["doc_id"], names, 251).count() == 0
+
+
+def test_written_shards_hold_what_was_assigned(spark, make_docs, tmp_path):
+    names = ["a", "b", "c"]
+    docs = make_docs([(k, f"text {k}") for k in range(200)])
+    placed = assign_shards(docs, ["doc_id"], names, 251)
+    write_shards(placed, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    key = lambda df: sorted(tuple(r) for r in df.select("doc_id", "text", "slot", "shard").collect())
+    assert key(back) == key(placed) and {p.name for p in (tmp_path / "shards").glob("shard=*")} == {f"shard={n}" for n in names}
