@@ -595,8 +595,10 @@ def q_country_scan_clustered(spark, d):
 def q_partner_vs_rest_colocated(spark, d):
     # facts and product table bucketed alike on the product code: their join moves neither
     tag = os.path.basename(scratch_path(spark, "bucketed")).replace("-", "_")
-    facts = layout.colocate(_facts(spark, d), f"facts_{tag}", "ncm", 8)
-    products = layout.colocate(_products(spark, d), f"products_{tag}", "co_ncm", 8)
+    facts, products = _facts(spark, d), _products(spark, d)
+    buckets = layout.bucket_count(facts, products)
+    facts = layout.colocate(facts, f"facts_{tag}", "ncm", buckets)
+    products = layout.colocate(products, f"products_{tag}", "co_ncm", buckets)
     return reports.partner_vs_rest(facts, products, CATEGORY, CATEGORY_PARTNER)
 
 

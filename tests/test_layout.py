@@ -95,3 +95,34 @@ def test_colocated_join_moves_neither_side(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.sql(f"DROP TABLE f_{tag}")
         spark.sql(f"DROP TABLE p_{tag}")
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    # the share of a task must not grow with the tables: twice the rows take twice the buckets
+    import __spark_entry__ as E
+
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 250)
+    for n in (4000, 8000):
+        d = f"{tmp_path}/{n}"
+        spark.range(n).selectExpr("id AS l_orderkey", "CAST(id % 7 AS INT) AS l_linenumber", "id % 997 AS l_partkey",
+                                  "id % 50 AS l_suppkey", "DOUBLE(id % 40) AS l_quantity", "DOUBLE(id) AS l_extendedprice",
+                                  "0.04D AS l_discount", "0.02D AS l_tax", "if(id % 2 = 0, 'F', 'O') AS l_linestatus",
+                                  "date_add(DATE'1995-01-01', CAST(id % 900 AS INT)) AS l_shipdate"
+                                  ).write.parquet(f"{d}/lineitem.parquet")
+        spark.range(50).selectExpr("id AS s_suppkey", "id % 25 AS s_nationkey").write.parquet(f"{d}/supplier.parquet")
+        spark.range(997).selectExpr("id AS p_partkey", "CAST(id % 50 AS INT) AS p_size", "concat('part ', id) AS p_name",
+                                    "if(id % 3 = 0, 'LARGE TIN', 'SMALL TIN') AS p_type").write.parquet(f"{d}/part.parquet")
+        before = {t.name for t in spark.catalog.listTables()}
+        got = E.q_partner_vs_rest_colocated(spark, d).collect()
+        made = sorted({t.name for t in spark.catalog.listTables()} - before)
+        try:
+            assert got and sorted(map(str, got)) == sorted(map(str, E.q_partner_vs_rest(spark, d).collect()))
+            for t in made:
+                told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {t}").collect()}
+                assert int(told["Num Buckets"]) == n // 250
+            assert [t.split("_")[0] for t in made] == ["facts", "products"]
+            most = spark.table(made[0]).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+            assert most < 2 * 250
+        finally:
+            for t in made:
+                spark.sql(f"DROP TABLE {t}")

@@ -18,6 +18,8 @@ from tradelake.plans import publish
 from tradelake.session import scratch_path
 
 BITS = 8
+#: Rows of a bucket: some 70 MB of trade facts as they are dealt to the tasks.
+BUCKET_ROWS = 1 << 20
 
 
 def code_ranges(facts: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, int]]:
@@ -66,13 +68,18 @@ def cluster(facts: DataFrame, lake: str, by: Sequence[str] = ("ncm", "country_co
         raise
 
 
+def bucket_count(*tables: DataFrame, rows: int | None = None, least: int = 8) -> int:
+    """Buckets for tables that are kept alike: the longest has about ``rows`` rows in each, however many rows there are."""
+    return max(least, -(-max(t.count() for t in tables) // (rows or BUCKET_ROWS)))
+
+
 def colocate(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None,
              partition_by: Sequence[str] = ()) -> DataFrame:
     """Keep ``df`` as a catalog table bucketed and sorted by ``key``, its files at ``path``; returns the table.
 
     Two tables with the same number of buckets on the key they are joined by
     need no exchange. A bucket is one task's share of the key's hash range: choose
-    ``buckets`` so that the largest fits one; a key that alone is too large
+    ``buckets`` so that the largest fits one (``bucket_count``); a key that alone is too large
     for a task belongs into a plain join, whose skew is split at run time.
     """
     path = path or scratch_path(df.sparkSession, "bucketed")
