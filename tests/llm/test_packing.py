@@ -34,6 +34,22 @@ def test_units_give_the_tokenizers_ids(tokenizer, ranks):
         assert np.frombuffer(K.token_bytes(t, units), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_plain_texts_are_looked_up_whole(tokenizer):
+    # one call for a text, not one for every word that was not met before
+    units, calls = K._Units(JSON, RANKS), []
+    whole = units.whole
+    units.whole = lambda text: calls.append(text) or whole(text)
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeéñ'1.,<|") for _ in range(rng.randint(1, 9))).replace("<|", "<") for _ in range(400)]
+    plain = "  ".join(words[:100]) + " \n" + " ".join(words[100:]) + " "
+    for text in (plain, plain + "\t日本 <|endoftext|>"):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(K.token_bytes(text, units), "<u4").tolist() == want
+        if text == plain:
+            assert calls == [plain] and not units
+    assert len(units) > 300  # a text with other characters goes by its words
+
+
 def plain_differencing(sizes, m):
     """Partitions as lists of (sum, items), merged largest spread first."""
     parts = [(k, [(s, [k])] + [(0, []) for _ in range(m - 1)]) for k, s in enumerate(sizes)]
