@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from tradelake.llm import line_dedup as L
 from tradelake.llm.line_dedup import line_dedup
 
 
@@ -110,3 +111,16 @@ def test_query_and_pipeline_remove_short_copies(spark, make_docs, monkeypatch):
     assert {r.doc_id: (r.text, r.n_removed) for r in queries.op1_line_dedup(spark, "").collect()} == {
         1: ("one two\nthree", 0), 2: ("four", 1), 3: ("", 1)}
     assert {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, docs, "").collect()} == {1: "one two\nthree", 2: "four"}
+
+
+def test_words_of_a_line_are_made_once(spark):
+    # a filter on the joined words would make them once more for every use in it
+    chars = " \t\n\x0b\x0c\r"
+    texts = [None, "", f"{chars}\n \n a\tb  c \r\n\x0b\x0c\n", "é é “x” — y", "日本 x\n“日”", "ก\u0e00 \u07ff ｦ\U00020000 z", "\xa0\n\u2003"]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "id long, th long, text string")
+    lines = L._lines(docs, "id", "th")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_join") == 1
+    got = {(r.id, r.no): (r.l, r.n) for r in lines.collect()}
+    assert got == {(2, 3): ("a b c", 3), (3, 0): ("é é “x” — y", 5), (4, 0): ("日 本 x", 3), (4, 1): ("“ 日 ”", 3),
+                   (5, 0): ("ก \u0e00 \u07ff ｦ \U00020000 z", 6), (6, 0): ("\xa0", 1), (6, 1): ("\u2003", 1)}

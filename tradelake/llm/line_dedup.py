@@ -38,7 +38,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradelake.llm.common import SPACE_CLASS, staged, words
+from tradelake.llm.common import SPACE_CHARS, SPACE_CLASS, staged, words
 
 MIN_WORDS = 8
 #: Characters of scripts that put no spaces between words (Thai, Lao, Tibetan, Myanmar, Khmer, Han, kana).
@@ -61,8 +61,8 @@ def within_one_edit(a: str, b: str) -> str:
 
 def _text_lines(text: str = "text") -> str:
     """SQL: the lines of a text, with spaces around the characters that are words of their own."""
-    # such characters take three bytes or more: plain texts need no search for them
-    return (f"split(case when octet_length({text}) > length({text}) + 1 and {text} rlike r'{UNSPACED}' "
+    # such characters take three bytes or more: texts without any need no search for them
+    return (rf"split(case when octet_length({text}) > length({text}) + 1 and {text} rlike r'[^\x00-\x{{7ff}}]' and {text} rlike r'{UNSPACED}' "
             rf"then regexp_replace({text}, r'({UNSPACED})', ' $1 ') else {text} end, '\n', -1)")
 
 
@@ -77,7 +77,8 @@ def _lines(docs: DataFrame, *carry: str, where: str = "true") -> DataFrame:
     """(carry, no, l, n): the lines that have words, as words joined by a space, and how many words."""
     # an outer explode, as an inner one would be preceded by a filter that splits every text once more
     rows = docs.select(*carry, F.expr(f"posexplode_outer({_text_lines()}) as (no, line)")).where(where)
-    rows = rows.select(*carry, "no", _joined("line").alias("l")).where("l <> ''")
+    # blank lines are told by the line itself: a filter on l would have the words made once more for itself
+    rows = rows.where(F.ltrim(F.col("line"), F.lit(SPACE_CHARS)) != "").select(*carry, "no", _joined("line").alias("l"))
     return rows.selectExpr(*carry, "no", "l", "octet_length(l) - octet_length(replace(l, ' ', '')) + 1 as n")
 
 
@@ -106,7 +107,8 @@ def find_copies(docs: DataFrame, min_words: int = MIN_WORDS, short: bool = False
     ends = min_words // 2
     # lines too short for variants have no ends
     end = lambda side, k: F.expr(f"case when n >= {min_words} then xxhash64('{side}', substring_index(l, ' ', {k})) end")
-    occ = staged(_lines(docs, "id", "th").where(f"n >= {1 if short else min_words}").select(
+    places = _lines(docs, "id", "th")
+    occ = staged((places if short else places.where(f"n >= {min_words}")).select(
         "id", "th", "no", *_hashes(), end("first", ends).alias("k1"), end("last", -ends).alias("k2")), "line-places")
 
     # distinct lines, each with its earliest place
