@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,76 @@ def test_plain_texts_are_looked_up_whole(tokenizer):
     assert len(units) > 300  # a text with other characters goes by its words
 
 
+ODDS = list("abzé'×÷ſ.,!<|>09 \n\t\r\x0b\x0c\x1c\x1f\x7f\x85\xa0\xad\u1680\u2028　ßéıſ日½́") + [
+    "<|endoftext|>", "  ", " \n", "'s", "'ll", " word", "ing", "é ", " é", "😀", "\n\n"]
+
+
+@pytest.mark.parametrize("ranks", [RANKS, None])
+def test_texts_together_give_the_tokenizers_ids(tokenizer, ranks):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(ODDS[:k]) for _ in range(rng.randint(0, 40))) for k in (8, 18, len(ODDS)) for _ in range(1500)]
+    texts += TEXTS + ["lé  " * 900, "q" * 700 + " é" * 50, "", "\n"]
+    rng.shuffle(texts)
+    units = K._Units(JSON, ranks)
+    for some in (texts, texts[:1], ["", ""], [], [" "], ["<|endoftext|>"]):
+        got = K.encode_texts(some, units)
+        assert len(got) == len(some)
+        for t, ids in zip(some, got):
+            assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    assert max(map(len, units)) <= K.CACHED_CHARS or not ranks
+
+
+def test_strange_bytes_are_those_of_odd_characters():
+    for c in map(chr, [*range(0xd800), *range(0xe000, 0x11000)]):
+        assert bool(K._ODD(c)) == bool(K._STRANGE[list(c.encode())].any()), repr(c)
+
+
+def test_any_character_may_stand_beside_white_space(tokenizer):
+    texts = [f"a{c}  b{c} {c}.{c}\n{c}" for c in map(chr, [*range(0xd800), *range(0xe000, 0x10000), 0x1f600])]
+    got = K.encode_texts(texts, K._Units(JSON, RANKS))
+    for t, ids, want in zip(texts, got, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids, repr(t)
+
+
+def test_a_word_of_many_texts_is_encoded_once(tokenizer, monkeypatch):
+    class Counted(K._Units):
+        chars = 0
+
+        def __init__(self, *paths):
+            super().__init__(*paths)
+            whole, fast = self.whole, self.fast
+            self.whole = lambda text: self.count(text) or whole(text)
+            self.fast = lambda text: self.count(text) or fast(text)
+
+        def count(self, text):
+            Counted.chars += len(text)
+
+    monkeypatch.setattr(K, "_Units", Counted)
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeéñ") for _ in range(rng.randint(1, 9))) for _ in range(50)]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", "", ",", ".\n"]) for _ in range(200)) for _ in range(40)]
+    docs = pd.DataFrame({"doc_id": [str(i) for i in range(42)], "text": [*texts, None, ""]})
+    pieces = pd.concat(K._tokenize(JSON, RANKS, 2048, 512, 1)(iter([docs])))
+    for i, t in zip(docs["doc_id"], docs["text"]):
+        own = np.frombuffer(b"".join(pieces["ids"][pieces["doc_id"] == i]), "<u4").tolist()
+        assert own == tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+    assert 0 < Counted.chars < sum(map(len, texts)) // 10
+
+
+def test_long_texts_are_cut_and_keep_their_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(K, "ENCODED_CHARS", 10)
+    seen, one = [], K.encode_texts
+    monkeypatch.setattr(K, "encode_texts", lambda texts, units: seen.append(texts) or one(texts, units))
+    rng = random.Random(6)
+    texts = ["", "abc", "defgh", "ijk", "", "x" * 50, "y", "日本 " * 9, "a <|endoftext|> b" * 5, "it's  a\n b  \t c " * 9]
+    texts += ["".join(rng.choice(ODDS) for _ in range(rng.randint(0, 80))) for _ in range(500)]
+    got = list(K._encoded(texts, K._Units(JSON, RANKS)))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "".join(t for some in seen for t in some) == "".join(texts)
+    assert all(sum(map(len, some)) <= 10 or len(some) == 1 for some in seen) and len(max(seen[:-1], key=len)) > 2
+    assert list(K._parts("ab cd ef gh ij kl mn")) == ["ab cd ef gh", " ij kl mn"]
+
+
 def plain_differencing(sizes, m):
     """Partitions as lists of (sum, items), merged largest spread first."""
     parts = [(k, [(s, [k])] + [(0, []) for _ in range(m - 1)]) for k, s in enumerate(sizes)]
