@@ -1,5 +1,6 @@
 """Packing: every id in exactly one piece, windows gapless and full, differencing against plain lists."""
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -145,6 +146,24 @@ def test_differencing_matches_plain_lists():
     assert len(K.difference(np.zeros(0, np.int64), 3)) == 0
 
 
+@pytest.mark.parametrize("sizes", [[1] * 60, [9] * 5 + [1] * 80, [3, 3, 2, 2, 2, 1] * 9, [700] + [2] * 50])
+def test_differencing_of_equal_pieces(sizes):
+    for m in (1, 2, 5, 64, 257):
+        at = K.difference(np.array(sizes), m)
+        got = np.bincount(at, weights=sizes, minlength=m)
+        assert sorted(got) == sorted(plain_differencing(sizes, m))
+
+
+@pytest.mark.parametrize("sizes", [np.ones(20_000, np.int64), np.repeat([500, 20, 1], [50, 5_000, 15_000])])
+def test_a_group_of_short_documents_takes_little_memory(sizes):
+    tracemalloc.start()
+    at = K.difference(sizes, 256)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    used = np.bincount(at, weights=sizes, minlength=256)
+    assert used.max() - used.min() <= 1 and peak < 1000 * len(sizes)
+
+
 def test_window_count_rises_to_the_capacity():
     at = K.pack_sizes(np.array([1500, 1500, 1500]), 2048)
     assert len(set(at.tolist())) == 3
